@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.ranking import _offsets, md5_key, md5_unit, top_k_per_group
+from kiln.operators.ranking import md5_key, md5_unit, top_k_per_group
 
 
 def shuffle_rank(
@@ -109,7 +109,7 @@ def single_batch(df: DataFrame, batch_col: str = "batch_idx") -> DataFrame:
 
 def epochs(df: DataFrame, n_epochs: int, epoch_col: str = "epoch") -> DataFrame:
     """Repeat every row for ``n_epochs`` epochs."""
-    return df.withColumn(epoch_col, F.explode(F.sequence(F.lit(0), F.lit(n_epochs - 1))).cast("long"))
+    return df.withColumn(epoch_col, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_epochs - 1).cast("long"))))
 
 
 def epoch_shuffle(df: DataFrame, n_epochs: int, id_col: str, rank_col: str = "global_rank") -> DataFrame:
@@ -152,7 +152,7 @@ def composite_batches(parts: Sequence[tuple[DataFrame, int]], rank_col: str = "g
 def replicate(df: DataFrame, group_size: int | Column, col: str = "sample_idx") -> DataFrame:
     """Each row becomes ``group_size`` rows (e.g. rollouts per problem)."""
     g = group_size if isinstance(group_size, Column) else F.lit(group_size)
-    return df.withColumn(col, F.explode(F.sequence(F.lit(0), g - 1)).cast("long"))
+    return df.withColumn(col, F.explode(F.sequence(F.lit(0).cast("long"), (g - 1).cast("long"))))
 
 
 def even_chunk(i: Column, n: Column, k: Column) -> Column:

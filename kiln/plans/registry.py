@@ -43,6 +43,7 @@ def load_all() -> dict[str, Entry]:
     # Import for the registration side effect.
     from kiln.plans import (  # noqa: F401
         sft,
+        splits,
     )
 
     return REGISTRY
