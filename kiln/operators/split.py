@@ -97,8 +97,9 @@ def assign_batches(
     """D7 (drop last, ``n // b`` batches) and D8 (keep last, ``ceil(n / b)``)."""
     out = ranked.withColumn(batch_col, F.floor((F.col(rank_col) - 1) / F.lit(batch_size)).cast("long"))
     if drop_last:
-        n = count_rows(ranked) if n is None else n
-        out = out.filter(F.col(batch_col) < F.lit(n // batch_size))
+        # n // b full batches; n as a scalar subquery unless already known
+        n_col = F.lit(n) if n is not None else ranked.agg(F.count(F.lit(1))).scalar()
+        out = out.filter(F.col(batch_col) < F.floor(n_col / F.lit(batch_size)))
     return out
 
 

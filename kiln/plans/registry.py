@@ -44,6 +44,7 @@ def load_all() -> dict[str, Entry]:
     from kiln.plans import (  # noqa: F401
         sft,
         splits,
+        rl,
     )
 
     return REGISTRY
