@@ -45,6 +45,7 @@ def load_all() -> dict[str, Entry]:
         sft,
         splits,
         rl,
+        prefs,
     )
 
     return REGISTRY

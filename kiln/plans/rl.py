@@ -295,10 +295,13 @@ def teacher_kl(spark, sf_dir):
 
 
 @query("discounted_returns", "L6 W7", f"""
-WITH {TOK_CTE}
-SELECT seq_id, CAST(pos AS BIGINT) AS pos,
-       round(sum(logp_sample * pow(0.9, pos)) OVER (PARTITION BY seq_id ORDER BY pos ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING) / pow(0.9, pos), 6) AS ret
-FROM tk
+WITH RECURSIVE {TOK_CTE},
+mx AS (SELECT seq_id, max(pos) AS n FROM tk GROUP BY seq_id),
+r(seq_id, pos, y) AS (
+  SELECT tk.seq_id, tk.pos, tk.logp_sample + 0.9 * 0.0 FROM tk JOIN mx ON tk.seq_id = mx.seq_id AND tk.pos = mx.n
+  UNION ALL
+  SELECT tk.seq_id, tk.pos, tk.logp_sample + 0.9 * r.y FROM r JOIN tk ON tk.seq_id = r.seq_id AND tk.pos = r.pos - 1)
+SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(y, 6) AS ret FROM r
 """)
 def discounted_returns(spark, sf_dir):
     """Discounted future sums (γ = 0.9) of per-token values within each sequence."""
