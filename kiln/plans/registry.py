@@ -46,6 +46,7 @@ def load_all() -> dict[str, Entry]:
         splits,
         rl,
         prefs,
+        retrieval,
     )
 
     return REGISTRY
