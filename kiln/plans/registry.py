@@ -47,6 +47,7 @@ def load_all() -> dict[str, Entry]:
         rl,
         prefs,
         retrieval,
+        grading,
     )
 
     return REGISTRY
