@@ -48,6 +48,7 @@ def load_all() -> dict[str, Entry]:
         prefs,
         retrieval,
         grading,
+        data,
     )
 
     return REGISTRY
