@@ -49,6 +49,7 @@ def load_all() -> dict[str, Entry]:
         retrieval,
         grading,
         data,
+        streams,
     )
 
     return REGISTRY
