@@ -50,6 +50,7 @@ def load_all() -> dict[str, Entry]:
         grading,
         data,
         streams,
+        parse,
     )
 
     return REGISTRY
