@@ -384,3 +384,36 @@ def mse_by_model(spark, sf_dir):
     """MSE of sampling vs training logprobs, one row per model (dataset index)."""
     m = tk.mse_by_model(_tok(spark, sf_dir).withColumnRenamed("dataset_idx", "model"), "model", "logp_sample", "logp_train")
     return m.select(F.col("model").cast("long"), r6(F.col("mse_sample_train")).alias("mse_sample_train"), "n_tokens")
+
+
+@query("prefix_merge_datums", "A9 A10 A11 W3", """
+WITH s AS (
+  SELECT l_orderkey AS traj_id,
+         row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS step,
+         l_suppkey, l_partkey, l_returnflag FROM lineitem),
+b AS (SELECT *, sum(CASE WHEN step = 1 OR l_returnflag = 'R' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY traj_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS datum_idx FROM s)
+SELECT traj_id, CAST(datum_idx AS BIGINT) AS datum_idx, CAST(2 * count(*) AS BIGINT) AS n_tokens,
+       md5(string_agg(l_suppkey || ',' || l_partkey, ',' ORDER BY step)) AS tokens_md5,
+       repeat('01', CAST(count(*) AS BIGINT)) AS mask
+FROM b GROUP BY traj_id, datum_idx
+""")
+def prefix_merge_datums(spark, sf_dir):
+    """Multi-turn observations (prefix-extending unless flag R starts over) merged back into datums."""
+    from pyspark.sql import Window
+
+    li = tb.table(spark, sf_dir, "lineitem")
+    s = li.select(F.col("l_orderkey").alias("traj_id"), tb.step_index().alias("step"), "l_suppkey", "l_partkey", "l_returnflag")
+    w = Window.partitionBy("traj_id").orderBy("step")
+    s = s.withColumn("_brk", ((F.col("step") == 1) | (F.col("l_returnflag") == "R")).cast("int"))
+    s = s.withColumn("_d", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    wd = Window.partitionBy("traj_id", "_d").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = F.flatten(F.collect_list(F.array("l_suppkey", "l_partkey")).over(wd))
+    steps = s.select("traj_id", "step", F.concat(prefix, F.array("l_suppkey")).alias("ob_tokens"),
+                     F.array("l_partkey").alias("ac_tokens"))
+    d = tk.prefix_merge(steps, ["traj_id"])
+    return d.select(
+        "traj_id", "datum_idx", F.size("tokens").cast("long").alias("n_tokens"),
+        F.md5(F.array_join(F.transform("tokens", lambda x: x.cast("string")), ",")).alias("tokens_md5"),
+        F.array_join(F.transform("mask", lambda x: x.cast("int").cast("string")), "").alias("mask"),
+    )
