@@ -417,3 +417,37 @@ def prefix_merge_datums(spark, sf_dir):
         F.md5(F.array_join(F.transform("tokens", lambda x: x.cast("string")), ",")).alias("tokens_md5"),
         F.array_join(F.transform("mask", lambda x: x.cast("int").cast("string")), "").alias("mask"),
     )
+
+
+@query("metric_logs", "A20 A24 S11 S13", """
+WITH w AS (SELECT CAST(day(ts) AS BIGINT) AS step, avg(value) AS value_mean, CAST(count(*) AS DOUBLE) AS n FROM events GROUP BY 1),
+l AS (SELECT step, 'value_mean' AS key, value_mean AS value FROM w UNION ALL SELECT step, 'n', n FROM w),
+p AS (SELECT step, 'train/' || key AS key, value, 0 AS prio FROM l
+      UNION ALL SELECT step, 'train/n', value * 2, 1 FROM l WHERE key = 'n')
+SELECT step, key, round(arg_max(value, prio), 6) AS value FROM p GROUP BY step, key
+""")
+def metric_logs(spark, sf_dir):
+    """A24 wide → long metric rows per step (day); A20 prefixing and merge where the later source wins."""
+    ev = tb.table(spark, sf_dir, "events")
+    wide = ev.groupBy(F.dayofmonth("ts").cast("long").alias("step")).agg(
+        F.avg("value").alias("value_mean"), F.count(F.lit(1)).cast("double").alias("n"))
+    long = ro.metrics_long(wide)
+    first = ro.prefix_metrics(long, "train", 0)
+    second = ro.prefix_metrics(long.filter(F.col("key") == "n").withColumn("value", F.col("value") * 2), "train", 1)
+    return ro.merge_metrics(first, second).select("step", "key", r6(F.col("value")).alias("value"))
+
+
+@query("compare_runs", "A23 J10", """
+WITH a AS (SELECT CAST(day(ts) AS BIGINT) AS step, avg(value) AS v FROM events WHERE event_id % 2 = 0 GROUP BY 1),
+b AS (SELECT CAST(day(ts) AS BIGINT) AS step, avg(value) AS v FROM events WHERE event_id % 2 = 1 GROUP BY 1)
+SELECT a.step, round(abs(a.v - b.v) / greatest(abs(a.v), abs(b.v)), 6) AS rel_diff,
+       abs(a.v - b.v) / greatest(abs(a.v), abs(b.v)) < 0.05 AS within_limit
+FROM a JOIN b ON a.step = b.step
+""")
+def compare_runs(spark, sf_dir):
+    """Step-aligned relative difference of two runs (even vs odd event ids), limit 5 %."""
+    ev = tb.table(spark, sf_dir, "events").withColumn("step", F.dayofmonth("ts").cast("long"))
+    a = ev.filter(F.col("event_id") % 2 == 0).groupBy("step").agg(F.avg("value").alias("v"))
+    b = ev.filter(F.col("event_id") % 2 == 1).groupBy("step").agg(F.avg("value").alias("v"))
+    c = ro.compare_runs(a, b, "v", 0.05)
+    return c.select("step", r6(F.col("rel_diff")).alias("rel_diff"), "within_limit")
