@@ -23,6 +23,7 @@ def shuffle_rank(
     rank_col: str = "global_rank",
     group: Sequence[str] = (),
     prefix_digits: int = 3,
+    keep_total: bool = False,
 ) -> DataFrame:
     """D1 (+D10 with ``group``): 1-based position after a seeded shuffle.
 
@@ -39,14 +40,20 @@ def shuffle_rank(
     g = list(group)
     counts = staged.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
     w = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(*g, "_bucket", F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"))
+    offsets = counts.select(
+        *g, "_bucket",
+        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"),
+        F.sum("_n").over(Window.partitionBy(*g)).alias("_group_rows"),
+    )
     local = Window.partitionBy(*g, "_bucket").orderBy("_key", id_col)
-    return (
+    out = (
         staged.withColumn("_local", F.row_number().over(local))
         .join(F.broadcast(offsets), [*g, "_bucket"])
         .withColumn(rank_col, (F.col("_offset") + F.col("_local")).cast("long"))
         .drop("_key", "_bucket", "_local", "_offset")
     )
+    # keep_total: the group's row count rides along (used by drop-last batching, no extra pass)
+    return out if keep_total else out.drop("_group_rows")
 
 
 def count_rows(df: DataFrame) -> int:
@@ -98,9 +105,14 @@ def assign_batches(
     out = ranked.withColumn(batch_col, F.floor((F.col(rank_col) - 1) / F.lit(batch_size)).cast("long"))
     if drop_last:
         # n // b full batches; n as a scalar subquery unless already known
-        n_col = F.lit(n) if n is not None else ranked.agg(F.count(F.lit(1))).scalar()
+        if n is not None:
+            n_col = F.lit(n)
+        elif "_group_rows" in ranked.columns:
+            n_col = F.col("_group_rows")
+        else:
+            n_col = ranked.agg(F.count(F.lit(1))).scalar()
         out = out.filter(F.col(batch_col) < F.floor(n_col / F.lit(batch_size)))
-    return out
+    return out.drop("_group_rows")
 
 
 def single_batch(df: DataFrame, batch_col: str = "batch_idx") -> DataFrame:

@@ -33,7 +33,7 @@ per AS (
 def _sft_batches(spark, sf_dir, fmt="role_colon", train_on="all_assistant_messages", batch_size=8, seed=0):
     segs = render.render_segments(messages(spark, sf_dir), fmt, train_on)
     stats = render.datum_stats(segs)
-    ranked = split.shuffle_rank(stats, seed, "conv_id")
+    ranked = split.shuffle_rank(stats, seed, "conv_id", keep_total=True)
     batched = split.assign_batches(ranked, batch_size, drop_last=True)
     return batched.groupBy("batch_idx").agg(
         F.count(F.lit(1)).alias("num_sequences"),
