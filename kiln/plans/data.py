@@ -155,3 +155,36 @@ def history_truncation(spark, sf_dir):
     c = conv.select("conv_id", m.alias("m"))
     return c.select("conv_id", F.size("m").cast("long").alias("n_messages"), F.element_at("m", 1)["role"].alias("first_role"),
                     F.md5(F.element_at("m", -1)["content"]).alias("last_md5"))
+
+
+@query("helpsteer3_labels", "N8 N7 N9", """
+SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
+       CASE WHEN l_linenumber - 4 < 0 THEN 'A' ELSE 'B' END AS label
+FROM lineitem WHERE l_linenumber - 4 <> 0
+""")
+def helpsteer3_labels(spark, sf_dir):
+    """Overall preference = line number − 4; 0 dropped, < 0 → A, > 0 → B."""
+    li = table(spark, sf_dir, "lineitem")
+    lab = ad.helpsteer3_label(F.col("l_linenumber") - 4)
+    return li.select("l_orderkey", F.col("l_linenumber").cast("long"), "l_partkey", "l_suppkey", lab.alias("label")).filter(
+        F.col("label").isNotNull())
+
+
+TEMPLATE = "Decide the language of the text below.\nText: {text}\nFinal Answer:"
+
+
+@query("problem_rows", "N13 N16 N21 N22", """
+SELECT p_partkey AS problem_id,
+       'Decide the language of the text below.' || chr(10) || 'Text: ' || p_name || chr(10) || 'Final Answer:' AS prompt,
+       CAST(p_size AS VARCHAR) AS answer, 'default' AS task
+FROM part WHERE p_size % 5 <> 0 AND p_name <> ''
+""")
+def problem_rows(spark, sf_dir):
+    """N13 drop rows with empty problem/answer; N16 optional columns with defaults; N21 template fill."""
+    p = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("problem_id"), F.col("p_name").alias("problem"),
+        F.when(F.col("p_size") % 5 == 0, F.lit("")).otherwise(F.col("p_size").cast("string")).alias("answer"),
+    )
+    p = p.filter(ad.non_empty("problem", "answer"))
+    p = ad.optional_columns(p, {"answer": "", "task": "default"})
+    return p.select("problem_id", ad.fill_template(TEMPLATE, F.col("problem")).alias("prompt"), "answer", "task")

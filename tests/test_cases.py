@@ -192,3 +192,21 @@ def test_swap_and_chosen_rejected(spark):
     assert prefs.chosen_rejected(df, "cmp", strict_compat=False).count() == 0
     s = df.select(prefs.swap(F.col("cmp")).alias("s")).first().s
     assert s.label == "Tie" and s.completion_a[0].content == "b"
+
+
+def test_arena_and_multipart(spark):
+    part = "struct<type:string, text:string>"
+    schema = f"winner string, a array<struct<role:string, content:array<{part}>>>, b array<struct<role:string, content:array<{part}>>>"
+    txt = lambda s: ("text", s)
+    rows = [
+        ("model_a", [("user", [txt("q"), txt("more")]), ("assistant", [txt("x")])], [("user", [txt("q")]), ("assistant", [txt("y")])]),
+        ("tie", [("user", [txt("q")]), ("assistant", [txt("x")])], [("user", [txt("q")]), ("assistant", [txt("y")])]),
+        ("model_b", [("user", [("image", None)]), ("assistant", [txt("x")])], [("user", [txt("q")]), ("assistant", [txt("y")])]),
+    ]
+    df = spark.createDataFrame(rows, schema)
+    a, b = adapters.arena_flatten(F.col("a")), adapters.arena_flatten(F.col("b"))
+    out = df.select(adapters.arena_comparison(F.col("winner"), a, b).alias("c"), a.alias("fa")).collect()
+    assert out[0].c.label == "A" and out[0].c.prompt[0].content == "q more"  # N10 joins with a space
+    assert out[1].c is None and out[2].c is None and out[2].fa is None
+    mp = df.select(adapters.multipart_text(F.col("a")).alias("m")).first().m
+    assert mp[0].content == "qmore"  # N18 joins without separator (T20)
