@@ -126,3 +126,35 @@ def win_rate(spark, sf_dir):
     ba = c.select("pair_id", graders.label_score(prefs.swap(F.col("cmp"))["label"]).alias("score"))
     w = rollouts.win_rate(ab, ba, "pair_id")
     return w.select(F.round("win_rate", 6).alias("win_rate"), F.round("stderr", 6).alias("stderr"), "n")
+
+
+@query("preference_rows", "R18 R19 R1 R4", f"""
+WITH {CMP_SQL},
+msgs AS (
+  SELECT pair_id, 0 AS turn, 'system' AS role, '{prefs.MARK_A}' AS content FROM cmp
+  UNION ALL SELECT pair_id, 1, 'assistant', ca FROM cmp
+  UNION ALL SELECT pair_id, 2, 'system', '{prefs.MARK_B}' FROM cmp
+  UNION ALL SELECT pair_id, 3, 'assistant', cb FROM cmp
+  UNION ALL SELECT pair_id, 4, 'system', '{prefs.MARK_PREF}' FROM cmp
+  UNION ALL SELECT pair_id, 5, 'assistant', label FROM cmp),
+seg AS (
+  SELECT pair_id, turn, '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) AS ob,
+         content || '<|eot_id|>' AS ac FROM msgs)
+SELECT pair_id,
+       CAST(1 + sum(length(regexp_replace(ob, '<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+', 'a', 'g')))
+              + sum(CASE WHEN turn < 5 THEN length(regexp_replace(ac, '<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+', 'a', 'g')) ELSE 0 END) + 1 AS BIGINT) AS n_tokens,
+       max(CASE WHEN turn = 5 THEN regexp_extract(ac, '(<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+|[^A-Za-z0-9])', 1) END) AS trained_piece
+FROM seg GROUP BY pair_id
+""")
+def preference_rows(spark, sf_dir):
+    """R18 comparison → conversation with markers + label reply; R19 cut at the first trained token."""
+    from kiln.operators import adapters, render
+
+    c = _comparisons(spark, sf_dir)
+    label_msg = F.array(F.struct(F.lit("assistant").alias("role"), F.col("cmp.label").alias("content")))
+    conv = c.select(F.col("pair_id").alias("conv_id"), F.concat(prefs.comparison_to_conversation(F.col("cmp")), label_msg).alias("messages"))
+    segs = render.render_segments(adapters.explode_conversations(conv), "llama3", "last_assistant_message")
+    d = render.supervised_datums(segs)
+    toks, wts = prefs.preference_row(d["tokens"], F.concat(F.array(F.lit(0.0).cast("float")), d["weights"]))
+    return d.select(F.col("conv_id").alias("pair_id"), F.size(toks).cast("long").alias("n_tokens"),
+                    F.element_at(toks, -1).alias("trained_piece"))
