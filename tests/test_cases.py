@@ -210,3 +210,29 @@ def test_arena_and_multipart(spark):
     assert out[1].c is None and out[2].c is None and out[2].fa is None
     mp = df.select(adapters.multipart_text(F.col("a")).alias("m")).first().m
     assert mp[0].content == "qmore"  # N18 joins without separator (T20)
+
+
+def test_stream_trace_spans_equal_batch(spark):
+    import __spark_entry__ as E
+    from tests.conftest import SF_SMALL
+
+    q = E.queries()
+    batch = sorted(tuple(r) for r in q["trace_spans"](spark, SF_SMALL).collect())
+    stream = sorted(tuple(r) for r in q["stream_trace_spans"](spark, SF_SMALL).collect())
+    assert batch == stream and len(batch) > 0
+
+
+def test_stream_batches_span_micro_batches(spark, tmp_path):
+    """Fixed batches stay exact when the input arrives in several micro-batches."""
+    from kiln.streaming import batches
+
+    src = str(tmp_path / "src")
+    for i in range(3):
+        spark.range(i * 100, i * 100 + 100).withColumnRenamed("id", "event_id").write.mode("append").parquet(src)
+    stream = spark.readStream.schema("event_id long").option("maxFilesPerTrigger", 1).parquet(src)
+    out = batches.run_count_batches(stream, 64, "event_id", out=str(tmp_path / "out"))
+    rows = batches.read_batches(spark, out, 64, drop_last=True)
+    sizes = {r.batch_idx: r.n for r in rows.groupBy("batch_idx").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert sizes == {0: 64, 1: 64, 2: 64, 3: 64}
+    allpos = sorted(r.position for r in spark.read.parquet(f"{out}/rows").collect())
+    assert allpos == list(range(1, 301))
