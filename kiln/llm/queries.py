@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, decontam, quality, token_counts, toxicity
+from kiln.llm import bpe, decontam, quality, substring, token_counts, toxicity
 from kiln.llm.common import held_out, prepare
 
 #: Folder of the vocabulary files; the names in it are parameters of the operators.
@@ -65,6 +65,12 @@ def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    cut = substring.dedup(docs, digest=True)
+    return cut.select("doc_id", "cut.n_words", "cut.n_removed", F.col("cut.kept").alias("kept_sha256"))
+
+
 def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, training_labels(spark, sf_dir))
@@ -79,6 +85,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_bpe_round_trip,
         op4_benchmark_decontamination,
         op7_token_counts,
+        op8_substring_dedup,
         op10_toxicity_grammar,
     )
 }

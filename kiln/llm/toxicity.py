@@ -45,7 +45,7 @@ OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
 #: Public everyday words of the symbols (English, German, French, Spanish).
 SEED = {
     INSULT: "idiot idiots moron morons stupid loser losers scum trash pathetic worthless disgusting clown dumb",
-    THREAT: "kill hurt destroy shoot beat murder burn die",
+    THREAT: "kill hurt destroy shoot murder",
     TARGET: "you your yours yourself they them he she him her dich du dir ihr euch tu te toi vous tú usted vosotros",
     NEGATION: "not no never none nobody n't nicht kein keine nie ne pas jamais aucun nunca ningún jamás",
     REPORT: "said says say claimed claims reported reports quoted wrote writes called sagte dit dijo",
@@ -178,8 +178,19 @@ class Model(NamedTuple):
         return float(1 / (1 + np.exp(-np.clip(z, -500, 500))))
 
 
-def _learn_units(sample: DataFrame, max_lexicon: int) -> list[tuple[str, bool, int, int]]:
-    """(unit, is a beginning, toxic documents, clean documents): counted by Spark, the best kept."""
+class Unit(NamedTuple):
+    text: str
+    start: bool  # a beginning of words, else a whole word
+    bad: tuple[int, int]  # toxic documents that have it, by half of the sample
+    good: tuple[int, int]
+
+
+def _half() -> Column:
+    return F.pmod(F.xxhash64("doc_id"), F.lit(2))
+
+
+def _learn_units(sample: DataFrame, max_lexicon: int) -> list[Unit]:
+    """Words and beginnings with their document counts: counted by Spark, the best kept."""
 
     def units(texts: pa.Array) -> pa.Array:
         out = []
@@ -189,17 +200,21 @@ def _learn_units(sample: DataFrame, max_lexicon: int) -> list[tuple[str, bool, i
             out.append([*words, *("^" + s for s in starts)])
         return pa.array(out, pa.list_(pa.string()))
 
-    rows = sample.select("y", F.explode(F.arrow_udf(units, "array<string>")(F.col("text"))).alias("unit"))
-    n = rows.groupBy("unit").agg(F.sum("y").alias("bad"), F.sum(1 - F.col("y")).alias("good"))
+    rows = sample.select("y", _half().alias("h"), F.explode(F.arrow_udf(units, "array<string>")(F.col("text"))).alias("unit"))
+    sums = [F.sum(F.when((F.col("y") == y) & (F.col("h") == h), 1).otherwise(0)).alias(f"n{y}{h}") for y in (1, 0) for h in (0, 1)]
+    n = rows.groupBy("unit").agg(*sums).withColumn("bad", F.expr("n10 + n11")).withColumn("good", F.expr("n00 + n01"))
     toxic = sample.agg(F.sum("y")).first()[0] or 0
     best = n.where((F.col("bad") >= max(MIN_DOCS, MIN_PART * toxic)) & (F.col("bad") >= MIN_SHARE * (F.col("bad") + F.col("good"))))
     best = best.orderBy(F.desc("bad"), "good", "unit").limit(max_lexicon)
-    return [(r.unit.removeprefix("^"), r.unit[0] == "^", r.bad, r.good) for r in best.collect()]
+    return [Unit(r.unit.removeprefix("^"), r.unit[0] == "^", (r.n10, r.n11), (r.n00, r.n01)) for r in best.collect()]
 
 
-def build_lexicon(units: list[tuple[str, bool, int, int]]) -> Lexicon:
+def build_lexicon(units: list[Unit], halves: tuple[int, ...] = (0, 1)) -> Lexicon:
+    """Lexicon from the counts of the given halves of the sample."""
     words = {w: (kind, 1.0) for kind, names in SEED.items() for w in names.split()}
-    found = {(u, start): (bad, good) for u, start, bad, good in units}
+    counts = {(u.text, u.start): (sum(u.bad[h] for h in halves), sum(u.good[h] for h in halves)) for u in units}
+    least = MIN_DOCS * len(halves) / 2
+    found = {k: (bad, good) for k, (bad, good) in counts.items() if bad >= max(least, MIN_SHARE * (bad + good))}
     starts: dict[str, float] = {}
     for (u, start), (bad, good) in found.items():
         weight = float(np.log((bad + 0.5) / (good + 0.5)))
@@ -219,15 +234,17 @@ def build_lexicon(units: list[tuple[str, bool, int, int]]) -> Lexicon:
 def train(docs: DataFrame, labels: DataFrame, label: str = "toxic", max_docs: int = MAX_DOCS, max_lexicon: int = MAX_LEXICON) -> Model:
     """Learns the lexicon and the pattern weights from at most ``max_docs`` labelled documents."""
     sample = labelled(docs, labels, label, max_docs)
-    lexicon = build_lexicon(_learn_units(sample, max_lexicon))
-    words, starts = lexicon.words, lexicon.starts
+    units = _learn_units(sample, max_lexicon)
+    # pattern weights come from rows read with the lexicon of the other half, so chance entries earn no trust
+    other = [(x.words, x.starts) for x in (build_lexicon(units, (1,)), build_lexicon(units, (0,)))]
 
-    def run(texts: pa.Array) -> pa.Array:
-        lex = Lexicon(words, starts)
-        return pa.array([read(t, lex).tolist() for t in texts.to_pylist()], pa.list_(pa.float64()))
+    def run(texts: pa.Array, half: pa.Array) -> pa.Array:
+        lex = [Lexicon(*x) for x in other]
+        rows = zip(texts.to_pylist(), half.to_pylist(), strict=True)
+        return pa.array([read(t, lex[h]).tolist() for t, h in rows], pa.list_(pa.float64()))
 
-    got = sample.select("y", F.arrow_udf(run, "array<double>")(F.col("text")).alias("f")).groupBy("y", "f").count().collect()
-    return fit(lexicon, Counter({(r.y, tuple(r.f)): r["count"] for r in got}))
+    found = sample.select("y", F.arrow_udf(run, "array<double>")(F.col("text"), _half()).alias("f"))
+    return fit(build_lexicon(units), Counter({(r.y, tuple(r.f)): r["count"] for r in found.groupBy("y", "f").count().collect()}))
 
 
 def fit(lexicon: Lexicon, counts: Counter, ridge: float = 1.0, rounds: int = 30) -> Model:
