@@ -198,3 +198,23 @@ def components(edges: DataFrame) -> DataFrame:
             break
         state = now
     return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+
+
+def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
+    """Tables of the rows with one value of ``column``, from batches sorted by it."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        v = b.column(column).to_numpy()
+        cut = np.concatenate([[0], np.flatnonzero(v[1:] != v[:-1]) + 1, [len(v)]])
+        if held and held[-1].column(column)[0].as_py() != v[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        for a, z in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            if a and held:
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(b.slice(a, z - a))
+    if held:
+        yield pa.Table.from_batches(held)

@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, decontam, quality, substring, token_counts, toxicity
+from kiln.llm import bpe, decontam, parity_join, quality, substring, token_counts, toxicity
 from kiln.llm.common import held_out, prepare
 
 #: Folder of the vocabulary files; the names in it are parameters of the operators.
@@ -55,6 +55,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     )
 
 
+def op5_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = parity_join.classes(docs, width=3, num=90, den=100)
+    return found.select("row.doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, vocabulary(COUNT_FILE)).select(
@@ -84,6 +90,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op1_quality_classifier,
         op2_bpe_round_trip,
         op4_benchmark_decontamination,
+        op5_parity_jaccard_join,
         op7_token_counts,
         op8_substring_dedup,
         op10_toxicity_grammar,

@@ -126,6 +126,7 @@ def _level2(width: int):
                 lead = np.maximum.accumulate(np.where(head, np.arange(len(f)), 0))
                 same = (keys[r] == keys[r[lead]]) & (order_id[r] == order_id[r[lead]]) & (p == p[lead])
                 ask = np.flatnonzero(head)
+                ask = ask[np.lexsort((p[ask], r[ask]))]  # rows of a document together: they compress well
                 sure = ~same
                 # repeats known here go as runs of consecutive starts, anywhere
                 sr, sp = r[sure], p[sure]
@@ -155,15 +156,17 @@ def _level2(width: int):
     return run, "route long, doc_id long, key long, start int, size int, sure boolean"
 
 
-def repeated_windows(docs: DataFrame, width: int = WIDTH, text: str = "text") -> DataFrame:
-    """Runs of windows that occur at an earlier place: rows (doc_id, key, runs array<struct<start, size>>).
+def _keyed(docs: DataFrame, text: str) -> DataFrame:
+    """One column ``rest`` with all columns of ``docs``, whatever their names, beside doc_id, text and key."""
+    rest = [F.col(c) for c in docs.columns if c != text]
+    rows = docs.select(F.struct(*rest).alias("rest"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
+    return rows.withColumn("key", row_key())
 
-    ``start`` is the word where the first window of the run starts, ``size`` the number of windows; ``key`` is
-    ``common.row_key`` of the document's row.
-    """
+
+def _late_windows(rows: DataFrame, width: int) -> DataFrame:
+    """Runs of windows that occur at an earlier place: (key, runs array<struct<doc_id, start, size>>)."""
     if width < 2 or width % 2:
         raise ValueError("width must be even")
-    rows = _keyed(docs, text)
     run, kind = _level1(width)
     level1 = rows.select("key", "text").mapInArrow(run, kind)
     meet = Window.partitionBy("route")
@@ -171,15 +174,20 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, text: str = "text") ->
     alive = met.where((F.col("n") != 1) | (F.col("met") > 1)).select("key", "pos")
     alive = alive.groupBy("key").agg(F.collect_list("pos").alias("pos"))
     run, kind = _level2(width)
-    level2 = rows.join(alive, "key").select("doc_id", "key", "text", "pos").mapInArrow(run, kind)
+    # all columns go along, so that this shuffle of the texts is the one that dedup() joins with, too
+    level2 = rows.join(alive, "key").mapInArrow(run, kind)
     place = F.struct(F.col("doc_id"), F.col("key"), F.col("start"))
     first = F.min(F.when(~F.col("sure"), place)).over(meet)
     late = level2.withColumn("first", first).where(F.col("sure") | (place != F.col("first")))
-    return late.groupBy("doc_id", "key").agg(F.collect_list(F.struct("start", "size")).alias("runs"))
+    return late.groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "size")).alias("runs"))
 
 
-def _keyed(docs: DataFrame, text: str) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text")).withColumn("key", row_key())
+def repeated_windows(docs: DataFrame, width: int = WIDTH, text: str = "text") -> DataFrame:
+    """Runs of windows that occur at an earlier place: rows (doc_id, start, size).
+
+    ``start`` is the word where the first window of the run starts, ``size`` the number of windows.
+    """
+    return _late_windows(_keyed(docs, text), width).select(F.inline("runs"))
 
 
 def removed_words(n: int, runs: np.ndarray, width: int) -> np.ndarray:
@@ -236,10 +244,9 @@ def _without(raw: bytes, start: np.ndarray, mask: np.ndarray) -> bytes:
 def dedup(docs: DataFrame, width: int = WIDTH, text: str = "text", digest: bool = False, out: str = "cut") -> DataFrame:
     """``docs`` with a struct ``out``: n_words, n_removed and kept - the text without the removed words
     (white space of the others as it was), or with ``digest`` the SHA-256 of the kept words joined by a blank."""
-    # the key is the first column's hash partitioning of repeated_windows too: one shuffle of the texts serves both
-    late = repeated_windows(docs, width, text).select(F.col("doc_id").alias("_doc"), F.col("key").alias("_key"), "runs")
-    rows = docs.withColumn("_row_key", F.xxhash64(F.col("doc_id").cast("long"), F.col(text)))
-    own = F.col("doc_id").cast("long").eqNullSafe(F.col("_doc")) & (F.col("_row_key") == F.col("_key"))
-    joined = rows.join(late, own, "left")
-    cut = _cut(width, digest)(F.col(text), F.col("runs")["start"], F.col("runs")["size"])
-    return joined.withColumn(out, cut).drop("_doc", "_key", "runs", "_row_key")
+    rows = _keyed(docs, text)
+    own = F.filter(F.col("runs"), lambda r: r["doc_id"].eqNullSafe(F.col("doc_id")))
+    joined = rows.join(_late_windows(rows, width), "key", "left").withColumn("own", own)
+    cut = _cut(width, digest)(F.col("text"), F.col("own")["start"], F.col("own")["size"])
+    columns = [F.col("text").alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns]
+    return joined.select(*columns, cut.alias(out))

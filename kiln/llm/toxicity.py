@@ -181,8 +181,8 @@ class Model(NamedTuple):
 class Unit(NamedTuple):
     text: str
     start: bool  # a beginning of words, else a whole word
-    bad: tuple[int, int]  # toxic documents that have it, by half of the sample
-    good: tuple[int, int]
+    bad: tuple[int, int]  # toxic documents that have it, by half of the sample; a beginning counts once a word
+    good: tuple[int, int]  # the same of clean documents
 
 
 def _half() -> Column:
@@ -196,7 +196,7 @@ def _learn_units(sample: DataFrame, max_lexicon: int) -> list[Unit]:
         out = []
         for t in texts.to_pylist():
             words = set(_WORD.findall((t or "").lower()))
-            starts = {w[:n] for w in words for n in PREFIXES if len(w) > n}
+            starts = [w[:n] for w in words for n in PREFIXES if len(w) > n]
             out.append([*words, *("^" + s for s in starts)])
         return pa.array(out, pa.list_(pa.string()))
 
