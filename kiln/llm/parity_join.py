@@ -282,7 +282,7 @@ def links(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) ->
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text") -> DataFrame:
-    """(row, n_shingles, component_id) for each row of ``docs``; ``row`` is a struct of all its columns but the text."""
+    """(row, key, class, n_shingles, component_id) for each row of ``docs``; ``row`` is a struct of all its columns but the text."""
     rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
     rows = docs.select(rest.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("key", row_key())
@@ -293,4 +293,24 @@ def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text")
     # classes of one row need no meeting: only the others are summed by class
     least = marked.where("class is not null").groupBy("class").agg(F.min("doc_id").alias("least"))
     joined = marked.join(least, "class", "left")
-    return joined.select("row", "key", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+    return joined.select("row", "key", "class", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
+
+
+def keep_first(docs: DataFrame, width: int, num: int, den: int, text: str = "text") -> DataFrame:
+    """The rows of ``docs`` without the later members of each class: of linked documents, and of rows repeated as
+    a whole, the one with the smallest doc_id (then the smallest row key) stays; documents without shingles
+    all stay."""
+    found = classes(docs, width, num, den, text)
+    # only the columns but the text were carried: the kept rows get it back by their key
+    place = F.struct(F.col("row.doc_id").isNull(), F.col("row.doc_id"), F.col("key"))
+    members = found.where("n_shingles > 0")
+    first = members.groupBy("class").agg(F.min(place).alias("first"), F.count("*").alias("rows"))
+    lost = members.join(first.where("rows > 1"), "class").select("key", (place == F.col("first")).alias("stays"))
+    # of rows with one key (repeated as a whole) at most one stays
+    lost = lost.groupBy("key").agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
+    lost = lost.where("not stays or times > 1")
+    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col(text)))
+    joined = rows.join(lost.select(F.col("key").alias("_key"), F.col("stays").alias("_stays")), "_key", "left")
+    once = joined.where("_stays is null")
+    twice = joined.where("_stays").dropDuplicates(["_key"])
+    return once.unionByName(twice).select(docs.columns)

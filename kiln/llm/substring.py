@@ -69,7 +69,7 @@ def _fold(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _level1(width: int):
-    shape = pa.schema([("route", pa.int64()), ("key", pa.int64()), ("pos", pa.int32()), ("n", pa.int32())])
+    shape = pa.schema([("route", pa.int64()), ("key", pa.int64()), ("place", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -82,22 +82,20 @@ def _level1(width: int):
                 at, doc = at[new], doc[new]
                 run_hash = runs[at]
                 first, n = _fold(run_hash)
-                count = np.zeros(len(at), np.int32)
-                count[first] = n
+                count = np.zeros(len(at), np.int64)
+                count[first] = np.minimum(n, 2)
                 # rows that are known to repeat need no meeting: they go anywhere
                 route = np.where(count > 0, run_hash, mix64(run_hash + np.arange(len(at)).astype(np.uint64)))
                 yield pa.RecordBatch.from_arrays(
-                    [as_signed(route), pa.array(keys[s.first :][doc]), pa.array((at - w.first[doc]).astype(np.int32)), pa.array(count)],
+                    [as_signed(route), pa.array(keys[s.first :][doc]), pa.array((at - w.first[doc]) << 2 | count)],
                     schema=shape,
                 )
 
-    return run, "route long, key long, pos int, n int"
+    return run, "route long, key long, place long"
 
 
 def _level2(width: int):
-    shape = pa.schema(
-        [("route", pa.int64()), ("doc_id", pa.int64()), ("key", pa.int64()), ("start", pa.int32()), ("size", pa.int32()), ("sure", pa.bool_())]
-    )
+    shape = pa.schema([(c, pa.int64()) for c in ("route", "doc_id", "key", "place")])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -138,22 +136,14 @@ def _level2(width: int):
                 length = np.diff(np.append(at0, len(sr)))
                 rows = np.concatenate([r[ask], sr[at0]])
                 places = np.concatenate([p[ask], sp[at0]])
-                known = np.concatenate([np.zeros(len(ask), bool), np.ones(len(at0), bool)])
+                known = np.concatenate([np.zeros(len(ask), np.int64), length])
                 loose = mix64(places.astype(np.uint64) + (keys[rows].view(np.uint64) << _U(1)))
-                route = np.where(known, loose, np.concatenate([f[ask], np.zeros(len(at0), np.uint64)]))
+                route = np.where(known > 0, loose, np.concatenate([f[ask], np.zeros(len(at0), np.uint64)]))
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        as_signed(route),
-                        ids.take(pa.array(rows)),
-                        pa.array(keys[rows]),
-                        pa.array(places.astype(np.int32)),
-                        pa.array(np.concatenate([np.ones(len(ask)), length]).astype(np.int32)),
-                        pa.array(known),
-                    ],
-                    schema=shape,
+                    [as_signed(route), ids.take(pa.array(rows)), pa.array(keys[rows]), pa.array(known << 32 | places)], schema=shape
                 )
 
-    return run, "route long, doc_id long, key long, start int, size int, sure boolean"
+    return run, "route long, doc_id long, key long, place long"
 
 
 def _keyed(docs: DataFrame, text: str) -> DataFrame:
@@ -164,22 +154,29 @@ def _keyed(docs: DataFrame, text: str) -> DataFrame:
 
 
 def _late_windows(rows: DataFrame, width: int) -> DataFrame:
-    """Runs of windows that occur at an earlier place: (key, runs array<struct<doc_id, start, size>>)."""
+    """Runs of windows that occur at an earlier place: (key, runs array<struct<doc_id, places>>).
+
+    A place is the start word in the low 32 bits and the number of windows above them; level 1 has the start
+    above two bits that tell how often (0: another row of the slice asks, 2: twice or more) its run occurs.
+    """
     if width < 2 or width % 2:
         raise ValueError("width must be even")
     run, kind = _level1(width)
     level1 = rows.select("key", "text").mapInArrow(run, kind)
     meet = Window.partitionBy("route")
-    met = level1.withColumn("met", F.sum((F.col("n") > 0).cast("int")).over(meet))
-    alive = met.where((F.col("n") != 1) | (F.col("met") > 1)).select("key", "pos")
+    times = F.col("place").bitwiseAND(3)
+    met = level1.withColumn("met", F.sum((times > 0).cast("int")).over(meet))
+    alive = met.where((times != 1) | (F.col("met") > 1)).select("key", F.shiftright("place", 2).cast("int").alias("pos"))
     alive = alive.groupBy("key").agg(F.collect_list("pos").alias("pos"))
     run, kind = _level2(width)
     # all columns go along, so that this shuffle of the texts is the one that dedup() joins with, too
     level2 = rows.join(alive, "key").mapInArrow(run, kind)
-    place = F.struct(F.col("doc_id"), F.col("key"), F.col("start"))
-    first = F.min(F.when(~F.col("sure"), place)).over(meet)
-    late = level2.withColumn("first", first).where(F.col("sure") | (place != F.col("first")))
-    return late.groupBy("key").agg(F.collect_list(F.struct("doc_id", "start", "size")).alias("runs"))
+    sure = F.col("place") >= 1 << 32
+    spot = F.struct("doc_id", "key", "place")
+    first = F.min(F.when(~sure, spot)).over(meet)
+    late = level2.withColumn("first", first).where(sure | (spot != F.col("first")))
+    late = late.groupBy("key", "doc_id").agg(F.collect_list("place").alias("places"))
+    return late.groupBy("key").agg(F.collect_list(F.struct("doc_id", "places")).alias("runs"))
 
 
 def repeated_windows(docs: DataFrame, width: int = WIDTH, text: str = "text") -> DataFrame:
@@ -187,34 +184,36 @@ def repeated_windows(docs: DataFrame, width: int = WIDTH, text: str = "text") ->
 
     ``start`` is the word where the first window of the run starts, ``size`` the number of windows.
     """
-    return _late_windows(_keyed(docs, text), width).select(F.inline("runs"))
+    late = _late_windows(_keyed(docs, text), width).select(F.inline("runs")).select("doc_id", F.explode("places").alias("place"))
+    size = F.greatest(F.shiftright("place", 32), F.lit(1))
+    return late.select("doc_id", F.col("place").bitwiseAND((1 << 32) - 1).alias("start"), size.alias("size"))
 
 
-def removed_words(n: int, runs: np.ndarray, width: int) -> np.ndarray:
-    """Mask of the words that the windows of the runs cover."""
+def removed_words(n: int, places: np.ndarray, width: int) -> np.ndarray:
+    """Mask of the words that the windows of the places cover."""
     edge = np.zeros(n + 1, np.int64)
-    if len(runs):
-        np.add.at(edge, runs[:, 0], 1)
-        np.add.at(edge, np.minimum(runs[:, 0] + runs[:, 1] - 1 + width, n), -1)
+    start, size = places & ((1 << 32) - 1), np.maximum(places >> 32, 1)
+    np.add.at(edge, start, 1)
+    np.add.at(edge, np.minimum(start + size - 1 + width, n), -1)
     return np.cumsum(edge[:-1]) > 0
 
 
 def _cut(width: int, digest: bool):
-    def run(texts: pa.Array, starts: pa.Array, sizes: pa.Array) -> pa.Array:
+    def run(texts: pa.Array, places: pa.Array) -> pa.Array:
         total, gone, kept = [], [], []
         for s in text_slices(texts, SLICE):
             w = split_words(s)
             for i in range(s.rows):
                 a, b = w.first[i], w.first[i + 1]
-                start, size = starts[s.first + i].as_py(), sizes[s.first + i].as_py()
+                late = places[s.first + i]
                 raw = s.buf[s.off[i] : s.off[i + 1]].tobytes()
                 total.append(int(b - a))
-                if start is None:
+                if not late.is_valid or not len(late.values):
                     words = raw.translate(_BLANK).split(b" ") if digest else None
                     kept.append(b" ".join(x for x in words if x) if digest else raw)
                     gone.append(0)
                     continue
-                mask = removed_words(int(b - a), np.column_stack([start, size]), width)
+                mask = removed_words(int(b - a), late.values.to_numpy(), width)
                 at = s.off[i]
                 if digest:
                     stay = np.flatnonzero(~mask) + a
@@ -245,8 +244,9 @@ def dedup(docs: DataFrame, width: int = WIDTH, text: str = "text", digest: bool
     """``docs`` with a struct ``out``: n_words, n_removed and kept - the text without the removed words
     (white space of the others as it was), or with ``digest`` the SHA-256 of the kept words joined by a blank."""
     rows = _keyed(docs, text)
+    # a key is a 64-bit hash: of documents that share one by chance each takes its own runs
     own = F.filter(F.col("runs"), lambda r: r["doc_id"].eqNullSafe(F.col("doc_id")))
-    joined = rows.join(_late_windows(rows, width), "key", "left").withColumn("own", own)
-    cut = _cut(width, digest)(F.col("text"), F.col("own")["start"], F.col("own")["size"])
+    joined = rows.join(_late_windows(rows, width), "key", "left").withColumn("own", F.get(own, F.lit(0)))
+    cut = _cut(width, digest)(F.col("text"), F.col("own")["places"])
     columns = [F.col("text").alias(c) if c == text else F.col("rest")[c].alias(c) for c in docs.columns]
     return joined.select(*columns, cut.alias(out))
