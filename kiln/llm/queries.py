@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, decontam, parity_join, quality, substring, token_counts, toxicity
+from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, token_counts, toxicity
 from kiln.llm.common import held_out, prepare
 
 #: Folder of the vocabulary files; the names in it are parameters of the operators.
@@ -61,6 +61,10 @@ def op5_parity_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("row.doc_id", F.col("n_shingles").cast("long").alias("n_shingles"), "component_id")
 
 
+def op6_grid_order_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ego_join.near_duplicates(table(spark, sf_dir, "embeddings"), cosine=0.98)
+
+
 def op7_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     return token_counts.token_counts(docs, vocabulary(COUNT_FILE)).select(
@@ -77,6 +81,11 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cut.select("doc_id", "cut.n_words", "cut.n_removed", F.col("cut.kept").alias("kept_sha256"))
 
 
+def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pseudo_lm.score(docs, *pseudo_lm.train(docs)).select("doc_id", "lm.*")
+
+
 def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = toxicity.train(docs, training_labels(spark, sf_dir))
@@ -91,8 +100,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op2_bpe_round_trip,
         op4_benchmark_decontamination,
         op5_parity_jaccard_join,
+        op6_grid_order_embedding_join,
         op7_token_counts,
         op8_substring_dedup,
+        op9_pseudo_likelihood,
         op10_toxicity_grammar,
     )
 }
