@@ -9,7 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, token_counts, toxicity
+from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity
 from kiln.llm.common import held_out, prepare
 
 #: Folder of the vocabulary files; the names in it are parameters of the operators.
@@ -42,6 +42,13 @@ def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.round_trip(docs, vocabulary(BPE_FILE)).select("doc_id", "bpe.*")
 
 
+def op3_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_index.dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cut.select(
+        "doc_id", "cut.n_bytes", "cut.n_removed", F.size("cut.spans").cast("long").alias("n_spans"), "cut.kept_sha256"
+    )
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"))
@@ -98,6 +105,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_quality_classifier,
         op2_bpe_round_trip,
+        op3_suffix_array_dedup,
         op4_benchmark_decontamination,
         op5_parity_jaccard_join,
         op6_grid_order_embedding_join,
