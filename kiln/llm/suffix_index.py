@@ -2,14 +2,15 @@
 
 Looks for byte strings of ``length`` bytes that start at two places or more. Suffixes are sampled by content: of
 every window of ``length`` bytes the position whose next ``PREFIX`` bytes hash smallest is a sample, so equal
-windows have the same sample at the same offset, and about one position in 150 is one. The sampled suffixes of a
-batch of documents, sorted by their first bytes and the hash of their prefix, are its (sparse) suffix array.
+windows have the same sample at the same offset, and about one position in 180 is one. The sampled suffixes of a
+batch of documents, sorted by prefix (by its hash, within partitions by hash), are its sparse suffix array.
 
-Levels: a new batch's array is merge-scanned against itself and against every existing level (sort-merge
-joins on the prefix); suffixes whose prefix occurs at another place survive on both sides. Then the batch
-becomes a level of size 1, and levels of equal size are merged into one of twice the size, so n batches leave
-at most log2(n) + 1 levels and an entry is merged at most log2(n) times. Levels are written to the checkpoint
-folder as sorted tables.
+Levels: a new batch's array is merge-scanned against itself and against every existing level (sort-merge joins
+on the prefix; arrays and levels are partitioned and sorted alike, so a scan moves nothing); suffixes whose
+prefix occurs at another place survive on both sides. Then the batch becomes a level of size 1. Before the next
+batch, levels of equal size are merged into one of twice the size, so n batches leave about log2(n) levels and
+an entry is merged at most log2(n) times. Levels are sorted tables in the checkpoint folder. Of equal prefixes
+in one Arrow slice only the first enters the index; the others are known to survive.
 
 Survivors are matched in full: the bytes of all windows that share a surviving sample meet by its prefix, and a
 window is removed if the same bytes start at another place. Each Arrow slice folds equal contexts first (one
@@ -32,8 +33,9 @@ from pyspark.sql import functions as F
 
 from kiln.llm.common import BYTE_BASE, Slice, as_signed, mix64, runs_of, text_slices, window_hash
 from kiln.llm.substring import _keyed
+from kiln.session import shuffle_partitions
 
-LENGTH, PREFIX = 400, 100
+LENGTH, PREFIX = 400, 32
 BATCHES = 4
 #: Places of a prefix beyond which its windows are dealt out by hash.
 HOT = 20_000
@@ -80,7 +82,7 @@ def samples(s: Slice, length: int, prefix: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _entries(length: int, prefix: int):
-    shape = pa.schema([("head", pa.int64()), ("h", pa.int64()), ("key", pa.int64()), ("pos", pa.int64())])
+    shape = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("sure", pa.bool_())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -88,46 +90,45 @@ def _entries(length: int, prefix: int):
             for whole in text_slices(b.column("text"), SEGMENT):
                 for off, s in segments(whole, length):
                     at, doc, _, _, h = samples(s, length, prefix)
-                    head = np.zeros(len(at), np.uint64)
-                    for j in range(8):
-                        head = head << _U(8) | s.buf[at + j].astype(np.uint64)
-                    # shifted so that the signed order is the order of the bytes
-                    yield pa.RecordBatch.from_arrays(
-                        [as_signed(head ^ _U(1 << 63)), as_signed(h), pa.array(keys[s.first + doc]), pa.array(at - s.off[doc] + off)], schema=shape
-                    )
+                    key, pos = keys[s.first + doc], at - s.off[doc] + off
+                    _, lead, inverse, n = np.unique(h, return_index=True, return_inverse=True, return_counts=True)
+                    first = np.zeros(len(h), bool)
+                    first[lead] = True
+                    # another place than the first of the prefix: both survive
+                    other = (key != key[lead][inverse]) | (pos != pos[lead][inverse])
+                    twice = (np.bincount(inverse, weights=other, minlength=len(n)) > 0)[inverse]
+                    # indexed: the first of each prefix, and not twice; sure: known to survive
+                    rows = np.concatenate([np.flatnonzero(first), np.flatnonzero(twice)])
+                    sure = np.arange(len(rows)) >= len(lead)
+                    yield pa.RecordBatch.from_arrays([as_signed(h[rows]), pa.array(key[rows]), pa.array(pos[rows]), pa.array(sure)], schema=shape)
 
-    return run, "head long, h long, key long, pos long"
+    return run, "h long, key long, pos long, sure boolean"
 
 
 class IndexFamily:
-    """Levels of sorted suffix arrays; ``add`` scans a batch against them and returns the surviving places."""
+    """Levels of suffix arrays (h, key, pos); ``scan`` finds what a batch shares with them, and adds it."""
 
-    def __init__(self) -> None:
+    def __init__(self, partitions: int) -> None:
+        self.partitions = partitions
         self.levels: list[tuple[int, DataFrame]] = []
 
-    @staticmethod
-    def _sorted(entries: DataFrame) -> DataFrame:
-        return entries.repartitionByRange("head", "h").sortWithinPartitions("head", "h", "key", "pos").checkpoint()
+    def arranged(self, entries: DataFrame) -> DataFrame:
+        """Entries as suffix arrays are kept: partitioned and sorted by prefix, in a table of their own."""
+        return entries.repartition(self.partitions, "h").sortWithinPartitions("h", "key", "pos").checkpoint()
 
-    def add(self, entries: DataFrame) -> DataFrame:
-        """Survivors (head, h, key, pos): of the batch, and of the levels where a batch's prefix occurs."""
-        array = self._sorted(entries)
+    def scan(self, array: DataFrame) -> DataFrame:
+        """Survivors (h, key, pos): of the batch, and of the levels where a prefix of the batch occurs."""
+        while len(self.levels) > 1 and self.levels[-1][0] == self.levels[-2][0]:
+            (size, a), (_, b) = self.levels.pop(), self.levels.pop()
+            self.levels.append((2 * size, self.arranged(b.union(a))))
         place = F.struct("key", "pos")
-        within = array.groupBy("head", "h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b")
-        found = [array.join(within.select("head", "h"), ["head", "h"], "left_semi")]
+        within = array.groupBy("h").agg(F.min(place).alias("a"), F.max(place).alias("b")).where("a != b")
+        found = array.join(within.select("h"), "h", "left_semi")
         for _, level in self.levels:
-            found.append(array.join(level.select("head", "h"), ["head", "h"], "left_semi"))
-            found.append(level.join(array.select("head", "h"), ["head", "h"], "left_semi"))
-        out = found[0]
-        for f in found[1:]:
-            out = out.union(f)
-        out = out.distinct().checkpoint()
-        size = 1
-        while self.levels and self.levels[-1][0] == size:
-            array = self._sorted(self.levels.pop()[1].union(array))
-            size *= 2
-        self.levels.append((size, array))
-        return out
+            found = found.union(array.join(level.select("h"), "h", "left_semi"))
+            found = found.union(level.join(array.select("h"), "h", "left_semi"))
+        self.levels.append((1, array))
+        return found
 
 
 def _contexts(length: int, prefix: int):
@@ -234,14 +235,16 @@ def _repeats(length: int):
 
 
 def survivors(docs: DataFrame, length: int, prefix: int, batches: int) -> DataFrame:
-    """Places (head, h, key, pos) of sampled suffixes whose prefix occurs at another place, batch by batch."""
+    """Places (h, key, pos) of sampled suffixes whose prefix occurs at another place, batch by batch."""
     run, kind = _entries(length, prefix)
-    entries = docs.select("key", "text").mapInArrow(run, kind).checkpoint()
-    family, found = IndexFamily(), None
+    family = IndexFamily(shuffle_partitions(docs.sparkSession))
+    # one pass over the texts; the suffix array of each batch is a part of this table, sorted as it is
+    entries = family.arranged(docs.select("key", "text").mapInArrow(run, kind))
+    found = entries.where("sure").select("h", "key", "pos")
     for k in range(batches):
-        got = family.add(entries.where(F.pmod("key", F.lit(batches)) == k))
-        found = got if found is None else found.union(got)
-    return found.distinct()
+        array = entries.where(~F.col("sure") & (F.pmod("key", F.lit(batches)) == k)).select("h", "key", "pos")
+        found = found.union(family.scan(array))
+    return found.distinct().checkpoint()
 
 
 def _spans(length: int):
@@ -275,11 +278,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, prefix: int = PREFIX, batches:
     """``docs`` with a struct ``out``: n_bytes, n_removed, spans (removed byte ranges), kept (the other bytes) and
     kept_sha256. Every byte covered by a ``length``-byte string that starts at another place, too, is removed."""
     if not 8 <= prefix <= length:
-        raise ValueError("prefix must be from 8 to length")
+        raise ValueError("prefix must be from 8 to length bytes")
     rows = _keyed(docs, text)
     found = survivors(rows, length, prefix, batches)
-    times = found.groupBy("head", "h").agg(F.count("*").alias("times"))
-    alive = found.join(times, ["head", "h"]).groupBy("key").agg(F.collect_list("pos").alias("pos"), F.collect_list("times").alias("times"))
+    times = found.groupBy("h").agg(F.count("*").alias("times"))
+    alive = found.join(times, "h").groupBy("key").agg(F.collect_list("pos").alias("pos"), F.collect_list("times").alias("times"))
     run, kind = _contexts(length, prefix)
     ctx = rows.join(alive, "key").mapInArrow(run, kind)
     run, kind = _repeats(length)
