@@ -82,7 +82,8 @@ def samples(s: Slice, length: int, prefix: int) -> tuple[np.ndarray, np.ndarray,
 
 
 def _entries(length: int, prefix: int):
-    shape = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("sure", pa.bool_())])
+    # sure rows have their prefix in ``own`` and any number in ``h``: they need no meeting and go anywhere
+    shape = pa.schema([("h", pa.int64()), ("key", pa.int64()), ("pos", pa.int64()), ("own", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -100,9 +101,11 @@ def _entries(length: int, prefix: int):
                     # indexed: the first of each prefix, and not twice; sure: known to survive
                     rows = np.concatenate([np.flatnonzero(first), np.flatnonzero(twice)])
                     sure = np.arange(len(rows)) >= len(lead)
-                    yield pa.RecordBatch.from_arrays([as_signed(h[rows]), pa.array(key[rows]), pa.array(pos[rows]), pa.array(sure)], schema=shape)
+                    loose = mix64(key[rows].view(np.uint64) + mix64(pos[rows].astype(np.uint64)))
+                    own = pa.array(h[rows].view(np.int64), mask=~sure)
+                    yield pa.RecordBatch.from_arrays([as_signed(np.where(sure, loose, h[rows])), pa.array(key[rows]), pa.array(pos[rows]), own], schema=shape)
 
-    return run, "h long, key long, pos long, sure boolean"
+    return run, "h long, key long, pos long, own long"
 
 
 class IndexFamily:
@@ -240,9 +243,9 @@ def survivors(docs: DataFrame, length: int, prefix: int, batches: int) -> DataFr
     family = IndexFamily(shuffle_partitions(docs.sparkSession))
     # one pass over the texts; the suffix array of each batch is a part of this table, sorted as it is
     entries = family.arranged(docs.select("key", "text").mapInArrow(run, kind))
-    found = entries.where("sure").select("h", "key", "pos")
+    found = entries.where("own is not null").select(F.col("own").alias("h"), "key", "pos")
     for k in range(batches):
-        array = entries.where(~F.col("sure") & (F.pmod("key", F.lit(batches)) == k)).select("h", "key", "pos")
+        array = entries.where(F.col("own").isNull() & (F.pmod("key", F.lit(batches)) == k)).select("h", "key", "pos")
         found = found.union(family.scan(array))
     return found.distinct().checkpoint()
 
