@@ -7,6 +7,7 @@ slice by itself). Null texts count as empty.
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -197,7 +198,8 @@ def components(edges: DataFrame) -> DataFrame:
         if now == state:
             break
         state = now
-    return e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    found = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
+    return found.union(e.select("v", "v").distinct())
 
 
 def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table]:
@@ -218,3 +220,10 @@ def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table
             held.append(b.slice(a, z - a))
     if held:
         yield pa.Table.from_batches(held)
+
+
+def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again: its lineage ends there."""
+    path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

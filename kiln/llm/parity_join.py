@@ -2,20 +2,22 @@
 
 A document is its set of distinct word shingles (64-bit hashes). Two sets with Jaccard similarity of at least
 t differ in at most d = (|A| + |B|)(1 - t)/(1 + t) shingles, and their sizes differ by a factor of 1/t at
-most. Sizes are cut into bands of that factor, so partners are in the same or in adjacent bands. In a band
+most. Sizes are cut into bands at least that wide, so partners are in the same or in adjacent bands. In a band
 shingles are dealt by hash to K = d + 1 blocks, and the hashes of a block are XORed: blocks of two sets that
 agree have equal XORs, a differing shingle spoils one block, so of K blocks one at least must agree.
-Documents of the band, and of the band below, meet on (band, block, XOR).
+Documents of the band, and those below it that may have partners in it, meet on (band, block, XOR).
 
 An empty block says nothing, so it is joined with its successor, in which one difference is then allowed (keys
 for the block's XOR and for that XOR without each one shingle). No link is lost: if all agreeing blocks are
 empty, the differences beyond one a block are fewer than the agreeing blocks, so one of these has a successor
 with one difference at most.
 
-Sets that meet are candidates; the connected families of candidates are compared in cells of bounded size: bit
-sketches (shingles flip one bit each) have a Hamming distance that never exceeds the number of differing
-shingles, and pairs within the bound that aren't connected yet are verified on the shingles themselves. Links
-become spanning edges, and their components the classes.
+Each set has a bit sketch, too (every shingle flips one of about 2n bits), and the Hamming distance of two
+sketches never exceeds the number of differing shingles. Sets that meet on a key are held against its
+smallest by their sketches. If all are close, the key is done; the members of the others are compared with each
+other, again by sketch, unless they are connected already. Families of sets connected by close sketches are
+compared in cells of bounded size: pairs within the bound that aren't linked yet are verified on the shingles
+themselves. Links become spanning edges, and their components the classes.
 
 Equal sets are one node from the start. Each Arrow slice folds equal keys before the shuffle (one row of a key
 a slice, the others become candidate edges at once), so a group of copies of any size meets as one row a
@@ -46,6 +48,7 @@ from kiln.llm.common import (
     row_key,
     runs_of,
     split_words,
+    stored,
     text_slices,
     window_hash,
     word_hashes,
@@ -53,9 +56,12 @@ from kiln.llm.common import (
 
 #: Shingles of one piece of a family, and rows of it.
 CELL_SHINGLES, CELL_ROWS = 1 << 20, 4096
+#: A band is as wide as so many times the largest factor between sizes of partners.
+BAND_STEPS = 2
 SLICE = 4 << 20
 _DOC_BITS = 13  # rows of a slice; the other 51 bits of a word are a shingle's hash
 _U = np.uint64
+_SPARSE = _U(0xE3779B97F4A7C15F)
 
 
 def shingles(s: Slice, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -99,7 +105,10 @@ def band_edges(top: int, num: int, den: int) -> list[int]:
     """Smallest size of each band, up to the band above that of ``top``."""
     edges = [1]
     while len(edges) < 3 or edges[-3] <= top:
-        edges.append(edges[-1] * den // num + 1)
+        size = edges[-1]
+        for _ in range(BAND_STEPS):
+            size = size * den // num + 1
+        edges.append(size)
     return edges
 
 
@@ -111,39 +120,43 @@ def block_keys(value: np.ndarray, first: np.ndarray, num: int, den: int) -> tupl
         return np.zeros(0, np.int64), np.zeros(0, np.uint64)
     edges = np.array(band_edges(int(n.max()), num, den))
     own = np.searchsorted(edges, n[live], "right") - 1
+    # shingles lie set by set; empty sets have none
+    which = np.repeat(np.arange(len(live)), n[live])
+    up = n[live] * den // num >= edges[own + 1]
     rows, keys = [], []
-    for band in (own, own + 1):
+    for band, some in ((own, np.ones(len(live), bool)), (own + 1, up)):
+        number_of = np.cumsum(some) - 1
+        kept = some[which]
+        part, band = live[some], band[some]
+        shingle, of = value[kept], number_of[which[kept]]
         blocks = 2 * (edges[band + 1] - 1) * (den - num) // (den + num) + 1
         base = np.concatenate([[0], np.cumsum(blocks)])
-        size = n[live]
-        which = np.repeat(np.arange(len(live)), size)  # shingles lie set by set; empty sets have none
-        at = base[:-1][which] + ((value >> _U(11)) % blocks.astype(np.uint64)[which]).astype(np.int64)
+        at = base[:-1][of] + ((shingle >> _U(11)) % blocks.astype(np.uint64)[of]).astype(np.int64)
         xor = np.zeros(base[-1], np.uint64)
-        np.bitwise_xor.at(xor, at, value)
-        count = np.bincount(at, minlength=base[-1])
-        node = np.repeat(np.arange(len(live)), blocks)
+        np.bitwise_xor.at(xor, at, shingle)
+        full = np.bincount(at, minlength=base[-1]) > 0
+        node = np.repeat(np.arange(len(part)), blocks)
         number = np.arange(base[-1]) - base[:-1][node]
         tag = mix64((band[node].astype(np.uint64) << _U(40)) | number.astype(np.uint64))
-        full = count > 0
-        rows.append(live[node[full]])
+        rows.append(part[node[full]])
         keys.append(mix64(tag[full] ^ xor[full]))
         # empty blocks: with their successors, one difference allowed
         empty = np.flatnonzero(~full)
         if len(empty):
             after = base[:-1][node[empty]] + (number[empty] + 1) % blocks[node[empty]]
-            rows.append(live[node[empty]])
-            keys.append(mix64(tag[empty] ^ xor[after] ^ _U(0xE3779B97F4A7C15F)))
+            rows.append(part[node[empty]])
+            keys.append(mix64(tag[empty] ^ xor[after] ^ _SPARSE))
             before = np.full(base[-1], -1)
             before[after] = empty
             one = before[at] >= 0
             blank = before[at[one]]
-            rows.append(live[which[one]])
-            keys.append(mix64(tag[blank] ^ xor[at[one]] ^ value[one] ^ _U(0xE3779B97F4A7C15F)))
+            rows.append(part[of[one]])
+            keys.append(mix64(tag[blank] ^ xor[at[one]] ^ shingle[one] ^ _SPARSE))
     return np.concatenate(rows), np.concatenate(keys)
 
 
 def _meet(width: int, num: int, den: int):
-    shape = pa.schema([("route", pa.int64()), ("a", pa.int64()), ("b", pa.int64())])
+    shape = pa.schema([("route", pa.int64()), ("a", pa.int64()), ("b", pa.int64()), ("key", pa.int64())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -155,38 +168,135 @@ def _meet(width: int, num: int, den: int):
                 _, lead, inverse = np.unique(key, return_index=True, return_inverse=True)
                 # the first set of each key asks for others; the further ones are its candidates already
                 pivot = node[lead][inverse]
-                more = pivot != node
-                pairs = np.unique(np.column_stack([pivot[more], node[more]]), axis=0) if more.any() else np.zeros((0, 2), np.uint64)
+                more = np.flatnonzero(pivot != node)
                 lead = np.sort(lead)  # rows of a set together: they compress well
-                a = np.concatenate([node[lead], pairs[:, 0]])
-                route = np.concatenate([key[lead], mix64(pairs[:, 0] ^ pairs[:, 1])])
-                b = pa.array(np.concatenate([np.zeros(len(lead), np.uint64), pairs[:, 1]]).view(np.int64), mask=np.arange(len(a)) < len(lead))
-                yield pa.RecordBatch.from_arrays([as_signed(route), as_signed(a), b], schema=shape)
+                a = np.concatenate([node[lead], node[more]])
+                route = np.concatenate([key[lead], mix64(node[more] ^ key[more])])
+                met = np.arange(len(a)) >= len(lead)
+                b = np.concatenate([np.zeros(len(lead), np.uint64), pivot[more]]).view(np.int64)
+                k = np.concatenate([np.zeros(len(lead), np.uint64), key[more]]).view(np.int64)
+                yield pa.RecordBatch.from_arrays([as_signed(route), as_signed(a), pa.array(b, mask=~met), pa.array(k, mask=~met)], schema=shape)
 
-    return run, "route long, a long, b long"
+    return run, "route long, a long, b long, key long"
 
 
-def candidates(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Candidate edges (u, v) between set ids, enough to connect all sets that meet on a key."""
+def meetings(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Rows (key, p, a): set a meets set p, the smallest of its slice or of all slices, on a key."""
     run, kind = _meet(width, num, den)
     rows = docs.select("text").mapInArrow(run, kind)
     pivot = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("route"))
-    met = rows.withColumn("p", F.when(F.col("b").isNull(), pivot).otherwise(F.col("b")))
-    return met.where("p != a").select(F.greatest("a", "p").alias("u"), F.least("a", "p").alias("v")).distinct()
+    met = rows.withColumn("p", F.coalesce("b", pivot)).withColumn("key", F.coalesce("key", "route"))
+    return met.where("p != a").select("key", "p", "a")
+
+
+def sketch_of(value: np.ndarray) -> bytes:
+    """A bit for each of at least 2n hash places: whether an odd number of the n shingles falls on it."""
+    bits = max(64, 1 << int(2 * len(value) - 1).bit_length()) if len(value) else 64
+    odd = np.bincount((value & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
+
+
+def fold(sketch: np.ndarray, size: int) -> np.ndarray:
+    """The sketch of the same set with fewer bits (64 * size)."""
+    return np.bitwise_xor.reduce(sketch.reshape(-1, size), axis=0)
+
+
+def close(sa: bytes, na: int, sb: bytes, nb: int, num: int, den: int) -> bool:
+    """False only if two sets can't be linked: by their sizes, or by the distance of their sketches."""
+    if min(na, nb) * den < max(na, nb) * num:
+        return False
+    a, b = np.frombuffer(sa, np.uint64), np.frombuffer(sb, np.uint64)
+    size = min(len(a), len(b))
+    apart = int(np.bitwise_count(fold(a, size) ^ fold(b, size)).sum())
+    return apart <= (na + nb) * (den - num) // (den + num)
+
+
+def _close_udf(num: int, den: int):
+    def run(sa: pa.Array, na: pa.Array, sb: pa.Array, nb: pa.Array) -> pa.Array:
+        rows = zip(sa.to_pylist(), na.to_pylist(), sb.to_pylist(), nb.to_pylist(), strict=True)
+        return pa.array([close(*r, num, den) for r in rows], pa.bool_())
+
+    return F.arrow_udf(run, "boolean")
+
+
+def _near_pairs(num: int, den: int):
+    """Of the sets that meet on a key, edges that connect those of different families with close sketches."""
+    shape = pa.schema([("u", pa.int64()), ("v", pa.int64())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in runs_of(batches, "cell"):
+            for part in _parts(t, ["group", "low", "high"]):
+                node, n = part.column("node").to_numpy(), part.column("n").to_numpy()
+                family, side = part.column("family").to_numpy().copy(), part.column("piece").to_numpy()
+                sketch = part.column("sketch").to_pylist()
+                across = len(np.unique(side)) > 1
+                u, v = [], []
+                for x in range(len(node)):
+                    open_ = np.flatnonzero(family[x + 1 :] != family[x]) + x + 1
+                    if across:
+                        open_ = open_[side[open_] != side[x]]
+                    for y in open_.tolist():
+                        if family[y] != family[x] and close(sketch[x], n[x], sketch[y], n[y], num, den):
+                            u.append(node[x])
+                            v.append(node[y])
+                            family[family == family[y]] = family[x]
+                if u:
+                    yield pa.RecordBatch.from_arrays([pa.array(u, pa.int64()), pa.array(v, pa.int64())], schema=shape)
+
+    return run, "u long, v long"
+
+
+def _parts(t: pa.Table, keys: list[str]) -> Iterator[pa.Table]:
+    """A cell's rows; two cells may share a hash, and are told apart by their keys."""
+    groups = t.group_by(keys).aggregate([]).to_pylist()
+    for key in groups:
+        yield t if len(groups) == 1 else t.filter(pa.array(np.all([t.column(k).to_numpy() == v for k, v in key.items()], axis=0)))
+
+
+def in_cells(rows: DataFrame, load: DataFrame) -> DataFrame:
+    """Rows of groups (column ``group``), sorted into cells; ``load`` has (group, pieces). A group of several
+    pieces has a cell for each pair of them, and each row goes to the cells of its piece."""
+    full = rows.join(load, "group").withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
+    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
+    full = full.withColumn("low", F.least("piece", "other")).withColumn("high", F.greatest("piece", "other"))
+    full = full.withColumn("cell", F.xxhash64("group", "low", "high")).drop("other", "pieces")
+    return full.repartition("cell").sortWithinPartitions("cell", "node")
+
+
+def families(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) -> DataFrame:
+    """Rows (node, family): sets connected by close sketches; linked sets are always in one family."""
+    spark = docs.sparkSession
+    met = stored(spark, meetings(docs, width, num, den))
+    sets = sizes.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
+    side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c))
+    edges = met.select("p", "a").distinct().join(side("p"), "p").join(side("a"), "a")
+    edges = edges.select("p", "a", _close_udf(num, den)("sp", "np", "sa", "na").alias("near")).checkpoint()
+    near = edges.where("near").select(F.col("p").alias("u"), F.col("a").alias("v"))
+    family = components(near)
+    mixed = met.join(edges.where("not near").select("p", "a"), ["p", "a"], "left_semi").select("key").distinct()
+    again = met.join(mixed, "key", "left_semi")
+    members = again.select(F.col("key").alias("group"), F.explode(F.array("p", "a")).alias("node")).distinct()
+    members = members.join(family.withColumnRenamed("component", "family"), "node", "left").withColumn("family", F.coalesce("family", "node"))
+    # where one family is left of a key, nothing is to be compared
+    load = members.groupBy("group").agg(F.count("*").alias("rows"), F.min("family").alias("x"), F.max("family").alias("y"))
+    load = load.where("x != y").select("group", F.ceil(F.col("rows") / CELL_ROWS).cast("int").alias("pieces"))
+    run, kind = _near_pairs(num, den)
+    more = in_cells(members.join(sets, "node"), load).mapInArrow(run, kind)
+    return components(near.union(more)).withColumnRenamed("component", "family")
 
 
 def _sets(width: int):
-    shape = pa.schema([("family", pa.int64()), ("node", pa.int64()), ("n", pa.int32()), ("pieces", pa.int32()), ("set", pa.binary())])
+    shape = pa.schema([("group", pa.int64()), ("node", pa.int64()), ("set", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for s in _sliced(batch.column("text")):
                 value, first = shingles(s, width)
                 raw = [np.sort(value[a:b]).tobytes() for a, b in zip(first[:-1], first[1:], strict=True)]
-                own = [batch.column(c).slice(s.first, s.rows) for c in ("family", "node", "n", "pieces")]
+                own = [batch.column(c).slice(s.first, s.rows) for c in ("group", "node")]
                 yield pa.RecordBatch.from_arrays([*own, pa.array(raw, pa.binary())], schema=shape)
 
-    return run, "family long, node long, n int, pieces int, set binary"
+    return run, "group long, node long, set binary"
 
 
 def link_cell(ids: np.ndarray, sets: list[np.ndarray], side: np.ndarray, num: int, den: int) -> list[tuple[int, int]]:
@@ -228,10 +338,7 @@ def _cells(num: int, den: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs_of(batches, "cell"):
-            # two cells may share a hash: the family tells them apart
-            for key in t.group_by(["family", "low", "high"]).aggregate([]).to_pylist():
-                own = np.all([t.column(k).to_numpy() == v for k, v in key.items()], axis=0)
-                rows = t.filter(pa.array(own))
+            for rows in _parts(t, ["group", "low", "high"]):
                 sets = [np.frombuffer(x, np.uint64) for x in rows.column("set").to_pylist()]
                 side = rows.column("piece").to_numpy()
                 found = link_cell(rows.column("node").to_numpy(), sets, side, num, den)
@@ -243,42 +350,35 @@ def _cells(num: int, den: int):
 
 
 def signatures(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``sig``: node (the set's id) and n (its size)."""
+    """``docs`` with a struct ``sig``: node (the set's id), n (its size) and sketch (about n / 4 bytes)."""
 
     def run(texts: pa.Array) -> pa.Array:
-        ids, n = [], []
+        ids, n, sketch = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
         for s in _sliced(texts):
             value, first = shingles(s, width)
             ids.append(set_ids(value, first))
             n.append(np.diff(first))
-        none = np.zeros(0, np.uint64)
-        return pa.StructArray.from_arrays(
-            [as_signed(np.concatenate([none, *ids])), pa.array(np.concatenate([none.astype(np.int32), *n]).astype(np.int32))], ["node", "n"]
-        )
+            sketch += [sketch_of(value[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        columns = [as_signed(np.concatenate(ids)), pa.array(np.concatenate(n).astype(np.int32)), pa.array(sketch, pa.binary())]
+        return pa.StructArray.from_arrays(columns, ["node", "n", "sketch"])
 
-    return docs.withColumn("sig", F.arrow_udf(run, "node long, n int")(F.col(text)))
+    return docs.withColumn("sig", F.arrow_udf(run, "node long, n int, sketch binary")(F.col(text)))
 
 
 def links(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) -> DataFrame:
-    """Edges (u, v) between linked set ids that connect all that are linked; ``sizes``: (key, node, n) by row."""
-    family = components(candidates(docs, width, num, den)).withColumnRenamed("component", "family")
+    """Edges (u, v) between linked set ids that connect all that are linked; ``docs``: (key, text), ``sizes``:
+    (key, node, n, sketch), one for each row."""
+    family = families(docs, sizes, width, num, den).withColumnRenamed("family", "group")
     # one row stands for all with the same set
     nodes = sizes.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"))
     nodes = nodes.join(family, "node").checkpoint()
-    weight = nodes.groupBy("family").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
+    load = nodes.groupBy("group").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
     pieces = F.greatest(F.ceil(F.col("total") / CELL_SHINGLES), F.ceil(F.col("rows") / CELL_ROWS)).cast("int")
-    nodes = nodes.join(weight.select("family", pieces.alias("pieces")), "family")
     run, kind = _sets(width)
-    # rows that repeat as a whole share a key: each node is taken once, whatever the join returns
-    texts = docs.join(nodes, "key").select("family", "node", "n", "pieces", "text")
-    full = texts.mapInArrow(run, kind)
-    full = full.withColumn("piece", F.pmod(F.xxhash64("node"), F.col("pieces")).cast("int"))
-    full = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)))
-    full = full.withColumn("low", F.least("piece", "other")).withColumn("high", F.greatest("piece", "other"))
-    full = full.withColumn("cell", F.xxhash64("family", "low", "high"))
-    cells = full.select("cell", "family", "low", "high", "piece", "node", "set").repartition("cell").sortWithinPartitions("cell", "node")
+    # rows that repeat as a whole share a key and bring a set twice, which links nothing more
+    sets = docs.join(nodes.select("key", "node", "group"), "key").select("group", "node", "text").mapInArrow(run, kind)
     run, kind = _cells(num, den)
-    return cells.mapInArrow(run, kind)
+    return in_cells(sets, load.select("group", pieces.alias("pieces"))).mapInArrow(run, kind)
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text") -> DataFrame:
@@ -286,8 +386,9 @@ def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text")
     rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
     rows = docs.select(rest.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("key", row_key())
-    marked = signatures(rows, width).select("row", "doc_id", "key", "sig.node", "sig.n").checkpoint()
-    found = components(links(rows.select("key", "text"), marked.select("key", "node", "n"), width, num, den))
+    marked = stored(docs.sparkSession, signatures(rows, width).select("row", "doc_id", "key", "sig.*"))
+    found = components(links(rows.select("key", "text"), marked.select("key", "node", "n", "sketch"), width, num, den))
+    marked = marked.drop("sketch")
     marked = marked.join(found, "node", "left")
     marked = marked.withColumn("class", F.when(F.col("n") > 0, F.coalesce("component", "node")))
     # classes of one row need no meeting: only the others are summed by class

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from kiln.llm.common import WORD_BASE, Slice, mix64, owner, split_words, text_slices, window_hash, word_hashes
 
 BUCKETS = 1 << 17
-MAX_DOCS = 6000
+MAX_DOCS = 3000
 CHAR_GRAMS = (2, 3, 4)
 _U = np.uint64
 
