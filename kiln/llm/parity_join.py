@@ -211,10 +211,26 @@ def close(sa: bytes, na: int, sb: bytes, nb: int, num: int, den: int) -> bool:
     return apart <= (na + nb) * (den - num) // (den + num)
 
 
+def close_pairs(sa: list[bytes], na: np.ndarray, sb: list[bytes], nb: np.ndarray, num: int, den: int) -> np.ndarray:
+    """``close`` for many pairs: those with sketches of the same two lengths at once."""
+    out = np.minimum(na, nb) * den >= np.maximum(na, nb) * num
+    lengths = np.array([(len(a) // 8, len(b) // 8) for a, b in zip(sa, sb, strict=True)]).reshape(-1, 2)
+    for la, lb in np.unique(lengths[out], axis=0):
+        rows = np.flatnonzero(out & (lengths[:, 0] == la) & (lengths[:, 1] == lb))
+        size = min(la, lb)
+        a, b = (
+            np.bitwise_xor.reduce(np.frombuffer(b"".join([x[i] for i in rows]), np.uint64).reshape(len(rows), -1, size), axis=1)
+            for x in (sa, sb)
+        )
+        apart = np.bitwise_count(a ^ b).sum(axis=1, dtype=np.int64)
+        out[rows] = apart <= (na[rows] + nb[rows]) * (den - num) // (den + num)
+    return out
+
+
 def _close_udf(num: int, den: int):
     def run(sa: pa.Array, na: pa.Array, sb: pa.Array, nb: pa.Array) -> pa.Array:
-        rows = zip(sa.to_pylist(), na.to_pylist(), sb.to_pylist(), nb.to_pylist(), strict=True)
-        return pa.array([close(*r, num, den) for r in rows], pa.bool_())
+        n = [x.to_numpy(zero_copy_only=False).astype(np.int64) for x in (na, nb)]
+        return pa.array(close_pairs(sa.to_pylist(), n[0], sb.to_pylist(), n[1], num, den))
 
     return F.arrow_udf(run, "boolean")
 
@@ -226,15 +242,20 @@ def _near_pairs(num: int, den: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in runs_of(batches, "cell"):
             for part in _parts(t, ["group", "low", "high"]):
-                node, n = part.column("node").to_numpy(), part.column("n").to_numpy()
+                node, n = part.column("node").to_numpy(), part.column("n").to_numpy().astype(np.int64)
                 family, side = part.column("family").to_numpy().copy(), part.column("piece").to_numpy()
                 sketch = part.column("sketch").to_pylist()
                 across = len(np.unique(side)) > 1
+                size = min(len(x) for x in sketch) // 8
+                short = np.array([fold(np.frombuffer(x, np.uint64), size) for x in sketch])
                 u, v = [], []
                 for x in range(len(node)):
                     open_ = np.flatnonzero(family[x + 1 :] != family[x]) + x + 1
                     if across:
                         open_ = open_[side[open_] != side[x]]
+                    # folded sketches first: all pairs of a set in one step
+                    apart = np.bitwise_count(short[open_] ^ short[x]).sum(axis=1, dtype=np.int64)
+                    open_ = open_[apart <= (n[open_] + n[x]) * (den - num) // (den + num)]
                     for y in open_.tolist():
                         if family[y] != family[x] and close(sketch[x], n[x], sketch[y], n[y], num, den):
                             u.append(node[x])

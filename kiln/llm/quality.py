@@ -15,6 +15,7 @@ labels with a null id or value are left out, repeated labels count once each.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -27,32 +28,30 @@ from kiln.llm.common import WORD_BASE, Slice, mix64, owner, split_words, text_sl
 BUCKETS = 1 << 17
 MAX_DOCS = 3000
 CHAR_GRAMS = (2, 3, 4)
+SLICE = 1 << 19
 _U = np.uint64
 
 
-def features(s: Slice, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
-    """(text, bucket) of every feature of a slice, in no order."""
+def feature_groups(s: Slice, buckets: int = BUCKETS) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(text, bucket) of every feature of a slice, one kind of feature after the other."""
+
+    def bucket(h: np.ndarray) -> np.ndarray:
+        return ((h >> _U(20)) & _U(buckets - 1)).astype(np.int32)
+
     w = split_words(s)
     h = word_hashes(s.buf, w)
-    rows, found = [], []
     if len(h):
-        doc = owner(w.first)
-        rows.append(doc)
-        found.append(h)
-        pair = window_hash(h, 2, WORD_BASE)
+        doc = owner(w.first).astype(np.int32)
+        yield doc, bucket(h)
         inside = doc[1:] == doc[:-1]
-        same = mix64(np.where(h[1:] == h[:-1], _U(0x5EED), _U(0xFEED)))
-        for x in (pair, same):
-            rows.append(doc[1:][inside])
-            found.append(x[inside])
+        yield doc[1:][inside], bucket(window_hash(h, 2, WORD_BASE)[inside])
+        yield doc[1:][inside], bucket(mix64(np.where(h[1:] == h[:-1], _U(0x5EED), _U(0xFEED)))[inside])
         order = np.lexsort((h, doc))
-        seen = np.zeros(len(h), bool)
+        seen = np.zeros(len(h), np.uint64)
         seen[order[1:]] = (h[order[1:]] == h[order[:-1]]) & (doc[order[1:]] == doc[order[:-1]])
-        rows.append(doc)
-        found.append(mix64(seen.astype(np.uint64) + _U(0xABCD)))
+        yield doc, bucket(mix64(seen + _U(0xABCD)))
     chars = s.buf.astype(np.uint64)
-    starts = np.arange(len(chars))
-    text = np.repeat(np.arange(s.rows), np.diff(s.off))
+    text = np.repeat(np.arange(s.rows, dtype=np.int32), np.diff(s.off))
     for n in CHAR_GRAMS:
         if len(chars) < n:
             continue
@@ -61,12 +60,13 @@ def features(s: Slice, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
         for j in range(n):
             x = x << _U(8) | chars[j : j + m]
         inside = text[:m] == text[n - 1 :]
-        rows.append(text[:m][inside])
-        found.append(mix64(x[inside]))
-    del starts
-    if not rows:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    return np.concatenate(rows), (np.concatenate(found) >> _U(20)).astype(np.int64) & (buckets - 1)
+        yield text[:m][inside], bucket(mix64(x)[inside])
+
+
+def features(s: Slice, buckets: int = BUCKETS) -> tuple[np.ndarray, np.ndarray]:
+    groups = list(feature_groups(s, buckets))
+    none = np.zeros(0, np.int32)
+    return np.concatenate([none, *(r for r, _ in groups)]), np.concatenate([none, *(f for _, f in groups)])
 
 
 class Model(NamedTuple):
@@ -75,10 +75,11 @@ class Model(NamedTuple):
 
     def scores(self, col: pa.Array) -> np.ndarray:
         out = np.full(len(col), self.bias)
-        for s in text_slices(col):
-            row, f = features(s, len(self.weight))
-            n = np.bincount(row, minlength=s.rows)
-            total = np.bincount(row, weights=self.weight[f], minlength=s.rows)
+        for s in text_slices(col, SLICE):
+            n, total = np.zeros(s.rows, np.int64), np.zeros(s.rows)
+            for row, f in feature_groups(s, len(self.weight)):
+                n += np.bincount(row, minlength=s.rows)
+                total += np.bincount(row, weights=self.weight[f], minlength=s.rows)
             out[s.first : s.first + s.rows] += total / np.maximum(n, 1)
         return 1 / (1 + np.exp(-np.clip(out, -500, 500)))
 
@@ -94,7 +95,7 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> D
 def _counts(sample: DataFrame, buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
     def run(texts: pa.Array) -> pa.Array:
         out = []
-        for s in text_slices(texts):
+        for s in text_slices(texts, SLICE):
             row, f = features(s, buckets)
             key, n = np.unique(row.astype(np.int64) * buckets + f, return_counts=True)
             at = np.searchsorted(key, np.arange(s.rows + 1) * buckets)

@@ -39,7 +39,7 @@ MAX_LEXICON = 4000
 MIN_DOCS, MIN_PART, MIN_SHARE = 4, 0.015, 0.9
 PREFIXES = range(3, 8)
 #: Words remembered by one worker.
-MEMORY = 300_000
+MEMORY = 150_000
 
 OTHER, INSULT, THREAT, TARGET, NEGATION, REPORT, QUOTE, END = range(8)
 #: Public everyday words of the symbols (English, German, French, Spanish).
