@@ -32,6 +32,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: a checkpoint folder and Arrow batches of bounded size."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    # shuffles of a finished step (a checkpoint, a written table) don't stay on disk for the steps after it
+    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 

@@ -12,7 +12,7 @@ for the block's XOR and for that XOR without each one shingle). No link is lost:
 empty, the differences beyond one a block are fewer than the agreeing blocks, so one of these has a successor
 with one difference at most.
 
-Each set has a bit sketch, too (every shingle flips one of about 2n bits), and the Hamming distance of two
+Each set has a bit sketch, too (every shingle flips one of about n bits), and the Hamming distance of two
 sketches never exceeds the number of differing shingles. Sets that meet on a key are held against its
 smallest by their sketches. If all are close, the key is done; the members of the others are compared with each
 other, again by sketch, unless they are connected already. Families of sets connected by close sketches are
@@ -190,8 +190,8 @@ def meetings(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
 
 
 def sketch_of(value: np.ndarray) -> bytes:
-    """A bit for each of at least 2n hash places: whether an odd number of the n shingles falls on it."""
-    bits = max(64, 1 << int(2 * len(value) - 1).bit_length()) if len(value) else 64
+    """A bit for each of 0.75n to 1.5n hash places: whether an odd number of the n shingles falls on it."""
+    bits = max(64, 1 << (3 * len(value) // 4).bit_length())
     odd = np.bincount((value & _U(bits - 1)).astype(np.int64), minlength=bits) & 1
     return np.packbits(odd.astype(np.uint8), bitorder="little").tobytes()
 
@@ -371,7 +371,7 @@ def _cells(num: int, den: int):
 
 
 def signatures(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
-    """``docs`` with a struct ``sig``: node (the set's id), n (its size) and sketch (about n / 4 bytes)."""
+    """``docs`` with a struct ``sig``: node (the set's id), n (its size) and sketch (about n / 8 bytes)."""
 
     def run(texts: pa.Array) -> pa.Array:
         ids, n, sketch = [np.zeros(0, np.uint64)], [np.zeros(0, np.int64)], []
