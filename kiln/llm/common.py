@@ -22,6 +22,7 @@ from kiln.session import ensure_checkpoint_dir
 SLICE_BYTES = 1 << 20
 #: Rows of one Arrow batch: keeps a batch of long texts within some tens of MB.
 BATCH_ROWS = 2000
+HASH_BYTES = 1 << 18
 
 _U = np.uint64
 #: Odd multipliers of the polynomial hashes (any odd 64-bit numbers do).
@@ -75,7 +76,7 @@ _powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 def powers(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64, for i up to n."""
     if base not in _powers or len(_powers[base][0]) <= n:
-        size = max(1 << 16, 1 << int(n + 1).bit_length())
+        size = max(1 << 16, n + 1 + n // 8)
         out = []
         for b in (base, pow(base, -1, 1 << 64)):
             p = np.full(size, b, np.uint64)
@@ -136,7 +137,16 @@ def split_words(s: Slice, space: np.ndarray = SPACE) -> Words:
 
 
 def word_hashes(buf: np.ndarray, w: Words) -> np.ndarray:
-    return span_hash(prefix_hash(buf, BYTE_BASE), w.start, w.end, BYTE_BASE)
+    """Hash of each word; the byte sums are taken over some hundred KB at a time."""
+    out = np.empty(len(w.start), np.uint64)
+    i = 0
+    while i < len(out):
+        base = w.start[i]
+        j = max(i + 1, int(np.searchsorted(w.end, base + HASH_BYTES, "right")))
+        pre = prefix_hash(buf[base : w.end[j - 1]], BYTE_BASE)
+        out[i:j] = span_hash(pre, w.start[i:j] - base, w.end[i:j] - base, BYTE_BASE)
+        i = j
+    return out
 
 
 def owner(first: np.ndarray) -> np.ndarray:
