@@ -33,8 +33,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """Session settings the operators rely on: a checkpoint folder and Arrow batches of bounded size."""
     ensure_checkpoint_dir(spark)
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-    # shuffles of a finished step (a checkpoint, a written table) don't stay on disk for the steps after it
-    spark.conf.set("spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
     return spark
 
 
@@ -189,12 +187,12 @@ def components(edges: DataFrame) -> DataFrame:
     """Connected components of edges (u, v): rows (node, component), component the smallest node reachable.
 
     Alternating large-star and small-star rounds with minima from partial aggregates and joins, so a hub of
-    many links is never collected in one place; each round ends in a reliable checkpoint.
+    many links is never collected in one place; each round ends in a table of the checkpoint folder.
     """
     e = edges.where("u is not null and v is not null and u != v").select(
         F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")
     )
-    e = e.distinct().checkpoint()
+    e = stored(e.distinct())
     state = None
     while True:
         both = e.union(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -205,7 +203,7 @@ def components(edges: DataFrame) -> DataFrame:
         small = large.join(low, "u").select(
             F.when(F.col("v") > F.col("m"), F.col("v")).otherwise(F.col("u")).alias("u"), F.col("m").alias("v")
         )
-        e = small.where("u != v").distinct().checkpoint()
+        e = stored(small.where("u != v").distinct())
         now = e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break
@@ -234,8 +232,16 @@ def runs_of(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
-def stored(spark: SparkSession, df: DataFrame) -> DataFrame:
-    """``df`` written as a table in the shared checkpoint folder and read again: its lineage ends there."""
+def stored(df: DataFrame) -> DataFrame:
+    """``df`` written as a table in the shared checkpoint folder and read again: its lineage ends there, and the
+    shuffles behind it don't stay on disk for the steps after it."""
+    spark = df.sparkSession
     path = f"{ensure_checkpoint_dir(spark)}/table-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    cleanup = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(cleanup, "false")
+    spark.conf.set(cleanup, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(cleanup, before)
     return spark.read.schema(df.schema).parquet(path)

@@ -286,12 +286,11 @@ def in_cells(rows: DataFrame, load: DataFrame) -> DataFrame:
 
 def families(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Rows (node, family): sets connected by close sketches; linked sets are always in one family."""
-    spark = docs.sparkSession
-    met = stored(spark, meetings(docs, width, num, den))
+    met = stored(meetings(docs, width, num, den))
     sets = sizes.where("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.first("sketch").alias("sketch"))
     side = lambda c: sets.select(F.col("node").alias(c), F.col("n").alias("n" + c), F.col("sketch").alias("s" + c))
     edges = met.select("p", "a").distinct().join(side("p"), "p").join(side("a"), "a")
-    edges = edges.select("p", "a", _close_udf(num, den)("sp", "np", "sa", "na").alias("near")).checkpoint()
+    edges = stored(edges.select("p", "a", _close_udf(num, den)("sp", "np", "sa", "na").alias("near")))
     near = edges.where("near").select(F.col("p").alias("u"), F.col("a").alias("v"))
     family = components(near)
     mixed = met.join(edges.where("not near").select("p", "a"), ["p", "a"], "left_semi").select("key").distinct()
@@ -392,7 +391,7 @@ def links(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) ->
     family = families(docs, sizes, width, num, den).withColumnRenamed("family", "group")
     # one row stands for all with the same set
     nodes = sizes.where("n > 0").groupBy("node").agg(F.min("key").alias("key"), F.first("n").alias("n"))
-    nodes = nodes.join(family, "node").checkpoint()
+    nodes = stored(nodes.join(family, "node"))
     load = nodes.groupBy("group").agg(F.sum("n").alias("total"), F.count("*").alias("rows"))
     pieces = F.greatest(F.ceil(F.col("total") / CELL_SHINGLES), F.ceil(F.col("rows") / CELL_ROWS)).cast("int")
     run, kind = _sets(width)
@@ -407,7 +406,7 @@ def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text")
     rest = F.struct(*[F.col(c) for c in docs.columns if c != text])
     rows = docs.select(rest.alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.col(text).alias("text"))
     rows = rows.withColumn("key", row_key())
-    marked = stored(docs.sparkSession, signatures(rows, width).select("row", "doc_id", "key", "sig.*"))
+    marked = stored(signatures(rows, width).select("row", "doc_id", "key", "sig.*"))
     found = components(links(rows.select("key", "text"), marked.select("key", "node", "n", "sketch"), width, num, den))
     marked = marked.drop("sketch")
     marked = marked.join(found, "node", "left")

@@ -15,6 +15,7 @@ labels with a null id or value are left out, repeated labels count once each.
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from kiln.llm.common import WORD_BASE, Slice, mix64, owner, split_words, text_slices, window_hash, word_hashes
 
 BUCKETS = 1 << 17
-MAX_DOCS = 3000
+MAX_DOCS = 5000
 CHAR_GRAMS = (2, 3, 4)
 SLICE = 1 << 19
 _U = np.uint64
@@ -92,7 +93,9 @@ def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> D
     return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
 
 
-def _counts(sample: DataFrame, buckets: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+def _shares(buckets: int):
+    """Distinct buckets of a text with their shares of its features: int32 numbers, then float16 shares."""
+
     def run(texts: pa.Array) -> pa.Array:
         out = []
         for s in text_slices(texts, SLICE):
@@ -100,33 +103,16 @@ def _counts(sample: DataFrame, buckets: int) -> list[tuple[int, np.ndarray, np.n
             key, n = np.unique(row.astype(np.int64) * buckets + f, return_counts=True)
             at = np.searchsorted(key, np.arange(s.rows + 1) * buckets)
             for a, b in zip(at[:-1], at[1:], strict=True):
-                share = n[a:b] / max(1, n[a:b].sum())
-                out.append((key[a:b] % buckets).astype(np.int32).tobytes() + share.astype(np.float32).tobytes())
+                # times 1024: small shares stay exact enough in half precision
+                share = 1024 * n[a:b] / max(1, n[a:b].sum())
+                out.append((key[a:b] % buckets).astype(np.int32).tobytes() + share.astype(np.float16).tobytes())
         return pa.array(out, pa.binary())
 
-    rows = sample.select("doc_id", "y", F.arrow_udf(run, "binary")(F.col("text")).alias("f")).collect()
-    rows.sort(key=lambda r: (r.doc_id, r.y, bytes(r.f)))
-    parsed = []
-    for r in rows:
-        k = len(r.f) // 8
-        parsed.append((r.y, np.frombuffer(r.f, np.int32, k), np.frombuffer(r.f, np.float32, k, 4 * k)))
-    return parsed
+    return F.arrow_udf(run, "binary")
 
 
-def train(
-    docs: DataFrame,
-    labels: DataFrame,
-    label: str = "quality",
-    max_docs: int = MAX_DOCS,
-    buckets: int = BUCKETS,
-    dim: int = 8,
-    epochs: int = 6,
-    rate: float = 0.3,
-    seed: int = 7,
-) -> Model:
-    """Fits the vectors and the softmax on at most ``max_docs`` labelled documents (their feature counts come
-    to the driver: a number bounded by max_docs, not by the corpus)."""
-    rows = _counts(labelled(docs, labels, label, max_docs), buckets)
+def fit(rows: list[tuple], buckets: int, dim: int, epochs: int, rate: float, seed: int) -> Model:
+    """Stochastic gradient descent over rows (label, buckets, shares)."""
     ones = sum(y for y, _, _ in rows)
     if not 0 < ones < len(rows):
         share = (ones + 0.5) / (len(rows) + 1)
@@ -140,6 +126,7 @@ def train(
     for _ in range(epochs):
         for i in rng.permutation(len(rows)):
             y, f, share = rows[i]
+            share = share.astype(np.float32) / 1024
             x = share @ vec[f] if len(f) else np.zeros(dim, np.float32)
             z = top @ x + bias
             p = np.exp(z - z.max())
@@ -156,6 +143,37 @@ def train(
     return Model(vec @ (top[1] - top[0]), float(bias[1] - bias[0]))
 
 
+def train(
+    docs: DataFrame,
+    labels: DataFrame,
+    label: str = "quality",
+    max_docs: int = MAX_DOCS,
+    buckets: int = BUCKETS,
+    dim: int = 8,
+    epochs: int = 6,
+    rate: float = 0.3,
+    seed: int = 7,
+) -> Model:
+    """Fits the vectors and the softmax on at most ``max_docs`` labelled documents. One task trains: what it holds
+    (about 16 KB a document) is bounded by max_docs, not by the corpus; the driver gets the model alone."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = []
+        for b in batches:
+            for d, y, f in zip(*(b.column(c).to_pylist() for c in ("doc_id", "y", "f")), strict=True):
+                k = len(f) // 6
+                rows.append((str(d), y, hashlib.md5(f).digest(), np.frombuffer(f, np.int32, k), np.frombuffer(f, np.float16, k, 4 * k)))
+        rows.sort(key=lambda r: r[:3])
+        model = fit([(r[1], r[3], r[4]) for r in rows], buckets, dim, epochs, rate, seed)
+        yield pa.RecordBatch.from_arrays([pa.array([model.weight.astype(np.float64).tobytes()], pa.binary()), pa.array([model.bias])], names=["weight", "bias"])
+
+    sample = labelled(docs, labels, label, max_docs).select("doc_id", F.col("y").cast("int").alias("y"), _shares(buckets)(F.col("text")).alias("f"))
+    got = sample.repartition(1).mapInArrow(run, "weight binary, bias double").first()
+    if got is None:  # Spark knows that there is no labelled row
+        return Model(np.zeros(buckets), 0.0)
+    return Model(np.frombuffer(got.weight, np.float64), got.bias)
+
+
 def score(model: Model, text: str = "text") -> Column:
     def run(texts: pa.Array) -> pa.Array:
         return pa.array(model.scores(texts), pa.float64())
