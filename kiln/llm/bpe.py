@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 #: Fixed value: the pattern by which byte-level vocabularies split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens and token pairs remembered by one worker; beyond that the memory starts afresh.
-MEMORY = 150_000
+MEMORY = 100_000
 
 
 def byte_letters() -> list[str]:

@@ -21,7 +21,7 @@ from kiln.session import ensure_checkpoint_dir
 
 SLICE_BYTES = 1 << 20
 #: Rows of one Arrow batch: keeps a batch of long texts within some tens of MB.
-BATCH_ROWS = 2000
+BATCH_ROWS = 1000
 HASH_BYTES = 1 << 18
 
 _U = np.uint64

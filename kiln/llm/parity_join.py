@@ -58,7 +58,7 @@ from kiln.llm.common import (
 CELL_SHINGLES, CELL_ROWS = 1 << 20, 4096
 #: A band is as wide as so many times the largest factor between sizes of partners.
 BAND_STEPS = 2
-SLICE = 2 << 20
+SLICE = 1 << 20
 _DOC_BITS = 13  # rows of a slice; the other 51 bits of a word are a shingle's hash
 _U = np.uint64
 _SPARSE = _U(0xE3779B97F4A7C15F)
