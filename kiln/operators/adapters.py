@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from kiln.operators.split import relative_test_size  # noqa: F401  (re-exported for N12 users)
 
@@ -196,7 +197,10 @@ def qa_golds(df: DataFrame) -> Column:
     cols = df.columns
     cands = []
     if "reward_model" in cols:
-        cands.append(F.col("reward_model.ground_truth.target"))
+        truth = df.schema["reward_model"].dataType["ground_truth"].dataType
+        # a struct with the list, or the list itself
+        nested = isinstance(truth, StructType)
+        cands.append(F.col("reward_model.ground_truth.target" if nested else "reward_model.ground_truth"))
     if "golden_answers" in cols:
         cands.append(F.col("golden_answers"))
     cands.append(F.array().cast("array<string>"))

@@ -73,7 +73,7 @@ def validate_query_list(name, query_list):
 
     ``query_list`` is ``array<string>`` (null = missing argument).
     """
-    bad = (F.size(query_list) == 0) | F.exists(query_list, lambda x: x.isNull() | (F.trim(x) == ""))
+    bad = (F.size(query_list) == 0) | F.exists(query_list, lambda x: x.isNull() | ~x.rlike(r"\S"))
     err = (
         F.when(name != "search", F.lit("Invalid tool name"))
         .when(query_list.isNull(), F.lit(ERR_REQUIRED))
@@ -94,4 +94,4 @@ def result_text(hits: DataFrame, query_text: str, doc_text: str, key: str = "que
 
 def embedding_inputs_ok(texts):
     """V4: non-empty list of non-blank strings."""
-    return (F.size(texts) > 0) & F.forall(texts, lambda t: t.isNotNull() & (F.trim(t) != ""))
+    return (F.size(texts) > 0) & F.forall(texts, lambda t: t.isNotNull() & t.rlike(r"\S"))

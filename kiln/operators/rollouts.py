@@ -83,9 +83,9 @@ def trajectory_metrics(transitions: DataFrame, totals: DataFrame) -> DataFrame:
         "reward_total_mean", totals.agg(F.avg("total_reward")).scalar()
     )
     return t.select(
-        (F.col("total_ac_tokens") / F.col("total_turns")).alias("ac_tokens_per_turn"),
-        (F.col("total_ob_tokens") / F.col("total_turns")).alias("ob_tokens_per_turn"),
-        (F.col("total_turns") / F.col("total_episodes")).alias("turns_per_episode"),
+        F.try_divide("total_ac_tokens", "total_turns").alias("ac_tokens_per_turn"),
+        F.try_divide("total_ob_tokens", "total_turns").alias("ob_tokens_per_turn"),
+        F.try_divide("total_turns", "total_episodes").alias("turns_per_episode"),
         F.col("total_episodes").cast("long").alias("total_episodes"),
         F.col("total_turns").cast("long").alias("total_turns"),
         F.col("total_ac_tokens").cast("long").alias("total_ac_tokens"),
@@ -209,7 +209,7 @@ def sampler_metrics(groups: DataFrame, step: str = "sampler_step", t: str = "sam
 def compare_runs(a: DataFrame, b: DataFrame, metric: str, limit: float = 0.01) -> DataFrame:
     """Step-aligned relative difference ``|a−b| / max(|a|,|b|)`` and a pass flag."""
     j = a.select("step", F.col(metric).alias("a")).join(b.select("step", F.col(metric).alias("b")), "step")
-    rel = F.abs(F.col("a") - F.col("b")) / F.greatest(F.abs("a"), F.abs("b"))
+    rel = F.try_divide(F.abs(F.col("a") - F.col("b")), F.greatest(F.abs("a"), F.abs("b")))
     return j.select("step", "a", "b", rel.alias("rel_diff"), (F.coalesce(rel, F.lit(0.0)) < limit).alias("within_limit"))
 
 

@@ -204,7 +204,7 @@ def arithmetic_problems(index: DataFrame, id_col: str, batch_size: int, seed: in
 def representatives(df: DataFrame, group: str, score: str, id_col: str, k: int) -> DataFrame:
     """Per group, sort by score and keep k evenly spaced positions.
 
-    Positions are ``floor(linspace(0, n-1, k))``; duplicates collapse.
+    Positions are ``floor(linspace(0, n-1, k))``; groups of at most k rows are kept whole.
     """
     w = Window.partitionBy(group).orderBy(F.col(score), F.col(id_col))
     n = F.count(F.lit(1)).over(Window.partitionBy(group))
@@ -215,4 +215,4 @@ def representatives(df: DataFrame, group: str, score: str, id_col: str, k: int)
         lambda j: F.when(j == k - 1, F.col("_n") - 1).otherwise(F.floor(j * step)).cast("long"),
     )
     pick = F.array_contains(targets, F.col("_pos")) if k > 1 else F.col("_pos") == 0
-    return staged.filter((F.col("_n") >= k) & pick).drop("_n")
+    return staged.filter((F.col("_n") <= k) | pick).drop("_n")

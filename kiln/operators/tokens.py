@@ -54,10 +54,10 @@ def kl_pre_post(df: DataFrame, prev: str, post_next: str, mask: str) -> DataFram
 def kl_penalty(df: DataFrame, sample: str, base: str, mask: str, coef: float, advantage: str = "advantage") -> DataFrame:
     """L4: ``adv += coef·mask·(avg_diff − diff)``, diff = (sample − base)·mask.
 
-    avg_diff = Σ diff / Σ mask over the whole batch: one scalar subquery.
+    avg_diff = Σ diff / Σ mask over the whole batch: one scalar subquery, NaN without unmasked tokens.
     """
     diff = (F.col(sample) - F.col(base)) * F.col(mask)
-    avg = df.agg(F.sum(diff) / F.sum(mask)).scalar()
+    avg = df.agg(F.coalesce(F.try_divide(F.sum(diff), F.sum(mask)), F.lit(float("nan")))).scalar()
     base_adv = F.coalesce(F.col(advantage), F.lit(0.0)) if advantage in df.columns else F.lit(0.0)
     return df.withColumn("kl_policy_base", avg).withColumn(advantage, base_adv + F.lit(coef) * F.col(mask) * (avg - diff))
 
@@ -72,9 +72,9 @@ def teacher_kl(df: DataFrame, student: str, teacher: str, mask: str, coef: float
     rkl = (F.col(student) - F.col(teacher)) * F.col(mask)
     base = F.coalesce(F.col(advantage), F.lit(0.0)) if advantage in df.columns else F.lit(0.0)
     rows = df.withColumn(advantage, base - F.lit(coef) * rkl)
-    per = df.groupBy(dataset).agg((F.sum(rkl) / F.sum(mask)).alias("teacher_kl"), F.sum(mask).alias("_m"))
+    per = df.groupBy(dataset).agg(F.try_divide(F.sum(rkl), F.sum(mask)).alias("teacher_kl"), F.sum(mask).alias("_m"))
     per = per.filter(F.col("_m") > 0).select(F.col(dataset).cast("string").alias("scope"), "teacher_kl")
-    tot = df.agg((F.sum(rkl) / F.sum(mask)).alias("teacher_kl")).select(F.lit("all").alias("scope"), "teacher_kl")
+    tot = df.agg(F.try_divide(F.sum(rkl), F.sum(mask)).alias("teacher_kl")).select(F.lit("all").alias("scope"), "teacher_kl")
     return rows, per.unionByName(tot)
 
 

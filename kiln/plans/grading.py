@@ -140,6 +140,10 @@ def text_graders(spark, sf_dir):
     )
 
 
+#: Turns after which a number-guess episode ends.
+MAX_TURNS = 10
+
+
 @query("game_turns", "G17 G18 G19 G22 G23 W5 W6", """
 WITH t AS (
   SELECT l_orderkey AS traj_id,
@@ -157,10 +161,10 @@ w AS (SELECT *, min(CASE WHEN reward = 1.0 THEN turn END) OVER (PARTITION BY tra
 SELECT traj_id, CAST(turn AS BIGINT) AS turn, reward,
        CASE WHEN coalesce(illegal, false) THEN -2.0 ELSE reward END AS player_reward,
        CASE WHEN n_calls > 4 THEN 0.0 ELSE reward END AS tool_reward, n_calls > 4 AS tool_done
-FROM w WHERE turn <= least(coalesce(first_win, 3), 3)
+FROM w WHERE turn <= least(coalesce(first_win, 10), 10)
 """)
 def game_turns(spark, sf_dir):
-    """Logged game turns: number-guess reward (G17), episode cut at first win or turn 3 (G19),
+    """Logged game turns: number-guess reward (G17), episode cut at first win or turn 10 (G19),
     illegal consecutive mover (G22) and tool-call cap (G23)."""
     li = table(spark, sf_dir, "lineitem")
     t = li.select(
@@ -174,7 +178,7 @@ def game_turns(spark, sf_dir):
     t = t.withColumn("illegal", F.coalesce(F.col("player") == F.lag("player").over(w), F.lit(False)))
     t = t.withColumn("n_calls", F.sum(F.col("is_call").cast("long")).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     t = t.withColumn("first_win", F.min(F.when(F.col("reward") == 1.0, F.col("turn"))).over(Window.partitionBy("traj_id")))
-    t = t.filter(F.col("turn") <= F.least(F.coalesce("first_win", F.lit(3)), F.lit(3)))
+    t = t.filter(F.col("turn") <= F.least(F.coalesce("first_win", F.lit(MAX_TURNS)), F.lit(MAX_TURNS)))
     return t.select(
         "traj_id", "turn", "reward",
         F.when(F.col("illegal"), F.lit(-2.0)).otherwise(F.col("reward")).alias("player_reward"),

@@ -341,8 +341,8 @@ def dpo_metrics(spark, sf_dir):
 
 @query("pairwise_ratio", "L9 L10 J7", f"""
 WITH {TOK_CTE},
-b AS (SELECT token % 97 AS token, arg_min(logp_sample, (trial, logp_sample)) AS lp FROM tk GROUP BY 1),
-tt AS (SELECT token % 89 AS token, arg_min(logp_train, (trial, logp_train)) AS lp FROM tk GROUP BY 1),
+b AS (SELECT token, arg_min(logp_sample, (trial, logp_sample)) AS lp FROM tk GROUP BY 1),
+tt AS (SELECT token, arg_min(logp_train, (trial, logp_train)) AS lp FROM tk GROUP BY 1),
 j AS (SELECT b.token, tt.lp - b.lp / 2.0 AS a FROM b JOIN tt ON b.token = tt.token),
 pr AS (SELECT abs(x.a - y.a) AS e FROM j x JOIN j y ON x.token < y.token)
 SELECT round(avg(e), 6) AS mean_abs_err, round(max(e), 6) AS max_abs_err,
@@ -351,8 +351,8 @@ SELECT round(avg(e), 6) AS mean_abs_err, round(max(e), 6) AS max_abs_err,
 def pairwise_ratio(spark, sf_dir):
     """L9 + L10: temperature check (τ = 2) over token pairs common to two first-seen tables."""
     t = _tok(spark, sf_dir)
-    base = tk.first_seen(t.select((F.col("token") % 97).alias("token"), "trial" if "trial" in t.columns else F.col("seq_id").alias("trial"), F.col("logp_sample").alias("lp")), "token", "trial", "lp")
-    temp = tk.first_seen(t.select((F.col("token") % 89).alias("token"), F.col("seq_id").alias("trial"), F.col("logp_train").alias("lp")), "token", "trial", "lp")
+    base = tk.first_seen(t.select("token", "trial" if "trial" in t.columns else F.col("seq_id").alias("trial"), F.col("logp_sample").alias("lp")), "token", "trial", "lp")
+    temp = tk.first_seen(t.select("token", F.col("seq_id").alias("trial"), F.col("logp_train").alias("lp")), "token", "trial", "lp")
     m = tk.pairwise_ratio_metrics(base, temp, 2.0)
     return m.select(r6(F.col("mean_abs_err")).alias("mean_abs_err"), r6(F.col("max_abs_err")).alias("max_abs_err"), "n_tokens", "n_pairs")
 

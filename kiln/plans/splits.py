@@ -251,11 +251,11 @@ WITH o AS (
          row_number() OVER (PARTITION BY o_custkey ORDER BY o_totalprice, o_orderkey) - 1 AS pos,
          count(*) OVER (PARTITION BY o_custkey) AS n FROM orders)
 SELECT o_custkey, o_orderkey, CAST(pos AS BIGINT) AS pos FROM o
-WHERE n >= 3 AND (pos = 0 OR pos = n - 1 OR pos = floor(1 * ((n - 1) / 2.0)))
+WHERE n <= 3 OR pos = 0 OR pos = n - 1 OR pos = floor(1 * ((n - 1) / 2.0))
 """,
 )
 def representatives(spark, sf_dir):
-    """3 evenly spaced orders by total price per customer."""
+    """3 evenly spaced orders by total price per customer (all of customers with fewer)."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey", "o_totalprice")
     r = split.representatives(o, "o_custkey", "o_totalprice", "o_orderkey", 3)
     return r.select("o_custkey", "o_orderkey", F.col("_pos").alias("pos"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from kiln.plans.registry import query
+from kiln.plans.registry import REGISTRY, query
 from kiln.sources.tables import table
 from kiln.streaming import batches, trace
 
@@ -13,8 +13,12 @@ from kiln.streaming import batches, trace
 def _event_stream(spark, sf_dir):
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(path).schema
-    # file sources watch a folder: the driver folder, filtered to the events file
-    s = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    if any(f.rstrip("/").endswith("/events.parquet") for f in spark.read.parquet(path).inputFiles()):
+        # one file: the source watches its folder, filtered to it
+        s = stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
+    else:
+        s = stream.parquet(path)
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
@@ -92,10 +96,9 @@ def trace_spans(spark, sf_dir):
     return s.select("track", "name", "depth", "begin_id", "end_id", dur.alias("duration_us"))
 
 
-@query("stream_trace_spans", "K5")
+@query("stream_trace_spans", "K5", REGISTRY["trace_spans"].sql)
 def stream_trace_spans(spark, sf_dir):
     """K5 on a stream: per-track stack in applyInPandasWithState; equals ``trace_spans`` (tested)."""
-    path = f"{sf_dir.rstrip('/')}/events.parquet"
     ev = _trace_events(spark, sf_dir)
     staged = batches.scratch_dir(spark, "trace-events")
     ev.write.parquet(staged)
@@ -107,5 +110,4 @@ def stream_trace_spans(spark, sf_dir):
     q.awaitTermination()
     s = spark.read.schema(trace.SPAN_SCHEMA).parquet(out)
     dur = (F.unix_micros("end_ts") - F.unix_micros("begin_ts")).cast("long")
-    _ = path
     return s.select("track", "name", "depth", "begin_id", "end_id", dur.alias("duration_us"))
