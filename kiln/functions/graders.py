@@ -1,9 +1,8 @@
 """Answer extraction and grading as Column expressions.
 
-The string rules run as JVM expressions. Rules that need a scanner (the
-brace stack of G1, the LaTeX normalisers G7/G8 and the element-wise grade
-G11) are in ``kiln.functions.math_grade`` as one Arrow UDF per row batch,
-called only on rows that can match (cheap expression pre-filter first).
+All of them run as JVM expressions; so do the LaTeX rules and the grade of
+``kiln.functions.math_grade`` (G7-G11), where only the brace count of G1 is an
+Arrow UDF.
 """
 
 from __future__ import annotations

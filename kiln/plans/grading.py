@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
+from pyspark.sql import Column, Window
 from pyspark.sql import functions as F
 
 from kiln.functions import graders, math_grade
@@ -56,11 +56,58 @@ def grade_responses(spark, sf_dir):
     rs = _responses(pr)
     j = rs.join(pr.select("problem_id", "answer"), "problem_id")
     j = j.withColumn("given", math_grade.extract_boxed(F.col("response"))).withColumn("truth", graders.gsm8k_answer(F.col("answer")))
-    j = j.withColumn("correct", F.coalesce(math_grade.grade_udf(F.col("given"), F.col("truth")), F.lit(False)))
+    j = j.withColumn("correct", math_grade.grade_answer(F.col("given"), F.col("truth")))
     return j.select("problem_id", "sample_idx", "given", "truth", "correct",
                     F.round(graders.format_reward(F.col("correct"), F.col("given").isNotNull()), 6).alias("reward"))
 
 
+def _forms(n, m):
+    """(given, truth) per form: answers about number ``n`` held against a truth about ``m``."""
+    a, b = (F.pmod(x.cast("int"), F.lit(9)) + 1 for x in (n, m))
+    c = lambda *parts: F.concat(*[x if isinstance(x, Column) else F.lit(x) for x in parts])
+    return [
+        (c("\\frac{", n, "}{7}"), c(m, "/7")),
+        (c(n, " cm"), m),
+        (c("(1, ", n, ")"), c("(1,", m, ")")),
+        (c("[1, ", n, ")"), c("(1,", m, ")")),
+        (c("x = ", n, "\\%"), m),
+        (c("1,", F.lpad(n, 3, "0")), c("1", F.lpad(m, 3, "0"))),
+        (c("\\dfrac", a.cast("string"), "3"), c("\\frac{", b.cast("string"), "}{3}")),
+        (c(n, ".5"), m),
+        (c(n, " million"), c(m, "*10^6")),
+        (c("(", n, "/3, 1/2]"), c("( ", m, "/3 , 1/2 ]")),
+        (c("\\sqrt", a.cast("string")), c("\\sqrt{", b.cast("string"), "}")),
+        (c(n, "\\text{ apples}"), m),
+        (c("\\text{Big ", n, "}"), c("big ", m)),
+    ]
+
+
+@query("answer_forms", "G7 G8 G9 G10 G11", """
+WITH f AS (SELECT p_partkey AS item_id, CAST(s AS BIGINT) AS form, CAST(p_size AS VARCHAR) AS n,
+                  CAST(p_size % 9 + 1 AS VARCHAR) AS a, p_partkey % 2 = 0 AS same FROM part, range(0, 13) t(s))
+SELECT item_id, form,
+       CASE form WHEN 0 THEN '\\frac{' || n || '}{7}' WHEN 1 THEN n || 'cm' WHEN 2 THEN '(1,' || n || ')' WHEN 3 THEN '[1,' || n || ')'
+         WHEN 4 THEN n WHEN 5 THEN '1,' || lpad(n, 3, '0') WHEN 6 THEN '\\frac{' || a || '}{3}' WHEN 7 THEN n || '.5'
+         WHEN 8 THEN n || 'million' WHEN 9 THEN '(' || n || '/3,1/2]' WHEN 10 THEN '\\sqrt{' || a || '}' WHEN 11 THEN n
+         ELSE 'Big' || n END AS cleaned,
+       n IS NOT NULL AND same AND form NOT IN (3, 7) AS correct
+FROM f
+""")
+def answer_forms(spark, sf_dir):
+    """G7-G11 over part sizes written in thirteen forms (fractions, units, tuples, commas, roots, scale words);
+    the truth is the same size for even keys and the next one for odd keys."""
+    p = split.replicate(table(spark, sf_dir, "part").select("p_partkey", "p_size"), 13)
+    n = F.col("p_size").cast("string")
+    m = (F.col("p_size") + F.pmod("p_partkey", F.lit(2))).cast("string")
+    forms = F.array(*[F.struct(g.alias("given"), t.alias("truth")) for g, t in _forms(n, m)])
+    f = p.withColumn("f", F.element_at(forms, F.col("sample_idx").cast("int") + 1))
+    return f.select(
+        F.col("p_partkey").alias("item_id"), F.col("sample_idx").cast("long").alias("form"),
+        math_grade.normalize_answer(F.col("f.given")).alias("cleaned"),
+        math_grade.grade_answer(F.col("f.given"), F.col("f.truth")).alias("correct"),
+    )
+
+
 @query("problem_accuracy", "A15 G13", """
 WITH pr AS (SELECT p_partkey AS problem_id, p_size FROM part),
 rs AS (SELECT problem_id, s, CASE WHEN s = 0 OR s = 3 THEN 1.0 ELSE 0.0 END AS c FROM pr, range(0, 4) t(s))
