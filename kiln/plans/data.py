@@ -47,7 +47,7 @@ def contamination_check(spark, sf_dir):
     return after.select(n_train.alias("n_train"), before.alias("n_contaminated"), "n_left")
 
 
-@query("sharegpt_messages", "N1 N2 S1", """
+@query("sharegpt_messages", "N1", """
 SELECT conv_id, CAST(turn AS BIGINT) AS turn, CASE WHEN role = 'user' THEN 'user' ELSE 'assistant' END AS role, md5(text) AS content_md5
 FROM conversations
 """)
@@ -120,7 +120,7 @@ def hh_pairs(spark, sf_dir):
     )
 
 
-@query("helpsteer2_pairs", "N12 D4", """
+@query("helpsteer2_pairs", "N12", """
 WITH r AS (SELECT l_partkey AS prompt, l_orderkey || '-' || l_linenumber || '-' || l_suppkey || '-' || l_quantity AS response,
                   l_quantity AS h, l_orderkey, l_linenumber, l_suppkey, l_quantity FROM lineitem),
 g AS (SELECT prompt, count(*) AS n, max(h) AS hi, min(h) AS lo,
@@ -139,7 +139,7 @@ def helpsteer2_pairs(spark, sf_dir):
     return ad.best_vs_worst(r, "prompt", "response", "h", ["l_orderkey", "l_linenumber", "l_suppkey", "l_quantity"])
 
 
-@query("history_truncation", "N19 N23 N24 N26 N3 N4", """
+@query("history_truncation", "N19 N23 N24", """
 WITH c AS (SELECT conv_id, list(struct_pack(role := role, content := text) ORDER BY turn) AS m FROM conversations GROUP BY conv_id),
 t AS (SELECT conv_id, CASE WHEN len(m) > 4 THEN list_concat(m[1:1], m[len(m) - 2:]) ELSE m END AS m FROM c)
 SELECT conv_id, CAST(len(m) AS BIGINT) AS n_messages,
@@ -157,7 +157,7 @@ def history_truncation(spark, sf_dir):
                     F.md5(F.element_at("m", -1)["content"]).alias("last_md5"))
 
 
-@query("helpsteer3_labels", "N8 N7 N9", """
+@query("helpsteer3_labels", "N8", """
 SELECT l_orderkey, CAST(l_linenumber AS BIGINT) AS l_linenumber, l_partkey, l_suppkey,
        CASE WHEN l_linenumber - 4 < 0 THEN 'A' ELSE 'B' END AS label
 FROM lineitem WHERE l_linenumber - 4 <> 0
@@ -173,7 +173,7 @@ def helpsteer3_labels(spark, sf_dir):
 TEMPLATE = "Decide the language of the text below.\nText: {text}\nFinal Answer:"
 
 
-@query("problem_rows", "N13 N16 N21 N22", """
+@query("problem_rows", "N13 N16 N21", """
 SELECT p_partkey AS problem_id,
        'Decide the language of the text below.' || chr(10) || 'Text: ' || p_name || chr(10) || 'Final Answer:' AS prompt,
        CAST(p_size AS VARCHAR) AS answer, 'default' AS task

@@ -35,7 +35,7 @@ def _responses(problems):
     return r.select("problem_id", "sample_idx", text.alias("response"))
 
 
-@query("grade_responses", "J8 G1 G2 G3 G11 G13 G14 N14 N20 D17", f"""
+@query("grade_responses", "J8 G1 G2 G3 G11 G13 G14 D17", f"""
 WITH pr AS (SELECT p_partkey AS problem_id, p_name || chr(10) || '#### ' || p_size AS answer, p_size FROM part),
 rs AS (
   SELECT problem_id, CAST(s AS BIGINT) AS sample_idx,
@@ -148,7 +148,7 @@ def _qa(spark, sf_dir):
     return q.withColumn("correct", graders.exact_match_any(F.col("pred"), F.col("golds")))
 
 
-@query("qa_grading", "G4a G5 G6 G14 N15", f"""
+@query("qa_grading", "G4a G5 G6 G14", f"""
 WITH {QA_SQL}
 SELECT item_id, pred, correct, round(0.1 * ((CASE WHEN pred IS NOT NULL THEN 1.0 ELSE 0.0 END) - 1.0) + CASE WHEN correct THEN 1.0 ELSE 0.0 END, 6) AS reward
 FROM s
@@ -159,7 +159,7 @@ def qa_grading(spark, sf_dir):
     return q.select("item_id", "pred", "correct", F.round(graders.format_reward(F.col("correct"), F.col("pred").isNotNull()), 6).alias("reward"))
 
 
-@query("qa_accuracy_by_source", "A16 D14", f"""
+@query("qa_accuracy_by_source", "A16", f"""
 WITH {QA_SQL}
 SELECT source, CAST(sum(CASE WHEN correct THEN 1 ELSE 0 END) AS DOUBLE) AS correct, count(*) AS total,
        round(avg(CASE WHEN correct THEN 1.0 ELSE 0.0 END), 6) AS accuracy FROM s GROUP BY source
@@ -172,7 +172,7 @@ def qa_accuracy_by_source(spark, sf_dir):
     return rollouts.accuracy_by_source(q, "source", "score").withColumn("accuracy", F.round("accuracy", 6))
 
 
-@query("text_graders", "G4b G16 A17 G21", """
+@query("text_graders", "G4b G16", """
 SELECT p_partkey AS item_id,
        nullif(regexp_extract('Final Answer: ' || p_brand, 'Final Answer: (\\w+)', 1), '') AS final_word,
        contains(lower(p_name || ' ' || p_type), lower(split_part(p_type, ' ', 2))) AS contains_ok
@@ -193,7 +193,7 @@ def text_graders(spark, sf_dir):
 MAX_TURNS = 10
 
 
-@query("game_turns", "G17 G18 G19 G22 G23 W5 W6", """
+@query("game_turns", "G17 G19 G22 G23 W5 W6", """
 WITH t AS (
   SELECT l_orderkey AS traj_id,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS turn,

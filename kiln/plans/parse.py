@@ -19,7 +19,7 @@ def _responses(spark, sf_dir):
     return m.select("conv_id", "turn", F.concat("content", suffix).alias("response"))
 
 
-@query("parse_responses", "R9 R10 R23 R24", f"""
+@query("parse_responses", "R9 R10 R24", f"""
 WITH r AS (
   SELECT conv_id, turn, text || CASE conv_id % 3 WHEN 0 THEN '' WHEN 1 THEN '<|im_end|>' ELSE '<|im_end|>x<|im_end|>' END AS response
   FROM conversations WHERE role = 'assistant'),
@@ -43,7 +43,7 @@ def parse_responses(spark, sf_dir):
                     rc_status.alias("role_colon_status")).join(raw, ["conv_id", "turn"])
 
 
-@query("tool_calls", "R11 R12 V2", """
+@query("tool_calls", "R11", """
 WITH t AS (
   SELECT p_partkey AS item_id,
          'I will search.' || chr(10) || '<tool_call>' || chr(10) ||

@@ -24,7 +24,7 @@ def _players(spark, sf_dir):
     return o.withColumn("idx", (F.row_number().over(w) - 1).cast("long"))
 
 
-@query("tournament_pairs", "J6 P1 P2 P3 P4", f"""
+@query("tournament_pairs", "J6 P1 P2 P3", f"""
 WITH {PLAYERS_SQL}
 SELECT a.group_id, a.idx AS idx_i, b.idx AS idx_j, 'one_way' AS pattern FROM pl a JOIN pl b
   ON a.group_id = b.group_id AND a.idx // 4 = b.idx // 4 AND a.idx < b.idx
@@ -40,7 +40,7 @@ def tournament_pairs(spark, sf_dir):
     return one.unionByName(both)
 
 
-@query("tournament_rewards", "P5 P6 G20 U6", f"""
+@query("tournament_rewards", "P5 G20 U6", f"""
 WITH {PLAYERS_SQL},
 m AS (SELECT a.group_id, a.idx AS i, b.idx AS j, sign(a.len - b.len) AS r FROM pl a JOIN pl b
       ON a.group_id = b.group_id AND a.idx // 4 = b.idx // 4 AND a.idx < b.idx),
@@ -88,7 +88,7 @@ def _comparisons(spark, sf_dir):
     )
 
 
-@query("dpo_pairs", "D18 D19 D20 D21 G21", f"""
+@query("dpo_pairs", "D18 D20 D21 G21", f"""
 WITH {CMP_SQL},
 sw AS (SELECT pair_id, ca, cb, label, 0 AS swapped FROM cmp
        UNION ALL SELECT pair_id, cb, ca, CASE WHEN label = 'A' THEN 'B' WHEN label = 'B' THEN 'A' ELSE label END, 1 FROM cmp)

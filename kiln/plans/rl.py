@@ -41,7 +41,7 @@ def _totals(spark, sf_dir):
     return ro.total_rewards(tb.transitions(spark, sf_dir), tb.trajectories(spark, sf_dir))
 
 
-@query("total_rewards", "A1 J3", f"""
+@query("total_rewards", "A1", f"""
 WITH {T_CTE}
 SELECT group_id, traj_id, round(total_reward, 6) AS total_reward, CAST(n_steps AS BIGINT) AS n_steps FROM tot
 """)
@@ -50,7 +50,7 @@ def total_rewards(spark, sf_dir):
     return _totals(spark, sf_dir).withColumn("total_reward", r6(F.col("total_reward")))
 
 
-@query("group_advantages", "A2 W2 A10", f"""
+@query("group_advantages", "A2 W2", f"""
 WITH {T_CTE}
 SELECT tot.group_id, traj_id, round(total_reward - group_mean, 6) AS advantage
 FROM tot JOIN gs ON tot.group_id = gs.group_id
@@ -256,7 +256,7 @@ def mean_nll(spark, sf_dir):
     return m.select(F.col("dataset_idx").cast("long"), r6(F.col("mean_nll")).alias("mean_nll"), r6(F.col("sum_weights")).alias("sum_weights"))
 
 
-@query("kl_sample_train", "L2 L3", f"""
+@query("kl_sample_train", "L2", f"""
 WITH {TOK_CTE}
 SELECT round(avg(logp_sample - logp_train), 6) AS kl_sample_train_v1,
        round(0.5 * avg((logp_sample - logp_train) * (logp_sample - logp_train)), 6) AS kl_sample_train_v2,
@@ -282,7 +282,7 @@ def kl_penalty(spark, sf_dir):
     return r.select("seq_id", "pos", r6(F.col("advantage")).alias("advantage"))
 
 
-@query("teacher_kl", "L5 J4", f"""
+@query("teacher_kl", "L5", f"""
 WITH {TOK_CTE}
 SELECT CAST(dataset_idx AS VARCHAR) AS scope, round(sum((logp_sample - logp_train) * mask) / sum(mask), 6) AS teacher_kl
 FROM tk GROUP BY dataset_idx HAVING sum(mask) > 0
@@ -313,7 +313,7 @@ def discounted_returns(spark, sf_dir):
     )
 
 
-@query("dpo_metrics", "L7 D20 R20", f"""
+@query("dpo_metrics", "L7", f"""
 WITH {TOK_CTE},
 sd AS (SELECT seq_id, CASE WHEN pos % 2 = 1 THEN 'chosen' ELSE 'rejected' END AS side,
               sum(weight * (logp_sample - logp_train)) AS lr FROM tk GROUP BY 1, 2),
@@ -386,7 +386,7 @@ def mse_by_model(spark, sf_dir):
     return m.select(F.col("model").cast("long"), r6(F.col("mse_sample_train")).alias("mse_sample_train"), "n_tokens")
 
 
-@query("prefix_merge_datums", "A9 A10 A11 W3", """
+@query("prefix_merge_datums", "A9 W3", """
 WITH s AS (
   SELECT l_orderkey AS traj_id,
          row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS step,
@@ -419,7 +419,7 @@ def prefix_merge_datums(spark, sf_dir):
     )
 
 
-@query("metric_logs", "A20 A24 S11 S13", """
+@query("metric_logs", "A20 A24", """
 WITH w AS (SELECT CAST(day(ts) AS BIGINT) AS step, avg(value) AS value_mean, CAST(count(*) AS DOUBLE) AS n FROM events GROUP BY 1),
 l AS (SELECT step, 'value_mean' AS key, value_mean AS value FROM w UNION ALL SELECT step, 'n', n FROM w),
 p AS (SELECT step, 'train/' || key AS key, value, 0 AS prio FROM l

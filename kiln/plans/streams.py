@@ -22,7 +22,7 @@ def _event_stream(spark, sf_dir):
     return s.withColumn("ts", F.col("ts").cast("timestamp"))
 
 
-@query("stream_fixed_batches", "K1 K2 K4 D7", """
+@query("stream_fixed_batches", "K1 D7", """
 WITH r AS (SELECT event_id, value, row_number() OVER (ORDER BY md5('0:' || event_id), event_id) AS p FROM events),
 n AS (SELECT count(*) AS n FROM events)
 SELECT CAST(floor((p - 1) / 256) AS BIGINT) AS batch_idx, count(*) AS n_rows, round(sum(value), 6) AS value_sum,
@@ -50,7 +50,7 @@ def stream_staleness(spark, sf_dir):
     return fresh.unionByName(req).groupBy("sink").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 6).alias("value_sum"))
 
 
-@query("stream_step_metrics", "K6 S11", """
+@query("stream_step_metrics", "K6", """
 SELECT CAST(day(ts) AS BIGINT) AS step, count(*) AS n, round(sum(value), 6) AS value_sum, round(avg(value), 6) AS value_mean
 FROM events GROUP BY 1
 """)
@@ -79,7 +79,7 @@ def _trace_events(spark, sf_dir):
                      F.when((rn % 4 == 1) | (rn % 4 == 2), F.lit("B")).otherwise(F.lit("E")).alias("ph"))
 
 
-@query("trace_spans", "W4 J11 K5", f"""
+@query("trace_spans", "W4 J11", f"""
 WITH {TRACE_SQL},
 d AS (SELECT *, sum(CASE WHEN ph = 'B' THEN 1 ELSE -1 END) OVER (PARTITION BY track ORDER BY ts, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS d FROM e),
 l AS (SELECT *, CASE WHEN ph = 'B' THEN d ELSE d + 1 END AS level FROM d),
