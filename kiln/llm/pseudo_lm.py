@@ -7,9 +7,8 @@ a network with one hidden layer over vectors of the two words on either side giv
 word counts of the whole corpus the second.
 
 Counts: each partition sums its buckets, Spark adds them up over all documents. Network: each partition
-trains a copy by stochastic gradient descent in numpy over its documents (every ``stride``-th word of each, at
-an offset that depends on the text, is a target; all documents take part), and the copies are averaged,
-weighted by their targets. Counts and network have a fixed size (some MB), whatever the corpus.
+trains a copy by stochastic gradient descent in numpy over its documents (every word of every document is a
+target, in batches of ``BATCH``), and the copies are averaged, weighted by their targets. Counts and network have a fixed size (some MB), whatever the corpus.
 
 Cases: null texts and texts without words have 0 words, sum 0 and a null mean; rows are kept one for one, null
 and repeated ids included; an empty corpus gives a uniform model.
@@ -32,7 +31,7 @@ CLASSES, FREQUENT, ENDINGS = 64, 32, 32
 BUCKETS = 1 << 18
 TABLE, HIDDEN = 1 << 13, 16
 CONTEXT = (-2, -1, 1, 2)
-STRIDE, BATCH, RATE = 8, 512, 0.5
+BATCH, RATE = 512, 0.5
 _U = np.uint64
 
 
@@ -123,8 +122,10 @@ def step(net: Network, ctx: np.ndarray, cls: np.ndarray, rate: float) -> None:
     net.top[:] -= rate / len(cls) * (h.T @ p)
     net.bias[:] -= rate / len(cls) * p.sum(0)
     # words are met a few times a batch, so their steps aren't divided by its size
+    back = ((-0.1 * rate) * back).ravel()
     for k in range(len(CONTEXT)):
-        np.add.at(net.vec[k], ctx[k], (-0.1 * rate) * back)
+        # flat indices: numpy adds these faster than rows
+        np.add.at(net.vec[k].reshape(-1), (ctx[k].astype(np.int64)[:, None] * HIDDEN + np.arange(HIDDEN)).ravel(), back)
 
 
 def _train(sent):
@@ -137,14 +138,11 @@ def _train(sent):
                 buckets, first = word_buckets(s)
                 if not len(buckets):
                     continue
-                # an offset by content, so every place of a text can be a target
-                shift = (int(buckets[:64].sum()) * 0x9E37 >> 4) % STRIDE
-                at = np.arange(shift, len(buckets), STRIDE)
-                ctx = contexts(buckets, first, at)
-                cls = corpus.cls[buckets[at]]
-                for i in range(0, len(at), BATCH):
+                ctx = contexts(buckets, first, np.arange(len(buckets)))
+                cls = corpus.cls[buckets]
+                for i in range(0, len(buckets), BATCH):
                     step(net, ctx[:, i : i + BATCH], cls[i : i + BATCH], RATE)
-                seen += len(at)
+                seen += len(buckets)
         if seen:
             flat = np.concatenate([x.ravel() for x in net])
             part = np.array_split(flat * seen, 16)

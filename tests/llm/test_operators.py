@@ -358,6 +358,21 @@ def test_pseudo_likelihood(spark, docs):
     assert pseudo_lm.score(empty, *pseudo_lm.train(empty)).count() == 0
 
 
+def test_every_word_is_a_target():
+    """Texts of a few words too: the network's copies are weighted by all words they met."""
+    from types import SimpleNamespace
+
+    import pyarrow as pa
+
+    n = pseudo_lm.BUCKETS
+    corpus = pseudo_lm.Corpus(np.arange(n) % pseudo_lm.CLASSES, np.zeros(n, np.float32), np.zeros(pseudo_lm.CLASSES, np.float32))
+    run, _ = pseudo_lm._train(SimpleNamespace(value=(corpus, pseudo_lm.start_network(corpus, 1))))
+    texts = ["red apple blue", "ocean", None, "", prose(1, 1203)]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    (out,) = run(iter([batch]))
+    assert set(out.column("seen").to_pylist()) == {3 + 1 + 1203}
+
+
 def test_network_beats_word_counts(spark):
     """On text where words follow from their neighbours, context lowers the loss on unseen text."""
     import pyarrow as pa
