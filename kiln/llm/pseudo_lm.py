@@ -1,14 +1,17 @@
 """Language-model scoring by masked pseudo-likelihood.
 
 Every word of a text is predicted from the words on both sides of it, and the conditional log-probabilities are
-summed. A word is a hash bucket (``buckets``), a bucket belongs to a class: one of the most frequent words of
-the corpus, or a class of words with the same ending. P(word | context) = P(class | context) P(word | class):
-a network with one hidden layer over vectors of the two words on either side gives the first factor, the
-word counts of the whole corpus the second.
-
-Counts: each partition sums its buckets, Spark adds them up over all documents. Network: each partition
+summed. A word has a hash bucket, a bucket belongs to a class: one of the most frequent buckets of the corpus,
+or a class of words with the same ending. P(word | context) = P(class | context) P(word | class): a network
+with one hidden layer over vectors of the two words on either side gives the first factor, the word counts of
+the whole corpus the second.
+
+Counts: ``word_counts`` is a table of every word (64-bit hash) with its exact count, as large as the vocabulary;
+for scoring it is joined to the distinct words of each chunk of texts. Sums of buckets (for the classes) are
+added up by Spark over all documents. Network: each partition
 trains a copy by stochastic gradient descent in numpy over its documents (every word of every document is a
-target, in batches of ``BATCH``), and the copies are averaged, weighted by their targets. Counts and network have a fixed size (some MB), whatever the corpus.
+target, in batches of ``BATCH``), and the copies are averaged, weighted by their targets. Bucket sums and network have a fixed size (some MB), whatever the corpus: words that
+share a bucket share class and context vector, but not their counts.
 
 Cases: null texts and texts without words have 0 words, sum 0 and a null mean; rows are kept one for one, null
 and repeated ids included; an empty corpus gives a uniform model.
@@ -24,17 +27,28 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from kiln.llm.common import LOWER, Slice, mix64, split_words, text_slices, word_hashes
+from kiln.llm.common import LOWER, Slice, as_signed, mix64, split_words, stored, text_slices, word_hashes
 
 CLASSES, FREQUENT, ENDINGS = 64, 32, 32
 BUCKETS = 1 << 18
 TABLE, HIDDEN = 1 << 13, 16
 CONTEXT = (-2, -1, 1, 2)
 BATCH, RATE = 512, 0.5
+#: Bytes of text that share one list of word counts when they are scored; words folded at once when counted.
+CHUNK, FOLD = 8 << 20, 1 << 19
+#: Rows of one matrix product: so small a product stays in the task's own thread.
+BLOCK = 256
 _U = np.uint64
 
 
+def hashes(s: Slice) -> np.ndarray:
+    """64-bit hashes of all words of a slice, in lower case."""
+    s = s._replace(buf=LOWER[s.buf])
+    return word_hashes(s.buf, split_words(s))
+
+
 def word_buckets(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words of a slice, and rows + 1 offsets; a bucket's high bits are the word's ending."""
     s = s._replace(buf=LOWER[s.buf])
@@ -60,6 +74,7 @@ class Corpus(NamedTuple):
     cls: np.ndarray  # class of each bucket
     inside: np.ndarray  # log P(bucket | class)
     prior: np.ndarray  # log P(class)
+    size: np.ndarray  # log of the words of each class
 
 
 def corpus_counts(docs: DataFrame) -> Corpus:
@@ -71,7 +86,36 @@ def corpus_counts(docs: DataFrame) -> Corpus:
     top = np.argsort(-n, kind="stable")[:FREQUENT]
     cls[top] = np.arange(FREQUENT)
     of_class = np.bincount(cls, weights=n, minlength=CLASSES) + 1e-9
-    return Corpus(cls, np.log(n / of_class[cls]).astype(np.float32), np.log(of_class / of_class.sum()).astype(np.float32))
+    prior = np.log(of_class / of_class.sum()).astype(np.float32)
+    return Corpus(cls, np.log(n / of_class[cls]).astype(np.float32), prior, np.log(of_class).astype(np.float32))
+
+
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Words with their numbers, repeats folded run by run."""
+
+    def folded() -> pa.RecordBatch:
+        word, n = np.unique(np.concatenate(held), return_counts=True)
+        return pa.RecordBatch.from_arrays([as_signed(word), pa.array(n)], names=["word", "n"])
+
+    held, size = [], 0
+    for b in batches:
+        for s in text_slices(b.column("text")):
+            held.append(hashes(s))
+            size += len(held[-1])
+            if size > FOLD:
+                yield folded()
+                held, size = [], 0
+    if size:
+        yield folded()
+
+
+def word_counts(docs: DataFrame) -> DataFrame:
+    """Exact count of every word (64-bit hash) of all documents, as a table."""
+    return stored(docs.select("text").mapInArrow(_words, "word long, n long").groupBy("word").agg(F.sum("n").alias("n")))
+
+
+def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    return np.concatenate([a[i : i + BLOCK] @ b for i in range(0, max(1, len(a)), BLOCK)])
 
 
 class Network(NamedTuple):
@@ -86,7 +130,7 @@ class Network(NamedTuple):
         return np.tanh(h)
 
     def log_probs(self, ctx: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        z = self.hidden(ctx) @ self.top + self.bias
+        z = product(self.hidden(ctx), self.top) + self.bias
         z -= z.max(1, keepdims=True)
         return z[np.arange(len(cls)), cls] - np.log(np.exp(z).sum(1))
 
@@ -113,18 +157,18 @@ def contexts(buckets: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarr
 def step(net: Network, ctx: np.ndarray, cls: np.ndarray, rate: float) -> None:
     """One step of gradient descent, in place."""
     h = net.hidden(ctx)
-    z = h @ net.top + net.bias
+    z = product(h, net.top) + net.bias
     z -= z.max(1, keepdims=True)
     p = np.exp(z)
     p /= p.sum(1, keepdims=True)
     p[np.arange(len(cls)), cls] -= 1
-    back = (p @ net.top.T) * (1 - h * h)
-    net.top[:] -= rate / len(cls) * (h.T @ p)
+    back = product(p, net.top.T) * (1 - h * h)
+    net.top[:] -= rate / len(cls) * sum(h[i : i + BLOCK].T @ p[i : i + BLOCK] for i in range(0, len(cls), BLOCK))
     net.bias[:] -= rate / len(cls) * p.sum(0)
     # words are met a few times a batch, so their steps aren't divided by its size
     back = ((-0.1 * rate) * back).ravel()
     for k in range(len(CONTEXT)):
-        # flat indices: numpy adds these faster than rows
+        # flat indices: numpy adds them faster than rows
         np.add.at(net.vec[k].reshape(-1), (ctx[k].astype(np.int64)[:, None] * HIDDEN + np.arange(HIDDEN)).ravel(), back)
 
 
@@ -184,14 +228,18 @@ def train(docs: DataFrame, seed: int = 11) -> tuple[Corpus, Network]:
     return corpus, net
 
 
-def score_slice(s: Slice, corpus: Corpus, net: Network) -> tuple[np.ndarray, np.ndarray]:
-    """Words and summed conditional log-probabilities of each text of a slice."""
+def score_slice(s: Slice, corpus: Corpus, net: Network, counts: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Words and summed conditional log-probabilities of each text of a slice; ``counts`` are the words of the
+    slice in ascending order with the logarithms of their counts, without them the bucket sums count."""
     buckets, first = word_buckets(s)
     logs = np.empty(len(buckets))
     for i in range(0, len(buckets), 1 << 14):
         at = np.arange(i, min(len(buckets), i + (1 << 14)))
         logs[at] = net.log_probs(contexts(buckets, first, at), corpus.cls[buckets[at]])
-    logs += corpus.inside[buckets]
+    if counts is None:
+        logs += corpus.inside[buckets]
+    else:
+        logs += counts[1][np.searchsorted(counts[0], hashes(s))] - corpus.size[corpus.cls[buckets]]
     total = np.concatenate([[0.0], np.cumsum(logs)])
     return np.diff(first), total[first[1:]] - total[first[:-1]]
 
@@ -206,17 +254,76 @@ def kept_model(name: str, sent) -> tuple[Corpus, Network]:
     return _models[name]
 
 
-def score(docs: DataFrame, corpus: Corpus, net: Network, text: str = "text", out: str = "lm") -> DataFrame:
-    """``docs`` with a struct ``out``: n_words, log_prob (summed) and mean_log_prob (a word; null without any)."""
-    sent, name = docs.sparkSession.sparkContext.broadcast((corpus, net)), uuid.uuid4().hex
+def _chunks(text: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Numbers runs of rows of about ``CHUNK`` bytes of text."""
+        chunk, size = uuid.uuid4().int >> 65, 0
+        for b in batches:
+            of = np.empty(b.num_rows, np.int64)
+            for s in text_slices(b.column(text)):
+                if size and size + len(s.buf) > CHUNK:
+                    chunk, size = uuid.uuid4().int >> 65, 0
+                of[s.first : s.first + s.rows] = chunk
+                # a row counts too, so that many rows without text are cut as well
+                size += len(s.buf) + 64 * s.rows
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(of)], names=[*b.schema.names, "_chunk"])
+
+    return run
+
+
+def _chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Distinct words of each chunk; a chunk whose rows lie in two tasks lists a word twice."""
+
+    def listed() -> pa.RecordBatch:
+        word = np.unique(np.concatenate(held))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(word), chunk)), as_signed(word)], names=["_chunk", "word"])
+
+    held, chunk = [], None
+    for b in batches:
+        of = b.column("_chunk").to_numpy()
+        cut = [0, *(np.flatnonzero(of[1:] != of[:-1]) + 1), len(of)] if len(of) else [0]
+        for a, z in zip(cut[:-1], cut[1:], strict=True):
+            if held and of[a] != chunk:
+                yield listed()
+                held = []
+            chunk = of[a]
+            held += [np.unique(hashes(s)) for s in text_slices(b.column("text").slice(a, z - a))]
+    if held:
+        yield listed()
+
+
+def _score_table(table: pa.Array, model: tuple[Corpus, Network], counts=None) -> pa.StructArray:
+    n, total = np.zeros(len(table), np.int64), np.zeros(len(table))
+    for s in text_slices(table):
+        a, b = score_slice(s, *model, counts)
+        n[s.first : s.first + s.rows], total[s.first : s.first + s.rows] = a, b
+    mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
+    return pa.StructArray.from_arrays([pa.array(n), pa.array(total), mean], ["n_words", "log_prob", "mean_log_prob"])
+
 
-    def run(texts: pa.Array) -> pa.Array:
-        model = kept_model(name, sent)
-        n, total = np.zeros(len(texts), np.int64), np.zeros(len(texts))
-        for s in text_slices(texts):
-            a, b = score_slice(s, *model)
-            n[s.first : s.first + s.rows], total[s.first : s.first + s.rows] = a, b
-        mean = pa.array(total / np.maximum(n, 1), mask=n == 0)
-        return pa.StructArray.from_arrays([pa.array(n), pa.array(total), mean], ["n_words", "log_prob", "mean_log_prob"])
+KIND = "n_words long, log_prob double, mean_log_prob double"
 
-    return docs.withColumn(out, F.arrow_udf(run, "n_words long, log_prob double, mean_log_prob double")(F.col(text)))
+
+def score(docs: DataFrame, corpus: Corpus, net: Network, text: str = "text", out: str = "lm", words: DataFrame | None = None) -> DataFrame:
+    """``docs`` with a struct ``out``: n_words, log_prob (summed) and mean_log_prob (a word; null without any).
+
+    ``words`` is the table of ``word_counts``: with it P(word | class) comes from exact counts (a word that the
+    corpus hasn't counts as met once), without it from the sums of the hash buckets."""
+    sent, name = docs.sparkSession.sparkContext.broadcast((corpus, net)), uuid.uuid4().hex
+    if words is None:
+        return docs.withColumn(out, F.arrow_udf(lambda texts: _score_table(texts, kept_model(name, sent)), KIND)(F.col(text)))
+    kind = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType())])
+    placed = stored(docs.mapInArrow(_chunks(text), kind))
+    listed = placed.select("_chunk", F.col(text).alias("text")).mapInArrow(_chunk_words, "_chunk long, word long")
+    # written as a table, so that the join's shuffles don't stay on disk beside those of the texts
+    listed = stored(listed.join(words, "word", "left").select("_chunk", "word", F.coalesce("n", F.lit(1)).alias("n")))
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        word = left.column("word").to_numpy().view(np.uint64)
+        order = np.argsort(word)
+        texts = right.column(text).combine_chunks()
+        lm = _score_table(texts, kept_model(name, sent), (word[order], np.log(left.column("n").to_numpy()[order])))
+        return right.drop_columns("_chunk").append_column(out, lm)
+
+    kind = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(KIND))])
+    return listed.groupBy("_chunk").cogroup(placed.groupBy("_chunk")).applyInArrow(run, kind)

@@ -90,7 +90,8 @@ def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_pseudo_likelihood(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return pseudo_lm.score(docs, *pseudo_lm.train(docs)).select("doc_id", "lm.*")
+    words = pseudo_lm.word_counts(docs)
+    return pseudo_lm.score(docs, *pseudo_lm.train(docs), words=words).select("doc_id", "lm.*")
 
 
 def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:

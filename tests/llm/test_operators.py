@@ -365,7 +365,7 @@ def test_every_word_is_a_target():
     import pyarrow as pa
 
     n = pseudo_lm.BUCKETS
-    corpus = pseudo_lm.Corpus(np.arange(n) % pseudo_lm.CLASSES, np.zeros(n, np.float32), np.zeros(pseudo_lm.CLASSES, np.float32))
+    corpus = pseudo_lm.Corpus(np.arange(n) % pseudo_lm.CLASSES, np.zeros(n, np.float32), *[np.zeros(pseudo_lm.CLASSES, np.float32)] * 2)
     run, _ = pseudo_lm._train(SimpleNamespace(value=(corpus, pseudo_lm.start_network(corpus, 1))))
     texts = ["red apple blue", "ocean", None, "", prose(1, 1203)]
     batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
@@ -373,6 +373,25 @@ def test_every_word_is_a_target():
     assert set(out.column("seen").to_pylist()) == {3 + 1 + 1203}
 
 
+def test_words_of_one_bucket_keep_their_counts(spark, monkeypatch):
+    """A rare word that shares the bucket of a frequent one has its own count; rows stay one for one."""
+    import pyarrow as pa
+
+    monkeypatch.setattr(pseudo_lm, "CHUNK", 500)
+    names = [f"{i}ab" for i in range(60000)]
+    b, _ = pseudo_lm.word_buckets(next(pseudo_lm.text_slices(pa.array([" ".join(names)]))))
+    rare = names[1 + int(np.flatnonzero(b[1:] == b[0])[0])]
+    rows = [(i, "0ab " * 99) for i in range(20)] + [(100, "0ab"), (101, rare), (102, None), (102, None), (None, rare.upper())]
+    docs = prepare(spark).createDataFrame(rows, "doc_id long, text string").repartition(3)
+    words = pseudo_lm.word_counts(docs)
+    assert sorted(r.n for r in words.collect()) == [2, 20 * 99 + 1]
+    got = pseudo_lm.score(docs, *pseudo_lm.train(docs), words=words).collect()
+    assert sorted((str(r.doc_id), r.text) for r in got if r.text) == sorted((str(d), t) for d, t in rows if t) and len(got) == len(rows)
+    lm = {r.text: r.lm for r in got if r.lm.n_words < 2}
+    assert abs(lm["0ab"].log_prob - lm[rare].log_prob - math.log((20 * 99 + 1) / 2)) < 1e-4
+    assert lm[None].n_words == 0 and lm[None].log_prob == 0 and lm[None].mean_log_prob is None
+
+
 def test_network_beats_word_counts(spark):
     """On text where words follow from their neighbours, context lowers the loss on unseen text."""
     import pyarrow as pa
