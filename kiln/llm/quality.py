@@ -86,11 +86,14 @@ class Model(NamedTuple):
 
 
 def labelled(docs: DataFrame, labels: DataFrame, label: str, max_docs: int) -> DataFrame:
-    """At most ``max_docs`` rows (text, y) of labelled documents, by the hash of the id."""
+    """At most ``max_docs`` rows (doc_id, text, y) of labelled documents, repeats counted once: the ids first by their
+    hash, then the rows first by the hash of id, text and label."""
     ids = labels.where(F.col("doc_id").isNotNull() & F.col(label).isin(0, 1)).select("doc_id", F.col(label).alias("y"))
     ids = ids.distinct().orderBy(F.xxhash64("doc_id", "y"), "doc_id", "y").limit(max_docs)
     # the id list is bounded by max_docs, so it may be broadcast
-    return docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y")
+    rows = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select("doc_id", "text", "y").distinct()
+    # an id may have many texts, so the rows are bounded too
+    return rows.orderBy(F.xxhash64("doc_id", "text", "y"), "doc_id", "y", "text").limit(max_docs)
 
 
 def _shares(buckets: int):

@@ -302,6 +302,17 @@ def test_quality_learns_and_keeps_rows(spark):
     assert {round(r.score, 6) for r in quality.classify(docs, flat).collect()} == {0.5}
 
 
+def test_labelled_rows_are_bounded(spark):
+    """A labelled id that is repeated over many rows, alike or not, gives no more rows than the bound."""
+    prepare(spark)
+    docs = spark.createDataFrame([(1, "same", "k", 0)] * 50 + [(2, f"text {i}", "k", 0) for i in range(60)] + [(3, None, "k", 0)], SCHEMA)
+    labels = spark.createDataFrame([(1, 1), (2, 0), (3, 1)], "doc_id long, quality int")
+    whole = quality.labelled(docs, labels, "quality", 100).collect()
+    assert len(whole) == 62 and sum(r.text == "same" for r in whole) == 1
+    few = [quality.labelled(d, labels, "quality", 10).collect() for d in (docs, docs.repartition(7))]
+    assert len(few[0]) == 10 and sorted(map(str, few[0])) == sorted(map(str, few[1]))
+
+
 def test_toxicity_learns_and_keeps_rows(spark):
     docs, labels = labelled_table(prepare(spark))
     model = toxicity.train(docs, labels.where("doc_id % 3 != 0 or doc_id is null"))
