@@ -10,10 +10,12 @@ from kiln.sources.tables import table
 from kiln.streaming import batches, trace
 
 
-def _event_stream(spark, sf_dir):
+def _event_stream(spark, sf_dir, by_file=True):
     path = f"{sf_dir.rstrip('/')}/events.parquet"
     schema = spark.read.parquet(path).schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1)
+    stream = spark.readStream.schema(schema)
+    if by_file:
+        stream = stream.option("maxFilesPerTrigger", 1)
     if any(f.rstrip("/").endswith("/events.parquet") for f in spark.read.parquet(path).inputFiles()):
         # one file: the source watches its folder, filtered to it
         s = stream.option("pathGlobFilter", "events.parquet").parquet(sf_dir)
@@ -30,8 +32,11 @@ SELECT CAST(floor((p - 1) / 256) AS BIGINT) AS batch_idx, count(*) AS n_rows, ro
 FROM r, n WHERE floor((p - 1) / 256) < n.n // 256 GROUP BY 1
 """)
 def stream_fixed_batches(spark, sf_dir):
-    """K1: events streamed through foreachBatch into shuffled fixed batches of 256 (drop last)."""
-    out = batches.run_count_batches(_event_stream(spark, sf_dir).select("event_id", "value"), 256, "event_id")
+    """K1: events streamed through foreachBatch into shuffled fixed batches of 256 (drop last).
+
+    The shuffle is over all events that are there when the query starts (one micro-batch), so it doesn't depend on
+    how the table is cut into files."""
+    out = batches.run_count_batches(_event_stream(spark, sf_dir, by_file=False).select("event_id", "value"), 256, "event_id")
     rows = batches.read_batches(spark, out, 256, drop_last=True)
     return rows.groupBy("batch_idx").agg(F.count(F.lit(1)).alias("n_rows"), F.round(F.sum("value"), 6).alias("value_sum"),
                                          F.min("position").alias("first_pos"))

@@ -30,6 +30,13 @@ def test_query_matches_oracle(spark, con, name):
     assert gr == wr
 
 
+def test_fixed_batches_do_not_depend_on_files(spark, con, tmp_path):
+    """The table as a directory of parts gives the batches of the oracle."""
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3, "event_id").write.parquet(str(tmp_path / "events.parquet"))
+    got = E.queries()["stream_fixed_batches"](spark, str(tmp_path)).toPandas()
+    assert canon(got) == canon(con.execute(E.oracle_sql()["stream_fixed_batches"]).fetchdf())
+
+
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.columns == ["batch_idx", "num_sequences", "num_tokens", "num_loss_tokens"]
