@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity
+from kiln.llm import (
+    bpe, decontam, ego_join, oracles, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity, url_filter, vector_codes, whitening,
+)
 from kiln.llm.common import held_out, prepare
 
 #: Folder of the vocabulary files; the names in it are parameters of the operators.
@@ -101,6 +103,26 @@ def op10_toxicity_grammar(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"), components=4)
+
+
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded = vector_codes.compress(table(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2)
+    return coded.select("vec_id", F.lower(F.hex("codes")).alias("code"), "error", "label_error", "codebooks_sha256")
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"), url_filter.Rule("block", "example.org", "/es/"), url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"), url_filter.Rule("block", "com", "/de/"),
+]
+
+
+def op13_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return url_filter.filter_urls(pages, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -114,8 +136,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_substring_dedup,
         op9_pseudo_likelihood,
         op10_toxicity_grammar,
+        op11_embedding_whitening,
+        op12_vector_codes,
+        op13_url_filter,
     )
 }
 
 #: DuckDB text of the queries that SQL expresses.
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {"op12_vector_codes": oracles.OP12, "op13_url_filter": oracles.op13(URL_RULES)}
