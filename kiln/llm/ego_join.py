@@ -198,7 +198,11 @@ def near_duplicates(
     eps = math.sqrt(max(0.0, 2 - 2 * cosine))
     rows = vectors.select(F.col(vec_id).alias("vec_id"), F.col(label).cast("long").alias("label"), F.col(embedding).alias("embedding"))
     rows = rows.withColumn("key", F.xxhash64("vec_id", "label", "embedding")).withColumn("node", F.xxhash64("label", "embedding"))
-    alive = rows.where("label is not null and embedding is not null").dropDuplicates(["key"])
+    # a hash skips nulls within an array: only valid vectors are hashed to nodes
+    number = lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < math.inf)
+    fine = F.col("label").isNotNull() & F.forall("embedding", number) & F.exists("embedding", lambda c: c != 0)
+    rows = rows.withColumn("node", F.when(fine, F.col("node")))
+    alive = rows.where("node is not null").dropDuplicates(["key"])
     nodes = alive.groupBy("node").agg(
         F.count("*").alias("w"), F.min("vec_id").alias("least"), F.first("label").alias("label"), F.first("embedding").alias("embedding")
     )
@@ -227,24 +231,12 @@ def near_duplicates(
     found = joined.mapInArrow(run, kind).checkpoint()
     links = found.groupBy(F.col("u").alias("node")).agg(F.sum("links").alias("links"))
     groups = components(found.select("u", "v")).withColumnRenamed("component", "class")
-    least = nodes.select("node", "w", "least", "embedding").mapInArrow(*_valid())
-    marked = least.join(links, "node", "left").join(groups, "node", "left").withColumn("class", F.coalesce("class", "node"))
+    marked = nodes.select("node", "w", "least").join(links, "node", "left").join(groups, "node", "left").withColumn("class", F.coalesce("class", "node"))
     ids = marked.groupBy("class").agg(F.min("least").alias("component_id"))
     marked = marked.join(ids, "class").select("node", (F.coalesce("links", F.lit(0)) + F.col("w") - 1).alias("n_links"), "component_id")
-    out = rows.select("vec_id", F.when(F.col("label").isNotNull() & F.col("embedding").isNotNull(), F.col("node")).alias("node")).join(marked, "node", "left")
+    out = rows.select("vec_id", "node").join(marked, "node", "left")
     own = F.coalesce("component_id", F.col("vec_id").cast("long"))
     return out.select(
         "vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), own.alias("component_id"),
         F.coalesce(F.col("vec_id") == own, F.lit(False)).alias("kept"),
     )
-
-
-def _valid():
-    """Nodes whose vectors can link."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            fine = pa.array([unit(v) is not None for v in b.column("embedding").to_pylist()], pa.bool_())
-            yield b.select(["node", "w", "least"]).filter(fine)
-
-    return run, "node long, w long, least long"

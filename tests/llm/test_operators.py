@@ -427,3 +427,11 @@ def test_components(spark):
     touched = {x for a, b in edges if a is not None and a != b for x in (a, b)}
     got = {r.node: r.component for r in components(spark.createDataFrame(edges, "u long, v long")).collect()}
     assert got == {x: find(parent, x) for x in touched}
+
+
+def test_embedding_nulls_do_not_collide(spark):
+    """A vector with a null component is no copy of the valid vector that is left without it."""
+    rows = [(1, [0.6, None, 0.8], 1), (2, [0.6, 0.8], 1), (3, [0.6, None, 0.8], 1), (4, [0.6, 0.8], 1), (5, [None, 0.6, 0.8], 1), (6, [0.0, 0.0], 1), (7, [], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ego_join.near_duplicates(df, cosine=0.98).collect()}
+    assert got == {1: (0, 1, True), 2: (1, 2, True), 3: (0, 3, True), 4: (1, 2, False), 5: (0, 5, True), 6: (0, 6, True), 7: (0, 7, True)}
