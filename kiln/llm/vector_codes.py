@@ -57,7 +57,7 @@ class Cells:
     def __init__(self, entries: np.ndarray, limit: int = MEMO_CELLS):
         self.entries, self.limit = entries, limit
         spread = float(entries.std(0).mean()) if entries.size else 0.0
-        self.width = 1 << max(0, round(np.log2(max(1.0, spread / 2))))
+        self.width = 1 << max(0, round(np.log2(max(1.0, spread))))
         self.memo: dict[bytes, np.ndarray] = {}
         self.evaluated = 0
 
