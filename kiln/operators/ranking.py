@@ -68,6 +68,15 @@ def hash_rank(
     ).drop("_key", "_bucket", "_local", "_offset")
 
 
+def range_slices(df: DataFrame, order: Sequence[str], slice_col: str, n: int | None = None) -> DataFrame:
+    """``df`` with the number of its slice: consecutive ranges of ``order``, about equal in rows.
+
+    Range bounds come from a sample, which is not repeatable: the slices are frozen by a reliable checkpoint."""
+    ensure_checkpoint_dir(df.sparkSession)
+    cut = df.repartitionByRange(n or shuffle_partitions(df.sparkSession), *order)
+    return cut.withColumn(slice_col, F.spark_partition_id()).checkpoint(eager=True)
+
+
 def range_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "global_rank") -> DataFrame:
     """Dense 1-based rank by arbitrary unique ``order`` columns, spread over range partitions."""
     spark = df.sparkSession

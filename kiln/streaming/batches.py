@@ -1,4 +1,4 @@
-"""Count- and version-based micro-batching on Structured Streaming (K1–K4, K6).
+"""Count- and version-based micro-batching on Structured Streaming (K1, K3, K6; K1's buffer, K2 and K4 have modules of their own).
 
 The reference streams by *counts* (fixed batches, "emit when N groups are
 ready") and by *versions* (drop trajectories sampled too many steps ago), not
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators import split
 from kiln.session import ensure_checkpoint_dir
+from kiln.sources.io import read_if_there
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
@@ -35,16 +36,15 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
 
 
 def _ledger_offset(spark: SparkSession, ledger: str, epoch: int) -> int:
-    try:
-        led = spark.read.parquet(ledger)
-    except Exception:  # first epoch: no ledger yet
+    led = read_if_there(spark, ledger)
+    if led is None:  # first epoch: no ledger yet
         return 0
     row = led.filter(F.col("epoch") < epoch).agg(F.sum("rows").alias("n")).first()
     return int(row["n"] or 0)
 
 
 def count_batches_writer(out: str, batch_size: int, id_col: str, seed: int = 0):
-    """foreachBatch function: number rows into fixed batches across micro-batches (K1/K2/K4)."""
+    """foreachBatch function: number rows into fixed batches across micro-batches (K1)."""
     ledger = os.path.join(out, "_ledger")
     data = os.path.join(out, "rows")
 
