@@ -9,7 +9,7 @@ windows over whole groups.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
@@ -121,6 +121,71 @@ def metrics_by_tag(per_group: DataFrame, tags: Column, value_cols: list[str]) ->
     )).alias("key", "value"))
 
 
+def metric_set(steps: DataFrame, trajectories: DataFrame, group_tags: DataFrame, good_thresh: float = 0.5) -> DataFrame:
+    """The whole metric set per tag (``env/<tag>/…``) and over all groups (``env/all/…``), as (key, value).
+
+    ``steps`` (traj_id, ob_len, ac_len, reward, metrics), ``trajectories`` (group_id, traj_id, final_reward, metrics),
+    ``group_tags`` (group_id, tags). Token, turn and episode totals and ratios, mean total reward, the mean of every
+    metric over the steps and trajectories that have it, and the shares of mixed / all good / all bad groups. A tag's
+    block is there only if some tag covers fewer groups than there are; a tag named twice in a list counts twice.
+
+    One pass: steps fold to one row a trajectory and name, trajectories to one row a group and name (sum, count, least,
+    greatest), groups to one row a tag and name. Each fold is a partial aggregate, so a hot group or tag is
+    never in one task, and steps and trajectories are read once.
+    """
+    entry = lambda n, v: F.struct(F.lit(n).alias("name"), v.cast("double").alias("v"))
+    own = lambda m: F.transform(F.map_entries(m), lambda e: F.struct(F.concat(F.lit("m:"), e["key"]).alias("name"), e["value"].cast("double").alias("v")))
+    none = F.array().cast("array<struct<name:string,v:double>>")
+    step = F.concat(
+        F.array(entry("turns", F.lit(1)), entry("ob", F.col("ob_len")), entry("ac", F.col("ac_len")), entry("reward", F.col("reward"))),
+        F.coalesce(own(F.col("metrics")), none),
+    )
+    per_step = steps.select("traj_id", F.inline(step)).groupBy("traj_id", "name").agg(F.sum("v").alias("s"), F.count("v").alias("c"))
+    per_traj = per_step.groupBy("traj_id").agg(
+        F.sum(F.when(F.col("name") == "reward", F.col("s"))).alias("_r"), F.collect_list(F.struct("name", "s", "c")).alias("_steps"))
+    t = trajectories.join(per_traj, "traj_id", "left")
+    total = (F.coalesce("_r", F.lit(0.0)) + F.col("final_reward")).alias("s")
+    kind = "array<struct<name:string,s:double,c:bigint>>"
+    rows = F.concat(
+        F.array(F.struct(F.lit("total").alias("name"), total, F.lit(1).cast("long").alias("c"))).cast(kind),
+        F.coalesce(F.col("_steps").cast(kind), F.array().cast(kind)),
+        F.coalesce(F.transform(own(F.col("metrics")), lambda e: F.struct(e["name"].alias("name"), e["v"].alias("s"), F.lit(1).cast("long").alias("c"))).cast(kind), F.array().cast(kind)),
+    )
+    per_group = t.select("group_id", F.inline(rows)).groupBy("group_id", "name").agg(
+        F.sum("s").alias("s"), F.sum("c").alias("c"), F.min("s").alias("low"), F.max("s").alias("high"))
+    whole = F.col("name") == "total"
+    same = F.col("low") == F.col("high")
+    tagged = per_group.join(group_tags, "group_id", "left").select(
+        F.explode(F.concat(F.transform(F.coalesce("tags", F.array().cast("array<string>")), lambda x: F.struct(x.alias("tag"), F.lit(False).alias("all"))),
+                           F.array(F.struct(F.lit("all").alias("tag"), F.lit(True).alias("all"))))).alias("at"), "name", "s", "c",
+        F.when(whole, 1).alias("n"), F.when(whole, (~same).cast("int")).alias("mixed"),
+        F.when(whole, (same & (F.col("low") >= good_thresh)).cast("int")).alias("good"), F.when(whole, (same & (F.col("low") < good_thresh)).cast("int")).alias("bad"),
+    )
+    per_name = tagged.groupBy("at", "name").agg(*[F.sum(c).alias(c) for c in ("s", "c", "n", "mixed", "good", "bad")])
+    pick = lambda n, c="s": F.coalesce(F.max(F.when(F.col("name") == n, F.col(c))), F.lit(0.0 if c == "s" else 0))
+    tag = per_name.groupBy("at").agg(
+        pick("turns").alias("turns"), pick("ob").alias("ob"), pick("ac").alias("ac"), pick("total").alias("reward"), pick("total", "c").alias("episodes"),
+        *[F.max(c).alias(c) for c in ("n", "mixed", "good", "bad")],
+        F.map_from_entries(F.collect_list(F.when(F.col("name").startswith("m:"), F.struct(F.substring("name", 3, 1 << 30), F.try_divide("s", "c"))))).alias("means"),
+    )
+    # one row a tag here: the gate compares the least tag with all groups
+    over = Window.partitionBy(F.lit(0))
+    tag = tag.withColumn("_gate", F.min(F.when(~F.col("at.all"), F.col("n"))).over(over) < F.max(F.when(F.col("at.all"), F.col("n"))).over(over))
+    tag = tag.where(F.col("at.all") | F.col("_gate"))
+    base = {
+        "ac_tokens_per_turn": F.try_divide("ac", "turns"), "ob_tokens_per_turn": F.try_divide("ob", "turns"), "turns_per_episode": F.try_divide("turns", "episodes"),
+        "total_episodes": F.col("episodes"), "total_turns": F.col("turns"), "total_ac_tokens": F.col("ac"), "total_ob_tokens": F.col("ob"),
+        "reward/total": F.try_divide("reward", "episodes"),
+    }
+    by_group = {f"by_group/frac_{k}": F.try_divide(c, "n") for k, c in (("mixed", "mixed"), ("all_good", "good"), ("all_bad", "bad"))}
+    as_map = lambda d: F.create_map(*[x for k, v in d.items() for x in (F.lit(k), v.cast("double"))])
+    # a metric of the environment replaces a base value of the same name; the group shares replace both
+    means = F.map_filter("means", lambda k, _: ~k.isin(*by_group))
+    kept = F.map_filter(as_map(base), lambda k, _: ~F.map_contains_key("means", k))
+    out = tag.select(F.col("at.tag").alias("tag"), F.explode(F.map_concat(kept, means, as_map(by_group))).alias("key", "value"))
+    return out.select(F.concat(F.lit("env/"), "tag", F.lit("/"), "key").alias("key"), "value")
+
+
 def step_table(transitions: DataFrame, trajectories: DataFrame) -> DataFrame:
     """Per-trajectory step rows + a ``final`` row + a ``total`` row."""
     steps = transitions.select("group_id", "traj_id", F.col("step").cast("string").alias("step"), "reward")

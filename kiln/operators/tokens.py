@@ -8,12 +8,12 @@ higher-order functions for data that arrives that way.
 
 from __future__ import annotations
 
-import numpy as np
-import pandas as pd
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, DoubleType
 
+from kiln.operators.joins import lookup, strict_zip, unique
 from kiln.operators.ranking import range_rank
 
 
@@ -44,22 +44,33 @@ def kl_sample_train(df: DataFrame, sample: str, train: str, mask: str) -> DataFr
     )
 
 
-def kl_pre_post(df: DataFrame, prev: str, post_next: str, mask: str) -> DataFrame:
-    """L3: pre/post-update KL; ``post_next`` is the new logprob of the next position (shift by one)."""
-    a = df.filter(F.col(mask) > 0)
-    d = F.col(prev) - F.col(post_next)
+def kl_pre_post(datums: DataFrame, post: DataFrame, seq: str = "seq_id", at: str = "at", prev: str = "logprob", mask: str = "mask",
+                position: str = "position", new: str = "logprob") -> DataFrame:
+    """L3: pre/post-update KL on action tokens (mask > 0).
+
+    ``datums`` has the shifted targets (target ``at`` is token ``at + 1`` of the sequence); ``post`` the new logprobs of
+    the whole sequence by position. Each target meets the logprob one position on; one that has none is an error.
+    """
+    after = post.select(F.col(seq), (F.col(position) - 1).alias(at), F.col(new).alias("_new"))
+    a = lookup(datums.filter(F.col(mask) > 0), after, [seq, at], "post-update logprobs")
+    d = F.col(prev) - F.col("_new")
     return a.agg(F.avg(d).alias("kl_pre_post_v1"), (F.lit(0.5) * F.avg(d * d)).alias("kl_pre_post_v2"))
 
 
-def kl_penalty(df: DataFrame, sample: str, base: str, mask: str, coef: float, advantage: str = "advantage") -> DataFrame:
+def kl_penalty(df: DataFrame, sample: str, base: str, mask: str, coef: float, advantage: str = "advantage",
+               discount: float = 0.0, seq: str = "seq_id", pos: str = "pos") -> DataFrame:
     """L4: ``adv += coef·mask·(avg_diff − diff)``, diff = (sample − base)·mask.
 
-    avg_diff = Σ diff / Σ mask over the whole batch: one scalar subquery, NaN without unmasked tokens.
+    avg_diff = Σ diff / Σ mask over the whole batch: one scalar subquery, NaN without unmasked tokens. With a ``discount``
+    above 0 each token gets the discounted sum of the penalties from it on in its sequence (L6).
     """
     diff = (F.col(sample) - F.col(base)) * F.col(mask)
     avg = df.agg(F.coalesce(F.try_divide(F.sum(diff), F.sum(mask)), F.lit(float("nan")))).scalar()
     base_adv = F.coalesce(F.col(advantage), F.lit(0.0)) if advantage in df.columns else F.lit(0.0)
-    return df.withColumn("kl_policy_base", avg).withColumn(advantage, base_adv + F.lit(coef) * F.col(mask) * (avg - diff))
+    out = df.withColumn("kl_policy_base", avg).withColumn("_kl", F.lit(coef) * F.col(mask) * (avg - diff))
+    if discount > 0:
+        out = discounted_rows(out, [seq], pos, "_kl", discount, "_kl")
+    return out.withColumn(advantage, base_adv + F.col("_kl")).drop("_kl")
 
 
 def teacher_kl(df: DataFrame, student: str, teacher: str, mask: str, coef: float, dataset: str = "dataset_idx",
@@ -78,39 +89,42 @@ def teacher_kl(df: DataFrame, student: str, teacher: str, mask: str, coef: float
     return rows, per.unionByName(tot)
 
 
-def discounted_future_sum(x: Column, gamma: float) -> Column:
-    """``y[t] = x[t] + γ·y[t+1]`` over an array (reverse fold, O(n²) copies).
+#: Rows of one block of a discounted sum: what one fold holds.
+BLOCK = 64
+
 
-    Use ``discounted_future_sum_udf`` for arrays longer than ~2 000 elements.
+def discounted_rows(df: DataFrame, keys: list[str], pos: str, value: str, gamma: float, out: str, block: int = BLOCK, levels: int = 5) -> DataFrame:
+    """``out[t] = value[t] + gamma·out[t+1]`` along each sequence, in time linear in its length.
+
+    ``pos`` counts from 1 without gaps within ``keys``. A sequence is cut into blocks, each folded on its own; the sums at
+    the heads of the blocks are a sequence of their own, with gamma to the block length, and are solved the same way
+    (``levels`` deep at most: block**levels positions before one fold holds more than a block); each row then adds
+    what its next block carries. A long sequence spreads over as many tasks as it has blocks; one of a single block
+    never reaches the second level.
     """
-    rev = F.aggregate(
-        F.reverse(x),
+    if not 0.0 <= gamma <= 1.0:
+        raise ValueError("gamma must be from 0 to 1")
+    rest = [c for c in df.columns if c not in keys and c != out]
+    row = F.struct(F.col(pos).alias("p"), F.col(value).cast("double").alias("v"), F.struct(*rest).alias("row"))
+    where = F.floor((F.col(pos) - 1) / block) if levels > 0 else F.lit(0)
+    b = df.select(*keys, where.cast("long").alias("_block"), row.alias("_s"))
+    b = b.groupBy(*keys, "_block").agg(F.array_sort(F.collect_list("_s"), lambda x, y: (x["p"] - y["p"]).cast("int")).alias("_s"))
+    folded = F.aggregate(
+        F.reverse(F.transform("_s", lambda s: s["v"])),
         F.array().cast("array<double>"),
         lambda acc, v: F.array_append(acc, v + F.lit(gamma) * F.coalesce(F.try_element_at(acc, F.lit(-1)), F.lit(0.0))),
     )
-    return F.reverse(rev)
-
-
-def discounted_future_sum_udf(gamma: float):
-    """L6 for long arrays: Arrow batches, one linear pass per array."""
-
-    @F.pandas_udf(ArrayType(DoubleType()))
-    def dfs(s: pd.Series) -> pd.Series:
-        out = []
-        for arr in s:
-            if arr is None:
-                out.append(None)
-                continue
-            a = np.asarray(arr, dtype="float64")
-            y = np.empty_like(a)
-            acc = 0.0
-            for i in range(len(a) - 1, -1, -1):
-                acc = a[i] + gamma * acc
-                y[i] = acc
-            out.append(y)
-        return pd.Series(out)
-
-    return dfs
+    b = b.withColumn("_y", F.reverse(folded))
+    across = gamma**block
+    if levels > 0 and across > 0.0:
+        heads = b.where(F.col("_block") > 0).select(*keys, F.col("_block").alias("_pos"), F.col("_y")[0].alias("_head"))
+        solved = discounted_rows(heads, keys, "_pos", "_head", across, "_sum", block, levels - 1)
+        b = b.join(solved.select(*keys, (F.col("_pos") - 1).alias("_block"), F.col("_sum").alias("_carry")), [*keys, "_block"], "left")
+    else:
+        b = b.withColumn("_carry", F.lit(None).cast("double"))
+    every = b.select(*keys, "_carry", F.posexplode(F.arrays_zip("_s", "_y")).alias("_i", "_z"))
+    carried = F.when(F.col("_carry").isNotNull(), F.col("_carry") * F.pow(F.lit(gamma), F.lit(block) - F.col("_i"))).otherwise(0.0)
+    return every.select(*keys, "_z._s.row.*", (F.col("_z._y") + carried).alias(out))
 
 
 def dpo_metrics(sides: DataFrame, beta: float, pair: str = "pair_id") -> DataFrame:
@@ -187,50 +201,79 @@ def mse_by_model(df: DataFrame, model: str, a: str, b: str) -> DataFrame:
 
 def prefix_merge(steps: DataFrame, traj: list[str], step: str = "step", ob: str = "ob_tokens", ac: str = "ac_tokens",
                  logp: str = "ac_logprobs", advantage: str = "advantage") -> DataFrame:
-    """Merge the steps of each trajectory into training datums.
+    """Merge the steps of each trajectory into training datums.
 
-    A step continues the current datum when its observation starts with the
-    previous full sequence (previous ob + previous ac); otherwise a new datum
-    starts. New observation tokens get logprob 0 / advantage 0 / mask 0,
-    action tokens the sampled logprob / trajectory advantage / mask 1. The
-    datum is then shifted by one (input = tokens[:-1], targets = tokens[1:]).
+    A step continues the current datum when its observation starts with the previous full sequence (previous ob +
+    previous ac); otherwise a new datum starts. What a step passes on to the next is its length and a digest (two
+    independent hashes, 96 bits) of its full sequence, never the sequence; what goes on to the datum is what the step
+    adds. New observation tokens get logprob 0 / advantage 0 / mask 0, action tokens the sampled logprob / trajectory
+    advantage / mask 1. The datum is then shifted by one (input = tokens[:-1], targets = tokens[1:]).
     """
     w = Window.partitionBy(*traj).orderBy(step)
-    prev_full = F.concat(F.lag(ob).over(w), F.lag(ac).over(w))
-    s = steps.withColumn("_prev", prev_full)
-    s = s.withColumn(
-        "_new",
-        F.when(F.col("_prev").isNull(), F.lit(1)).when(
-            F.slice(ob, 1, F.size("_prev")) == F.col("_prev"), F.lit(0)
-        ).otherwise(F.lit(1)),
-    )
+    digest = lambda c: F.struct(F.size(c).alias("n"), F.xxhash64(c).alias("h"), F.hash(c).alias("g"))
+    s = steps.withColumn("_prev", F.lag(digest(F.concat(ob, ac))).over(w))
+    n = F.col("_prev.n")
+    # a prefix cut short by a shorter observation has another length
+    goes_on = F.col("_prev").isNotNull() & (digest(F.slice(ob, 1, F.greatest(n, F.lit(0)))) == F.col("_prev"))
+    s = s.withColumn("_new", F.when(goes_on, 0).otherwise(1))
     s = s.withColumn("datum_idx", (F.sum("_new").over(w.rowsBetween(Window.unboundedPreceding, 0)) - 1).cast("long"))
-    delta = F.when(F.col("_new") == 1, F.col(ob)).otherwise(F.slice(ob, F.size("_prev") + 1, 1 << 30))
-    zeros = F.transform(delta, lambda _: F.lit(0.0))
-    lp = F.coalesce(F.col(logp), F.transform(F.col(ac), lambda _: F.lit(0.0))) if logp in steps.columns else F.transform(F.col(ac), lambda _: F.lit(0.0))
-    adv = F.col(advantage) if advantage in steps.columns else F.lit(0.0)
+    zero = F.transform(F.col(ac), lambda _: F.lit(0.0))
+    lp = F.coalesce(F.col(logp).cast("array<double>"), zero) if logp in steps.columns else zero
+    pair = strict_zip("action tokens and logprobs", t=F.col(ac), lp=lp)
     s = s.select(
-        *traj, step, "datum_idx",
-        F.concat(delta, F.col(ac)).alias("_tok"),
-        F.concat(zeros, lp.cast("array<double>")).alias("_lp"),
-        F.concat(zeros, F.transform(F.col(ac), lambda _: adv.cast("double"))).alias("_adv"),
-        F.concat(zeros, F.transform(F.col(ac), lambda _: F.lit(1.0))).alias("_mask"),
+        *traj, step, "datum_idx", F.when(F.col("_new") == 1, F.col(ob)).otherwise(F.slice(ob, n + 1, 1 << 30)).alias("_ob"), pair.alias("_ac"),
+        (F.col(advantage) if advantage in steps.columns else F.lit(0.0)).cast("double").alias("_adv"),
+    )
+    g = s.groupBy(*traj, "datum_idx").agg(F.array_sort(F.collect_list(F.struct(step, "_ob", "_ac", "_adv"))).alias("_s"))
+    cat = lambda f: F.flatten(F.transform("_s", f))
+    per_token = lambda v: lambda x: F.concat(F.array_repeat(F.lit(0.0), F.size(x["_ob"])), F.transform(x["_ac"], lambda a: v(x, a)))
+    g = g.select(
+        *traj, "datum_idx", cat(lambda x: F.concat(x["_ob"], x["_ac"]["t"])).alias("tokens"), cat(per_token(lambda x, a: a["lp"])).alias("logprobs"),
+        cat(per_token(lambda x, a: x["_adv"])).alias("advantages"), cat(per_token(lambda x, a: F.lit(1.0))).alias("mask"),
     )
-    g = s.groupBy(*traj, "datum_idx").agg(F.array_sort(F.collect_list(F.struct(step, "_tok", "_lp", "_adv", "_mask"))).alias("_s"))
-    cat = lambda f: F.flatten(F.transform("_s", lambda x: x[f]))
-    g = g.select(*traj, "datum_idx", cat("_tok").alias("tokens"), cat("_lp").alias("logprobs"),
-                 cat("_adv").alias("advantages"), cat("_mask").alias("mask"))
-    n = F.size("tokens")
+    n = F.greatest(F.size("tokens") - 1, F.lit(0))
     return g.select(
         *traj, "datum_idx", "tokens", "mask",
-        F.slice("tokens", 1, n - 1).alias("input_tokens"),
-        F.slice("tokens", 2, n - 1).alias("target_tokens"),
-        F.slice("logprobs", 2, n - 1).alias("logprobs"),
-        F.slice("advantages", 2, n - 1).alias("advantages"),
-        F.slice("mask", 2, n - 1).alias("target_mask"),
+        F.slice("tokens", 1, n).alias("input_tokens"),
+        F.slice("tokens", 2, n).alias("target_tokens"),
+        F.slice("logprobs", 2, n).alias("logprobs"),
+        F.slice("advantages", 2, n).alias("advantages"),
+        F.slice("mask", 2, n).alias("target_mask"),
     )
 
 
-def single_turn_datum(prompt_len: Column, logprobs: Column) -> Column:
-    """Logprobs zero-padded for the ``prompt_len − 1`` prompt positions."""
-    return F.concat(F.array_repeat(F.lit(0.0), prompt_len - 1), logprobs)
+def group_places(trajs: DataFrame, group: str, traj: str) -> DataFrame:
+    """(group, traj, group_idx, traj_idx): dense numbers of the groups and of the trajectories within each, by id.
+
+    One range rank over (group, traj) and one over the groups: a hot group is spread over many ranges."""
+    ranked = range_rank(trajs.select(group, traj), [group, traj], "_rank")
+    first = range_rank(ranked.groupBy(group).agg(F.min("_rank").alias("_first")), [group], "_g")
+    return ranked.join(first, group).select(group, traj, (F.col("_g") - 1).alias("group_idx"), (F.col("_rank") - F.col("_first")).alias("traj_idx"))
+
+
+def training_rows(steps: DataFrame, advantages: DataFrame, group: str = "group_id", traj: str = "traj_id", step: str = "step") -> DataFrame:
+    """A10: the datums of all trajectories with their advantage and (group_idx, traj_idx).
+
+    ``steps`` (traj, step, ob_tokens, ac_tokens, ac_logprobs), ``advantages`` (group, traj, advantage), one row a trajectory.
+    A trajectory of the steps without an advantage is an error; one without steps has no datum.
+    """
+    known = unique(advantages.select(group, traj, "advantage"), [traj], "advantages")
+    data = lookup(steps, known.drop(group), [traj], "advantages")
+    places = group_places(known, group, traj)
+    # every key is known here; an inner join would let a filter on the advantages reach the steps before they are checked
+    return prefix_merge(data, [traj], step).join(places, traj, "left")
+
+
+def single_turn_rows(samples: DataFrame, prompt: str = "prompt_tokens", tokens: str = "tokens", logprobs: str = "logprobs",
+                     advantage: str = "advantage") -> DataFrame:
+    """One datum a sample: prompt + sampled tokens shifted by one, logprobs and advantages 0 over the prompt's targets."""
+    pair = strict_zip("sampled tokens and logprobs", t=F.col(tokens), lp=F.col(logprobs))
+    whole = F.concat(prompt, tokens)
+    n, ob = F.size(whole) - 1, F.size(prompt) - 1
+    zeros = F.array_repeat(F.lit(0.0), ob)
+    return samples.withColumn("_pair", pair).select(
+        *[c for c in samples.columns if c not in (prompt, tokens, logprobs, advantage)],
+        F.slice(whole, 1, n).alias("input_tokens"), F.slice(whole, 2, n).alias("target_tokens"),
+        F.concat(zeros, F.transform("_pair", lambda p: p["lp"].cast("double"))).alias("logprobs"),
+        F.concat(zeros, F.array_repeat(F.col(advantage).cast("double"), n - ob)).alias("advantages"),
+    )

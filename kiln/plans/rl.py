@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from kiln.operators import joins
 from kiln.operators import rollouts as ro
 from kiln.operators import tokens as tk
 from kiln.plans.registry import query
@@ -153,6 +155,41 @@ def metrics_by_tag(spark, sf_dir):
     return ro.metrics_by_tag(pg, F.col("tags"), ["reward_mean", "group_size"]).select("key", r6(F.col("value")).alias("value"))
 
 
+@query("metric_set", "A5 A6 A7 A8", f"""
+WITH {T_CTE},
+first AS (SELECT o_custkey AS group_id, arg_min(o_orderpriority, o_orderkey) AS prio FROM orders GROUP BY 1),
+tags AS (SELECT group_id, unnest(['all_orders', prio]) AS tag FROM first UNION ALL SELECT group_id, 'all' FROM first),
+n AS (SELECT tag, count(*) AS n FROM tags GROUP BY tag),
+used AS (SELECT tag FROM n WHERE tag = 'all' OR (SELECT min(n) FROM n WHERE tag <> 'all') < (SELECT n FROM n WHERE tag = 'all')),
+st AS (
+  SELECT tag, sum(ac_len) AS ac, sum(ob_len) AS ob, count(*) AS turns, avg(m_format) AS format, avg(m_correct) AS correct
+  FROM t JOIN tags USING (group_id) GROUP BY tag),
+ep AS (
+  SELECT tag, count(*) AS episodes, avg(total_reward) AS reward, avg(final_reward) AS final
+  FROM tot JOIN tr USING (group_id, traj_id) JOIN tags USING (group_id) GROUP BY tag),
+bg AS (
+  SELECT tag, avg(CASE WHEN group_min <> group_max THEN 1.0 ELSE 0.0 END) AS mixed, avg(CASE WHEN group_min = group_max AND group_min >= 0.5 THEN 1.0 ELSE 0.0 END) AS good,
+         avg(CASE WHEN group_min = group_max AND group_min < 0.5 THEN 1.0 ELSE 0.0 END) AS bad FROM gs JOIN tags USING (group_id) GROUP BY tag),
+w AS (SELECT * FROM used JOIN st USING (tag) JOIN ep USING (tag) JOIN bg USING (tag)),
+l AS (
+  SELECT tag, 'ac_tokens_per_turn' AS k, ac / turns AS v FROM w UNION ALL SELECT tag, 'ob_tokens_per_turn', ob / turns FROM w
+  UNION ALL SELECT tag, 'turns_per_episode', turns / episodes FROM w UNION ALL SELECT tag, 'total_episodes', episodes FROM w
+  UNION ALL SELECT tag, 'total_turns', turns FROM w UNION ALL SELECT tag, 'total_ac_tokens', ac FROM w UNION ALL SELECT tag, 'total_ob_tokens', ob FROM w
+  UNION ALL SELECT tag, 'reward/total', reward FROM w UNION ALL SELECT tag, 'format', format FROM w UNION ALL SELECT tag, 'correct', correct FROM w
+  UNION ALL SELECT tag, 'final', final FROM w UNION ALL SELECT tag, 'by_group/frac_mixed', mixed FROM w
+  UNION ALL SELECT tag, 'by_group/frac_all_good', good FROM w UNION ALL SELECT tag, 'by_group/frac_all_bad', bad FROM w)
+SELECT 'env/' || tag || '/' || k AS key, round(CAST(v AS DOUBLE), 6) AS value FROM l
+""")
+def metric_set(spark, sf_dir):
+    """The whole metric set per tag (all_orders, priority of the group's first order) and over all groups."""
+    orders = tb.table(spark, sf_dir, "orders")
+    trajs = tb.trajectories(spark, sf_dir).withColumn("metrics", F.create_map(F.lit("final"), F.col("final_reward")))
+    tags = orders.groupBy(F.col("o_custkey").alias("group_id")).agg(F.min_by("o_orderpriority", "o_orderkey").alias("_p"))
+    tags = tags.select("group_id", F.array(F.lit("all_orders"), F.col("_p")).alias("tags"))
+    m = ro.metric_set(tb.steps(spark, sf_dir), trajs, tags)
+    return m.select("key", r6(F.col("value")).alias("value"))
+
+
 @query("step_table", "A13", f"""
 WITH {T_CTE},
 body AS (SELECT group_id, traj_id, CAST(step AS VARCHAR) AS step, reward FROM t
@@ -304,13 +341,42 @@ r(seq_id, pos, y) AS (
 SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(y, 6) AS ret FROM r
 """)
 def discounted_returns(spark, sf_dir):
-    """Discounted future sums (γ = 0.9) of per-token values within each sequence."""
+    """Discounted future sums (γ = 0.9) of per-token values within each sequence, by blocks of positions."""
+    d = tk.discounted_rows(_tok(spark, sf_dir).select("seq_id", "pos", "logp_sample"), ["seq_id"], "pos", "logp_sample", 0.9, "ret")
+    return d.select("seq_id", F.col("pos").cast("long").alias("pos"), r6(F.col("ret")).alias("ret"))
+
+
+@query("kl_penalty_discounted", "L4 L6", f"""
+WITH RECURSIVE {TOK_CTE},
+a AS (SELECT sum((logp_sample - logp_train) * mask) / sum(mask) AS avg_d FROM tk),
+k AS (SELECT seq_id, pos, 0.05 * mask * (a.avg_d - (logp_sample - logp_train) * mask) AS x FROM tk, a),
+mx AS (SELECT seq_id, max(pos) AS n FROM k GROUP BY seq_id),
+r(seq_id, pos, y) AS (
+  SELECT k.seq_id, k.pos, k.x FROM k JOIN mx ON k.seq_id = mx.seq_id AND k.pos = mx.n
+  UNION ALL SELECT k.seq_id, k.pos, k.x + 0.7 * r.y FROM r JOIN k ON k.seq_id = r.seq_id AND k.pos = r.pos - 1)
+SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(1.0 + y, 6) AS advantage FROM r
+""")
+def kl_penalty_discounted(spark, sf_dir):
+    """L4 with a discount: each token's advantage takes the discounted KL penalties of the rest of its sequence."""
+    t = _tok(spark, sf_dir).withColumn("advantage", F.lit(1.0))
+    r = tk.kl_penalty(t, "logp_sample", "logp_train", "mask", 0.05, discount=0.7)
+    return r.select("seq_id", F.col("pos").cast("long").alias("pos"), r6(F.col("advantage")).alias("advantage"))
+
+
+@query("kl_pre_post", "L3 J4", f"""
+WITH {TOK_CTE}
+SELECT round(avg(p.logp_sample - q.logp_train), 6) AS kl_pre_post_v1,
+       round(0.5 * avg(pow(p.logp_sample - q.logp_train, 2)), 6) AS kl_pre_post_v2
+FROM tk p JOIN tk q ON p.seq_id = q.seq_id AND q.pos = p.pos + 1 WHERE p.mask > 0
+""")
+def kl_pre_post(spark, sf_dir):
+    """L3: logged logprobs of the shifted targets against new logprobs of the whole sequence (first token: none)."""
     t = _tok(spark, sf_dir)
-    arr = t.groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct("pos", "logp_sample"))).alias("_s"))
-    arr = arr.select("seq_id", tk.discounted_future_sum(F.transform("_s", lambda s: s["logp_sample"]), 0.9).alias("y"))
-    return arr.select("seq_id", F.posexplode("y").alias("i", "ret")).select(
-        "seq_id", (F.col("i") + 1).cast("long").alias("pos"), r6(F.col("ret")).alias("ret")
-    )
+    last = F.max("pos").over(Window.partitionBy("seq_id"))
+    datums = t.withColumn("_n", last).where(F.col("pos") < F.col("_n")).select("seq_id", (F.col("pos") - 1).alias("at"), F.col("logp_sample").alias("logprob"), "mask")
+    post = t.select("seq_id", (F.col("pos") - 1).alias("position"), F.col("logp_train").alias("logprob"))
+    m = tk.kl_pre_post(datums, post)
+    return m.select(*[r6(F.col(c)).alias(c) for c in m.columns])
 
 
 @query("dpo_metrics", "L7", f"""
@@ -386,6 +452,19 @@ def mse_by_model(spark, sf_dir):
     return m.select(F.col("model").cast("long"), r6(F.col("mse_sample_train")).alias("mse_sample_train"), "n_tokens")
 
 
+def _logged_steps(spark, sf_dir):
+    """Line items as steps of a log: each observation repeats what came before it, unless flag R starts over."""
+    li = tb.table(spark, sf_dir, "lineitem")
+    s = li.select(F.col("l_orderkey").alias("traj_id"), tb.step_index().alias("step"), "l_suppkey", "l_partkey", "l_returnflag", "l_discount")
+    w = Window.partitionBy("traj_id").orderBy("step")
+    s = s.withColumn("_brk", ((F.col("step") == 1) | (F.col("l_returnflag") == "R")).cast("int"))
+    s = s.withColumn("_d", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
+    wd = Window.partitionBy("traj_id", "_d").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
+    prefix = F.flatten(F.collect_list(F.array("l_suppkey", "l_partkey")).over(wd))
+    return s.select("traj_id", "step", F.concat(prefix, F.array("l_suppkey")).alias("ob_tokens"), F.array("l_partkey").alias("ac_tokens"),
+                    F.array(F.lit(-10.0) * F.col("l_discount") + F.lit(0.0)).alias("ac_logprobs"))
+
+
 @query("prefix_merge_datums", "A9 W3", """
 WITH s AS (
   SELECT l_orderkey AS traj_id,
@@ -400,17 +479,7 @@ FROM b GROUP BY traj_id, datum_idx
 """)
 def prefix_merge_datums(spark, sf_dir):
     """Multi-turn observations (prefix-extending unless flag R starts over) merged back into datums."""
-    from pyspark.sql import Window
-
-    li = tb.table(spark, sf_dir, "lineitem")
-    s = li.select(F.col("l_orderkey").alias("traj_id"), tb.step_index().alias("step"), "l_suppkey", "l_partkey", "l_returnflag")
-    w = Window.partitionBy("traj_id").orderBy("step")
-    s = s.withColumn("_brk", ((F.col("step") == 1) | (F.col("l_returnflag") == "R")).cast("int"))
-    s = s.withColumn("_d", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
-    wd = Window.partitionBy("traj_id", "_d").orderBy("step").rowsBetween(Window.unboundedPreceding, -1)
-    prefix = F.flatten(F.collect_list(F.array("l_suppkey", "l_partkey")).over(wd))
-    steps = s.select("traj_id", "step", F.concat(prefix, F.array("l_suppkey")).alias("ob_tokens"),
-                     F.array("l_partkey").alias("ac_tokens"))
+    steps = _logged_steps(spark, sf_dir).drop("ac_logprobs")
     d = tk.prefix_merge(steps, ["traj_id"])
     return d.select(
         "traj_id", "datum_idx", F.size("tokens").cast("long").alias("n_tokens"),
@@ -419,6 +488,93 @@ def prefix_merge_datums(spark, sf_dir):
     )
 
 
+def _e8(c: str) :
+    """An array of doubles as text, in units of 1e-8."""
+    return F.array_join(F.transform(c, lambda x: F.round(x * 1e8).cast("long").cast("string")), ",")
+
+
+def _text(c: str) :
+    return F.array_join(F.transform(c, lambda x: x.cast("string")), ",")
+
+
+E8 = "list_transform({0}, lambda x: CAST(round(x * 1e8) AS BIGINT))"
+
+
+@query("training_rows", "A2 A9 A10 J3 J4 W3", f"""
+WITH {T_CTE},
+s AS (
+  SELECT l_orderkey AS traj_id, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS step,
+         l_suppkey, l_partkey, l_returnflag, -10.0 * l_discount + 0.0 AS lp FROM lineitem),
+b AS (SELECT *, sum(CASE WHEN step = 1 OR l_returnflag = 'R' THEN 1 ELSE 0 END)
+                OVER (PARTITION BY traj_id ORDER BY step ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - 1 AS datum_idx FROM s),
+d AS (
+  SELECT traj_id, datum_idx, flatten(list([l_suppkey, l_partkey] ORDER BY step)) AS tok, flatten(list([0.0::DOUBLE, lp] ORDER BY step)) AS lp,
+         flatten(list([0, 1] ORDER BY step)) AS mask FROM b GROUP BY 1, 2),
+place AS (
+  SELECT group_id, traj_id, dense_rank() OVER (ORDER BY group_id) - 1 AS group_idx, row_number() OVER (PARTITION BY group_id ORDER BY traj_id) - 1 AS traj_idx,
+         total_reward - group_mean AS adv FROM tot JOIN gs USING (group_id))
+SELECT CAST(group_idx AS BIGINT) AS group_idx, CAST(traj_idx AS BIGINT) AS traj_idx, CAST(datum_idx AS BIGINT) AS datum_idx,
+       array_to_string(tok[:-2], ',') AS input_tokens, array_to_string(tok[2:], ',') AS target_tokens, array_to_string({E8.format("lp[2:]")}, ',') AS logprobs,
+       array_to_string({E8.format("list_transform(mask[2:], lambda m: m * adv)")}, ',') AS advantages, array_to_string(mask[2:], '') AS mask
+FROM d JOIN place USING (traj_id)
+""")
+def training_rows(spark, sf_dir):
+    """A9 + A10: whole datums (inputs, targets, logprobs, advantages, mask) of all trajectories with group and trajectory numbers."""
+    adv = ro.advantages(_totals(spark, sf_dir)).select("group_id", "traj_id", "advantage")
+    d = tk.training_rows(_logged_steps(spark, sf_dir), adv)
+    return d.select(
+        "group_idx", "traj_idx", "datum_idx", _text("input_tokens").alias("input_tokens"), _text("target_tokens").alias("target_tokens"),
+        _e8("logprobs").alias("logprobs"), _e8("advantages").alias("advantages"),
+        F.array_join(F.transform("target_mask", lambda x: x.cast("int").cast("string")), "").alias("mask"),
+    )
+
+
+@query("single_turn_rows", "A4 A11", f"""
+WITH {T_CTE},
+adv AS (SELECT tot.group_id, traj_id, total_reward - group_mean AS adv FROM tot JOIN gs ON tot.group_id = gs.group_id),
+kept AS (SELECT * FROM adv WHERE group_id IN (SELECT group_id FROM adv GROUP BY group_id HAVING max(abs(adv)) > 0)),
+x AS (
+  SELECT traj_id, list(l_partkey ORDER BY step) AS tok, list(lp ORDER BY step) AS lp FROM (
+    SELECT l_orderkey AS traj_id, l_partkey, -10.0 * l_discount + 0.0 AS lp,
+           row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_quantity) AS step FROM lineitem) GROUP BY 1),
+p AS (SELECT group_id, traj_id, adv, tok, lp, [group_id, group_id + 1, group_id + 2] AS prompt FROM kept JOIN x USING (traj_id))
+SELECT traj_id, array_to_string(list_concat(prompt, tok)[:-2], ',') AS input_tokens, array_to_string(list_concat(prompt, tok)[2:], ',') AS target_tokens,
+       array_to_string({E8.format("list_concat([0.0::DOUBLE, 0.0], lp)")}, ',') AS logprobs,
+       array_to_string({E8.format("list_concat([0.0::DOUBLE, 0.0], list_transform(tok, lambda _: adv))")}, ',') AS advantages
+FROM p
+""")
+def single_turn_rows(spark, sf_dir):
+    """Prompt + sampled tokens of each order as one datum; groups whose advantages are all zero are skipped."""
+    adv = ro.drop_zero_advantage_groups(ro.advantages(_totals(spark, sf_dir))).select("group_id", "traj_id", "advantage")
+    t = _tok(spark, sf_dir).groupBy(F.col("seq_id").alias("traj_id")).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "logp_sample"))).alias("_s"))
+    samples = adv.join(t, "traj_id").select(
+        "traj_id", F.array(*[F.col("group_id") + k for k in range(3)]).alias("prompt_tokens"), F.transform("_s", lambda x: x["token"]).alias("tokens"),
+        F.transform("_s", lambda x: x["logp_sample"]).alias("logprobs"), "advantage")
+    d = tk.single_turn_rows(samples)
+    return d.select("traj_id", _text("input_tokens").alias("input_tokens"), _text("target_tokens").alias("target_tokens"),
+                    _e8("logprobs").alias("logprobs"), _e8("advantages").alias("advantages"))
+
+
+@query("datum_teachers", "J3 J4", """
+SELECT o_orderkey AS datum_id, o_custkey AS group_id, CAST(c_nationkey AS BIGINT) AS dataset_idx, r_name AS teacher, round(o_totalprice - n.total / n.n, 6) AS over_mean
+FROM orders JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+JOIN (SELECT o_custkey AS g, sum(o_totalprice) AS total, count(*) AS n FROM orders GROUP BY 1) n ON n.g = o_custkey
+""")
+def datum_teachers(spark, sf_dir):
+    """Datum → group → dataset → teacher, every step a checked lookup; J3: group sums and sizes joined one to one."""
+    od = tb.table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("datum_id"), F.col("o_custkey").alias("group_id"), "o_totalprice")
+    groups = tb.table(spark, sf_dir, "customer").select(F.col("c_custkey").alias("group_id"), F.col("c_nationkey").cast("long").alias("dataset_idx"))
+    datasets = tb.table(spark, sf_dir, "nation").select(F.col("n_nationkey").cast("long").alias("dataset_idx"), F.col("n_regionkey").alias("teacher_idx"))
+    teachers = tb.table(spark, sf_dir, "region").select(F.col("r_regionkey").alias("teacher_idx"), F.col("r_name").alias("teacher"))
+    total = od.groupBy("group_id").agg(F.sum("o_totalprice").alias("total"))
+    size = od.groupBy("group_id").agg(F.count(F.lit(1)).alias("n"))
+    d = joins.lookup(od, groups, ["group_id"], "groups")
+    d = joins.lookup(d, datasets, ["dataset_idx"], "datasets")
+    d = joins.lookup(d, teachers, ["teacher_idx"], "teachers")
+    d = joins.lookup(d, joins.strict_join(total, size, ["group_id"], "group sums"), ["group_id"], "group sums")
+    return d.select("datum_id", "group_id", "dataset_idx", "teacher", F.round(F.col("o_totalprice") - F.col("total") / F.col("n"), 6).alias("over_mean"))
+
+
 @query("metric_logs", "A20 A24", """
 WITH w AS (SELECT CAST(day(ts) AS BIGINT) AS step, avg(value) AS value_mean, CAST(count(*) AS DOUBLE) AS n FROM events GROUP BY 1),
 l AS (SELECT step, 'value_mean' AS key, value_mean AS value FROM w UNION ALL SELECT step, 'n', n FROM w),

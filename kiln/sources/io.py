@@ -11,6 +11,7 @@ import hashlib
 import json
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
@@ -85,14 +86,23 @@ def config_hash(dataset: str, config: dict) -> str:
     return hashlib.sha256(json.dumps({"dataset": dataset, "config": config}, sort_keys=True).encode()).hexdigest()[:16]
 
 
+def read_if_there(spark: SparkSession, path: str) -> DataFrame | None:
+    """The Parquet table at ``path``, None if there is no such path; any other failure is an error."""
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def load_or_cache(spark: SparkSession, cache_root: str, dataset: str, config: dict, build) -> DataFrame:
     """Read the cached table if present, else build, write and read it back."""
     path = f"{cache_root.rstrip('/')}/{dataset}-{config_hash(dataset, config)}"
-    try:
-        return spark.read.parquet(path)
-    except Exception:  # not cached yet
-        build().write.mode("ignore").parquet(path)
-        return spark.read.parquet(path)
+    if (cached := read_if_there(spark, path)) is not None:
+        return cached
+    build().write.mode("ignore").parquet(path)
+    return spark.read.parquet(path)
 
 
 def append_metrics(df: DataFrame, path: str) -> None:
@@ -113,6 +123,6 @@ def last_checkpoint(log: DataFrame, required_key: str = "state_path") -> DataFra
 
 
 def write_eval_csv(df: DataFrame, path: str, required: list[str]) -> None:
-    """CSV with every required column present (missing → null)."""
+    """CSV with every required column present (missing → null); an existing file is an error."""
     cols = [F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in required]
-    df.select(*cols).write.mode("overwrite").option("header", True).csv(path)
+    df.select(*cols).write.mode("error").option("header", True).csv(path)

@@ -34,17 +34,15 @@ def step_index(partition: str = "l_orderkey") -> Column:
     return F.row_number().over(w).cast("long")
 
 
-def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """RL transitions bound to ``orders ⋈ lineitem``.
+def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Steps of the trajectories bound to ``lineitem`` alone: (traj_id, step, reward, ob_len, ac_len, metrics).
 
-    group = customer, trajectory = order, step = line position, reward =
-    discount, observation length = quantity, action length = line number,
-    metrics = {format, correct} with ``correct`` missing for flag ``N``.
+    trajectory = order, step = line position, reward = discount, observation length = quantity, action length = line
+    number, metrics = {format, correct} with ``correct`` missing for flag ``N``.
     """
     li = table(spark, sf_dir, "lineitem")
-    od = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    steps = li.select(
-        "l_orderkey",
+    return li.select(
+        F.col("l_orderkey").alias("traj_id"),
         step_index().alias("step"),
         (F.col("l_discount") + F.lit(0.0)).alias("reward"),
         F.col("l_quantity").cast("long").alias("ob_len"),
@@ -61,11 +59,12 @@ def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         .alias("metrics"),
     )
-    return steps.join(od, steps.l_orderkey == od.o_orderkey).select(
-        F.col("o_custkey").alias("group_id"),
-        F.col("o_orderkey").alias("traj_id"),
-        "step", "reward", "ob_len", "ac_len", "metrics",
-    )
+
+
+def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """RL transitions bound to ``orders ⋈ lineitem``: ``steps`` with their group (customer)."""
+    od = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("traj_id"), F.col("o_custkey").alias("group_id"))
+    return steps(spark, sf_dir).join(od, "traj_id").select("group_id", "traj_id", "step", "reward", "ob_len", "ac_len", "metrics")
 
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -24,9 +24,9 @@ def test_prefix_merge(spark):
 
 
 def test_discounted_sum(spark):
-    df = spark.createDataFrame([([1.0, 2.0, 3.0],)], "x array<double>")
-    assert df.select(tokens.discounted_future_sum(F.col("x"), 0.5)).first()[0] == [2.75, 3.5, 3.0]
-    assert list(df.select(tokens.discounted_future_sum_udf(0.5)(F.col("x"))).first()[0]) == [2.75, 3.5, 3.0]
+    df = spark.createDataFrame([(1, 1, 1.0), (1, 2, 2.0), (1, 3, 3.0)], "k long, pos long, x double")
+    out = tokens.discounted_rows(df, ["k"], "pos", "x", 0.5, "y").orderBy("pos").collect()
+    assert [r.y for r in out] == [2.75, 3.5, 3.0]
 
 
 @pytest.mark.parametrize("text,want", [
