@@ -62,10 +62,11 @@ def swap(cmp: Column) -> Column:
     )
 
 
-def swap_augment(df: DataFrame, cmp: str, both: bool, seed: int = 0, id_col: str = "pair_id") -> DataFrame:
-    """Emit both orders, or swap each row with probability ½ by a per-row hash (T5)."""
+def swap_augment(df: DataFrame, cmp: str, both: bool, seed: int = 0, id_col: str = "pair_id", swapped: str = "swapped") -> DataFrame:
+    """Emit both orders (column ``swapped``: 0 as given, 1 swapped), or swap each row with probability ½ by a per-row hash (T5)."""
     if both:
-        return df.withColumn(cmp, F.explode(F.array(F.col(cmp), swap(F.col(cmp)))))
+        rest = [c for c in df.columns if c != cmp]
+        return df.select(*rest, F.posexplode(F.array(F.col(cmp), swap(F.col(cmp)))).alias(swapped, cmp)).withColumn(swapped, F.col(swapped).cast("long"))
     return df.withColumn(cmp, F.when(md5_unit(seed, id_col) < 0.5, swap(F.col(cmp))).otherwise(F.col(cmp)))
 
 

@@ -61,69 +61,102 @@ def tournament_rewards(spark, sf_dir):
 
 
 CMP_SQL = """
-a AS (
-  SELECT conv_id, turn, text FROM conversations WHERE role = 'assistant'),
-r AS (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k FROM a),
+r AS (
+  SELECT conv_id, turn, text, lead(text) OVER (PARTITION BY conv_id ORDER BY turn) AS next,
+         row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS k
+  FROM conversations WHERE role = 'assistant'),
 cmp AS (
-  SELECT x.conv_id AS pair_id, x.text AS ca, y.text AS cb,
-         CASE WHEN length(x.text) < length(y.text) THEN 'A' WHEN length(x.text) > length(y.text) THEN 'B' ELSE 'Tie' END AS label
-  FROM r x JOIN r y ON x.conv_id = y.conv_id AND x.k = 1 AND y.k = 2)
+  SELECT conv_id || '-' || k AS pair_id, conv_id, turn, text AS ca, next AS cb,
+         CASE WHEN length(text) < length(next) THEN 'A' WHEN length(text) > length(next) THEN 'B' ELSE 'Tie' END AS label
+  FROM r WHERE next IS NOT NULL)
+"""
+
+PROMPT_SQL = """
+pr AS (
+  SELECT pair_id, md5(coalesce(string_agg(c.role || ':' || c.text, chr(10) ORDER BY c.turn), '')) AS prompt_md5
+  FROM cmp LEFT JOIN conversations c ON c.conv_id = cmp.conv_id AND c.turn < cmp.turn GROUP BY pair_id)
 """
 
 
 def _comparisons(spark, sf_dir):
-    a = messages(spark, sf_dir).filter(F.col("role") == "assistant")
+    """Every assistant reply against the next one of its conversation, after the turns before it (shorter preferred)."""
+    m = messages(spark, sf_dir)
+    # the prompt of a pair is what came before: each reply takes it from a join, no conversation is gathered to rank it
+    reply = m.filter(F.col("role") == "assistant").select("conv_id", "turn", F.col("content").alias("ca"))
     w = Window.partitionBy("conv_id").orderBy("turn")
-    a = a.withColumn("k", F.row_number().over(w))
-    x = a.filter("k = 1").select("conv_id", F.col("content").alias("ca"))
-    y = a.filter("k = 2").select("conv_id", F.col("content").alias("cb"))
-    j = x.join(y, "conv_id")
+    pair = reply.withColumn("cb", F.lead("ca").over(w)).withColumn("k", F.row_number().over(w)).filter(F.col("cb").isNotNull())
+    earlier = m.select("conv_id", F.col("turn").alias("_t"), "role", "content")
+    before = pair.select("conv_id", "turn").join(earlier, "conv_id").filter(F.col("_t") < F.col("turn"))
+    before = before.groupBy("conv_id", "turn").agg(F.array_sort(F.collect_list(F.struct("_t", "role", "content"))).alias("_p"))
+    prompt = F.transform("_p", lambda x: F.struct(x["role"].alias("role"), x["content"].alias("content")))
+    pair = pair.join(before.select("conv_id", "turn", prompt.alias("prompt")), ["conv_id", "turn"], "left")
     score = graders.shorter_preference(F.length("ca"), F.length("cb"))
     label = F.when(score < 0, "A").when(score > 0, "B").otherwise("Tie")
     msg = lambda c: F.array(F.struct(F.lit("assistant").alias("role"), F.col(c).alias("content")))
-    return j.select(
-        F.col("conv_id").alias("pair_id"),
-        F.struct(F.array().cast("array<struct<role:string,content:string>>").alias("prompt"),
-                 msg("ca").alias("completion_a"), msg("cb").alias("completion_b"), label.alias("label")).alias("cmp"),
+    prompt = F.coalesce("prompt", F.array().cast("array<struct<role:string,content:string>>"))
+    return pair.select(
+        F.concat_ws("-", "conv_id", "k").alias("pair_id"),
+        F.struct(prompt.alias("prompt"), msg("ca").alias("completion_a"), msg("cb").alias("completion_b"), label.alias("label")).alias("cmp"),
     )
 
 
-@query("dpo_pairs", "D18 D20 D21 G21", f"""
-WITH {CMP_SQL},
+@query("dpo_pairs", "D18 D19 D20 D21 G21", f"""
+WITH {CMP_SQL}, {PROMPT_SQL},
 sw AS (SELECT pair_id, ca, cb, label, 0 AS swapped FROM cmp
-       UNION ALL SELECT pair_id, cb, ca, CASE WHEN label = 'A' THEN 'B' WHEN label = 'B' THEN 'A' ELSE label END, 1 FROM cmp)
-SELECT pair_id, CAST(swapped AS BIGINT) AS swapped, 'chosen' AS side,
-       md5(CASE WHEN label = 'A' THEN ca ELSE cb END) AS completion_md5,
-       CASE WHEN label = 'A' THEN -1.0 WHEN label = 'B' THEN 1.0 ELSE 0.0 END AS label_score FROM sw
-UNION ALL
-SELECT pair_id, swapped, 'rejected', md5(CASE WHEN label = 'A' THEN cb ELSE ca END),
-       CASE WHEN label = 'A' THEN -1.0 WHEN label = 'B' THEN 1.0 ELSE 0.0 END FROM sw
+       UNION ALL SELECT pair_id, cb, ca, CASE WHEN label = 'A' THEN 'B' WHEN label = 'B' THEN 'A' ELSE label END, 1 FROM cmp),
+d AS (
+  SELECT pair_id, CAST(swapped AS BIGINT) AS swapped, 'chosen' AS side,
+         md5(CASE WHEN label = 'A' THEN ca ELSE cb END) AS completion_md5,
+         CASE WHEN label = 'A' THEN -1.0 WHEN label = 'B' THEN 1.0 ELSE 0.0 END AS label_score FROM sw
+  UNION ALL
+  SELECT pair_id, swapped, 'rejected', md5(CASE WHEN label = 'A' THEN cb ELSE ca END),
+         CASE WHEN label = 'A' THEN -1.0 WHEN label = 'B' THEN 1.0 ELSE 0.0 END FROM sw)
+SELECT d.*, prompt_md5 FROM d JOIN pr USING (pair_id)
 """)
 def dpo_pairs(spark, sf_dir):
-    """Comparisons of the first two assistant replies (shorter preferred), both orders, chosen/rejected rows."""
-    c = _comparisons(spark, sf_dir)
-    c = c.withColumn("cmp", F.explode(F.array(F.struct(F.lit(0).alias("s"), F.col("cmp").alias("c")),
-                                              F.struct(F.lit(1).alias("s"), prefs.swap(F.col("cmp")).alias("c")))))
-    c = c.select("pair_id", F.col("cmp.s").cast("long").alias("swapped"), F.col("cmp.c").alias("cmp"))
+    """Each assistant reply against the next (shorter preferred) after its prompt, both orders, chosen/rejected rows."""
+    c = prefs.swap_augment(_comparisons(spark, sf_dir), "cmp", both=True)
     rows = prefs.chosen_rejected(c, "cmp")
+    said = F.transform("prompt", lambda m: F.concat(m["role"], F.lit(":"), m["content"]))
     return rows.select(
         "pair_id", "swapped", "side",
         F.md5(F.element_at("completion", 1)["content"]).alias("completion_md5"),
         graders.label_score(F.col("label")).alias("label_score"),
+        F.md5(F.array_join(said, "\n")).alias("prompt_md5"),
     )
 
 
+@query("swapped_comparisons", "D18 D19", f"""
+WITH {CMP_SQL},
+h AS (SELECT *, CAST(('0x' || substr(md5('3:' || pair_id), 1, 8)) AS BIGINT) / 4294967296.0 < 0.5 AS s FROM cmp)
+SELECT pair_id, md5(CASE WHEN s THEN cb ELSE ca END) AS a_md5, md5(CASE WHEN s THEN ca ELSE cb END) AS b_md5,
+       CASE WHEN NOT s OR label = 'Tie' THEN label WHEN label = 'A' THEN 'B' ELSE 'A' END AS label FROM h
+""")
+def swapped_comparisons(spark, sf_dir):
+    """Each comparison once, its sides swapped with probability one half by a hash of its id."""
+    c = prefs.swap_augment(_comparisons(spark, sf_dir), "cmp", both=False, seed=3)
+    digest = lambda side: F.md5(F.element_at(f"cmp.{side}", 1)["content"])
+    return c.select("pair_id", digest("completion_a").alias("a_md5"), digest("completion_b").alias("b_md5"), F.col("cmp.label").alias("label"))
+
+
 @query("win_rate", "A19", f"""
 WITH {CMP_SQL},
-s AS (SELECT pair_id, CASE WHEN label = 'A' THEN -1.0 WHEN label = 'B' THEN 1.0 ELSE 0.0 END AS r0,
-             CASE WHEN label = 'A' THEN 1.0 WHEN label = 'B' THEN -1.0 ELSE 0.0 END AS r1 FROM cmp)
+s AS (SELECT pair_id, CASE WHEN length(ca) <= length(cb) + 100 THEN -1.0 ELSE 1.0 END AS r0,
+             CASE WHEN length(cb) <= length(ca) + 100 THEN -1.0 ELSE 1.0 END AS r1 FROM cmp)
 SELECT round(avg((r0 - r1 + 2) / 4), 6) AS win_rate, round(stddev_pop((r0 - r1 + 2) / 4) / sqrt(count(*)), 6) AS stderr, count(*) AS n FROM s
 """)
 def win_rate(spark, sf_dir):
-    """Win rate of completion B from both presentation orders."""
+    """Win rate of completion B from both presentation orders, by a judge that leans to what it sees first.
+
+    It takes the first completion unless that is more than 100 characters longer, so the two orders don't mirror each other."""
     c = _comparisons(spark, sf_dir)
-    ab = c.select("pair_id", graders.label_score(F.col("cmp.label")).alias("score"))
-    ba = c.select("pair_id", graders.label_score(prefs.swap(F.col("cmp"))["label"]).alias("score"))
+
+    def judged(cmp):
+        n = lambda side: F.length(F.element_at(cmp[side], 1)["content"])
+        return F.when(n("completion_a") <= n("completion_b") + 100, F.lit(-1.0)).otherwise(F.lit(1.0)).alias("score")
+
+    ab = c.select("pair_id", judged(F.col("cmp")))
+    ba = c.select("pair_id", judged(prefs.swap(F.col("cmp"))))
     w = rollouts.win_rate(ab, ba, "pair_id")
     return w.select(F.round("win_rate", 6).alias("win_rate"), F.round("stderr", 6).alias("stderr"), "n")
 
@@ -131,23 +164,24 @@ def win_rate(spark, sf_dir):
 @query("preference_rows", "R18 R19 R1 R4", f"""
 WITH {CMP_SQL},
 msgs AS (
-  SELECT pair_id, 0 AS turn, 'system' AS role, '{prefs.MARK_A}' AS content FROM cmp
+  SELECT pair_id, -1 AS seat, c.role AS role, c.text AS content FROM cmp JOIN conversations c ON c.conv_id = cmp.conv_id AND c.turn < cmp.turn
+  UNION ALL SELECT pair_id, 0, 'system', '{prefs.MARK_A}' FROM cmp
   UNION ALL SELECT pair_id, 1, 'assistant', ca FROM cmp
   UNION ALL SELECT pair_id, 2, 'system', '{prefs.MARK_B}' FROM cmp
   UNION ALL SELECT pair_id, 3, 'assistant', cb FROM cmp
   UNION ALL SELECT pair_id, 4, 'system', '{prefs.MARK_PREF}' FROM cmp
   UNION ALL SELECT pair_id, 5, 'assistant', label FROM cmp),
 seg AS (
-  SELECT pair_id, turn, '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) AS ob,
+  SELECT pair_id, seat, '<|start_header_id|>' || role || '<|end_header_id|>' || chr(10) || chr(10) AS ob,
          content || '<|eot_id|>' AS ac FROM msgs)
 SELECT pair_id,
        CAST(1 + sum(length(regexp_replace(ob, '<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+', 'a', 'g')))
-              + sum(CASE WHEN turn < 5 THEN length(regexp_replace(ac, '<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+', 'a', 'g')) ELSE 0 END) + 1 AS BIGINT) AS n_tokens,
-       max(CASE WHEN turn = 5 THEN regexp_extract(ac, '(<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+|[^A-Za-z0-9])', 1) END) AS trained_piece
+              + sum(CASE WHEN seat < 5 THEN length(regexp_replace(ac, '<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+', 'a', 'g')) ELSE 0 END) + 1 AS BIGINT) AS n_tokens,
+       max(CASE WHEN seat = 5 THEN regexp_extract(ac, '(<\\|[a-z_]+\\|>|<｜[^｜]+｜>|[A-Za-z0-9]+|[^A-Za-z0-9])', 1) END) AS trained_piece
 FROM seg GROUP BY pair_id
 """)
 def preference_rows(spark, sf_dir):
-    """R18 comparison → conversation with markers + label reply; R19 cut at the first trained token."""
+    """R18 comparison with its prompt → conversation with markers + label reply; R19 cut at the first trained token."""
     from kiln.operators import adapters, render
 
     c = _comparisons(spark, sf_dir)
