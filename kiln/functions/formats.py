@@ -16,6 +16,8 @@ from dataclasses import dataclass
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from kiln.functions.json_text import python_json
+
 # ---- fixed values: format markers that must equal the public chat templates ----
 LLAMA3_BOS = "<|begin_of_text|>"
 LLAMA3_HEADER_START = "<|start_header_id|>"
@@ -86,24 +88,9 @@ def capitalize(c: Column) -> Column:
 def tool_calls_text(tool_calls: Column) -> Column:
     """Each call as ``<tool_call>\\n{json}\\n</tool_call>``, joined by newline.
 
-    ``tool_calls`` is ``array<struct<name:string, args:map<string,string>>>``.
-    JSON uses ``": "`` / ``", "`` separators like Python ``json.dumps``.
+    ``tool_calls`` is ``array<string>``: the JSON text of each call, whose key order, depth and types are kept.
     """
-
-    def js(s: Column) -> Column:  # JSON string literal with escapes
-        return F.regexp_replace(F.to_json(F.array(s)), r"^\[|\]$", "")
-
-    def one(tc: Column) -> Column:
-        args = F.array_join(
-            F.transform(
-                F.array_sort(F.map_entries(tc["args"])),
-                lambda e: F.concat(js(e["key"]), F.lit(": "), js(e["value"])),
-            ),
-            ", ",
-        )
-        body = F.concat(F.lit('{"name": '), js(tc["name"]), F.lit(', "args": {'), args, F.lit("}}"))
-        return F.concat(F.lit("<tool_call>\n"), body, F.lit("\n</tool_call>"))
-
+    one = lambda call: F.concat(F.lit("<tool_call>\n"), python_json(call), F.lit("\n</tool_call>"))
     return F.coalesce(F.array_join(F.transform(tool_calls, one), "\n"), F.lit(""))
 
 

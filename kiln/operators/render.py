@@ -51,7 +51,16 @@ def with_position(msgs: DataFrame, conv: str = "conv_id", order: str = "turn") -
 
 
 def action_weight(train_on: str, role: Column, is_last: Column, trainable: Column | None) -> Column:
-    """Weight of the action part of a message for each loss-mask mode."""
+    """R4 + R5: weight of the action part of a message for each loss-mask mode.
+
+    ``customized`` needs ``trainable`` on every message, the other modes forbid it: a message that breaks this fails
+    the job that renders it.
+    """
+    if train_on == "customized":
+        if trainable is None:
+            raise ValueError("customized loss mask needs a trainable column")
+        missing = F.raise_error(F.lit("customized loss mask needs trainable on every message")).cast("int")
+        return F.when(trainable.isNull(), missing).otherwise(trainable.cast("int"))
     if train_on == "last_assistant_message":
         w = is_last & (role == "assistant")
     elif train_on == "all_assistant_messages":
@@ -60,25 +69,12 @@ def action_weight(train_on: str, role: Column, is_last: Column, trainable: Colum
         w = F.lit(True)
     elif train_on == "all_user_and_system_messages":
         w = role.isin("user", "system")
-    elif train_on == "customized":
-        if trainable is None:
-            raise ValueError("customized loss mask needs a trainable column")
-        w = F.coalesce(trainable, F.lit(False))
     else:
         raise ValueError(f"unknown train_on {train_on!r}; known: {TRAIN_ON}")
-    return w.cast("int")
-
-
-def validate_mask_contract(msgs: DataFrame, train_on: str, trainable: str = "trainable") -> None:
-    """``customized`` needs ``trainable`` on every message, the others forbid it."""
-    if trainable not in msgs.columns:
-        if train_on == "customized":
-            raise ValueError("customized loss mask needs a trainable column")
-        return
-    bad = F.col(trainable).isNull() if train_on == "customized" else F.col(trainable).isNotNull()
-    n = msgs.select(F.count_if(bad).alias("n")).first()["n"]
-    if n:
-        raise ValueError(f"{n} messages break the trainable contract of mode {train_on!r}")
+    if trainable is None:
+        return w.cast("int")
+    given = F.raise_error(F.lit(f"messages carry trainable, which mode {train_on} forbids")).cast("int")
+    return F.when(trainable.isNotNull(), given).otherwise(w.cast("int"))
 
 
 def render_segments(
@@ -189,15 +185,19 @@ def generation_prompts(
     *,
     conv: str = "conv_id",
     order: str = "turn",
+    thinking: str | None = None,
+    tool_calls: str | None = None,
     date: str = "2025-01-01",
 ) -> DataFrame:
     """R2: BOS + every (ob + action) + ob of an empty ``role`` message + prefill.
 
     Message strings are aggregated in turn order; the reference renders all
-    messages as non-last here (gpt-oss ends each with ``<|end|>``).
+    messages as non-last here (gpt-oss ends each with ``<|end|>``). Tool calls and thinking of the messages are part
+    of them, as in ``render_segments``.
     """
     m = with_position(msgs, conv, order)
-    p = formats.render_parts(fmt, F.col("role"), F.col("content"), F.col("is_first"), F.lit(False))
+    th, tc = (F.col(c) if c else None for c in (thinking, tool_calls))
+    p = formats.render_parts(fmt, F.col("role"), F.col("content"), F.col("is_first"), F.lit(False), th, tc)
     body = m.groupBy(conv).agg(
         F.array_sort(F.collect_list(F.struct(order, F.concat(p.ob, p.action).alias("s")))).alias("_s"),
         F.min(p.ok.cast("int")).cast("boolean").alias("render_ok"),

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from kiln.operators import render, split
 from kiln.plans.registry import query
-from kiln.sources.tables import messages, table
+from kiln.sources.tables import messages, rich_messages, table
 
 from kiln.plans.sqlgen import NL2, ntok
 
@@ -44,7 +44,7 @@ def _sft_batches(spark, sf_dir, fmt="role_colon", train_on="all_assistant_messag
 
 @query(
     "sft_batch_stats",
-    "S1 W1 R1 R3 R4 R6 R7 R8 D1 D7 A21",
+    "W1 R1 R3 R4 R6 R7 R8 D1 D7 A21",
     f"""
 WITH {ROLE_COLON_SEGMENTS},
 ranked AS (SELECT *, row_number() OVER (ORDER BY md5('0:' || conv_id), conv_id) AS r FROM per),
@@ -75,7 +75,15 @@ RENDER_CASES = {
     "render_qwen3_instruct": ("qwen3_instruct", "all_user_and_system_messages"),
     "render_deepseekv3": ("deepseekv3_disable_thinking", "all_assistant_messages"),
     "render_gpt_oss": ("gpt_oss_medium_reasoning", "customized"),
+    "render_qwen3_disable_thinking": ("qwen3_disable_thinking", "all_assistant_messages"),
+    "render_deepseekv3_thinking": ("deepseekv3", "last_assistant_message"),
+    "render_gpt_oss_no_sysprompt": ("gpt_oss_no_sysprompt", "all_assistant_messages"),
+    "render_gpt_oss_low": ("gpt_oss_low_reasoning", "all_messages"),
+    "render_gpt_oss_high": ("gpt_oss_high_reasoning", "last_assistant_message"),
 }
+#: Formats that render thinking, and those that render tool calls, get them here.
+WITH_THINKING = ("render_gpt_oss_low", "render_gpt_oss_high")
+WITH_TOOLS = ("render_qwen3", "render_qwen3_disable_thinking")
 
 
 def rendered_text(segments, conv="conv_id", order="turn"):
@@ -90,10 +98,10 @@ def rendered_text(segments, conv="conv_id", order="turn"):
     )
 
 
-def _render_plan(fmt, train_on):
+def _render_plan(name, fmt, train_on):
     def plan(spark, sf_dir):
-        msgs = messages(spark, sf_dir)
-        kw = {}
+        msgs = rich_messages(spark, sf_dir)
+        kw = {"thinking": "thinking"} if name in WITH_THINKING else {"tool_calls": "tool_calls"} if name in WITH_TOOLS else {}
         if train_on == "customized":
             msgs = msgs.withColumn("trainable", F.col("turn") % 2 == 0)
             kw["trainable"] = "trainable"
@@ -110,9 +118,9 @@ def _render_plan(fmt, train_on):
     return plan
 
 
-def _render_sql(fmt, train_on):
+def _render_sql(name, fmt, train_on):
     return f"""
-WITH {segments_cte(fmt, train_on)}
+WITH {segments_cte(fmt, train_on, thinking=name in WITH_THINKING, tools=name in WITH_TOOLS)}
 SELECT conv_id, md5(string_agg(text, '' ORDER BY turn, part)) AS text_md5,
        CAST(sum(length(text)) AS BIGINT) AS n_chars,
        CAST(sum(n) AS BIGINT) AS num_tokens, CAST(sum(n * weight) AS BIGINT) AS num_loss,
@@ -122,7 +130,27 @@ FROM seg GROUP BY conv_id
 
 
 for _name, (_fmt, _mode) in RENDER_CASES.items():
-    query(_name, "R1 R3 R4 R5 R6 R13 R14 W1", _render_sql(_fmt, _mode))(_render_plan(_fmt, _mode))
+    _ids = "R1 R3 R4 R5 R6 W1" + (" R14" if "reasoning" in _fmt else "") + (" R13" if _name in WITH_THINKING else "") + (" R12" if _name in WITH_TOOLS else "")
+    query(_name, _ids, _render_sql(_name, _fmt, _mode))(_render_plan(_name, _fmt, _mode))
+
+
+@query(
+    "generation_prompt_tools",
+    "R2 R12",
+    f"""
+WITH {messages_cte()},
+p AS (
+  SELECT conv_id, string_agg(CASE WHEN is_first THEN '' ELSE chr(10) END || '<|im_start|>' || role || chr(10)
+      || CASE WHEN role = 'assistant' AND NOT contains(content, '<think>') THEN '<think>' || chr(10) ELSE '' END || content || tool_calls || '<|im_end|>', '' ORDER BY turn)
+    || chr(10) || '<|im_start|>assistant' || chr(10) || '<think>' || chr(10) AS prompt
+  FROM m GROUP BY conv_id)
+SELECT conv_id, md5(prompt) AS prompt_md5, CAST(length(prompt) AS BIGINT) AS n_chars FROM p
+""",
+)
+def generation_prompt_tools(spark, sf_dir):
+    """R2 + R12: qwen3 generation prompts whose assistant messages hold tool calls."""
+    p = render.generation_prompts(rich_messages(spark, sf_dir), "qwen3", tool_calls="tool_calls")
+    return p.select("conv_id", F.md5("prompt").alias("prompt_md5"), F.length("prompt").cast("long").alias("n_chars"))
 
 
 @query(

@@ -25,9 +25,22 @@ def pieces(expr: str) -> str:
     return f"regexp_extract_all({expr}, {PIECE_RE}, 1)"
 
 
+# Thinking and tool calls of the messages (kiln.sources.tables.rich_messages); the calls as they are rendered.
+_ESCAPED = (
+    "array_to_string(list_transform(string_split(left(text, 12), ''), lambda c: CASE WHEN c = chr(10) THEN '\\n' WHEN unicode(c) > 126 "
+    "THEN '\\u' || printf('%04x', unicode(c)) ELSE c END), '')"
+)
+THINKING = "CASE WHEN role = 'assistant' AND turn % 4 <> 1 THEN 'step ' || turn END"
+_CALL = (
+    """'<tool_call>' || chr(10) || '{{"name": "search", "args": {{"query_list": ["' || """ + _ESCAPED + """ || '", "\\u00e9\\ud83d\\ude00"], "n": 2.5, "at": {{"turn": ' || turn
+    || ', "b": true, "a": null}}}}}}' || chr(10) || '</tool_call>'"""
+).replace("{{", "{").replace("}}", "}")
+TOOL_CALLS = f"CASE WHEN role = 'assistant' AND turn % 3 <> 0 THEN {_CALL} || CASE WHEN turn % 3 = 2 THEN chr(10) || {_CALL} ELSE '' END ELSE '' END"
+
+
 def messages_cte(source: str = "conversations") -> str:
     return f"""m AS (
-  SELECT conv_id, turn, role, text AS content, (turn % 2 = 0) AS trainable,
+  SELECT conv_id, turn, role, text AS content, (turn % 2 = 0) AS trainable, {THINKING} AS thinking, {TOOL_CALLS} AS tool_calls,
          turn = min(turn) OVER (PARTITION BY conv_id) AS is_first,
          turn = max(turn) OVER (PARTITION BY conv_id) AS is_last
   FROM {source})"""
@@ -79,18 +92,23 @@ def parts_sql(fmt: str) -> tuple[str, str, str, str]:
             "role IN ('user', 'assistant')",
         )
     if fmt.startswith("gpt_oss_"):
+        think = f"CASE WHEN is_last AND length(thinking) > 0 THEN {lit(fm.OSS_CHANNEL_ANALYSIS)} || thinking || {lit(fm.OSS_END)} || {lit(fm.OSS_START)} || 'assistant' ELSE '' END"
         return (
             f"{lit(fm.OSS_START)} || role",
-            f"CASE WHEN role = 'assistant' THEN {lit(fm.OSS_CHANNEL_FINAL)} || content ELSE {lit(fm.OSS_MESSAGE)} || content END"
+            f"CASE WHEN role = 'assistant' THEN {think} || {lit(fm.OSS_CHANNEL_FINAL)} || content ELSE {lit(fm.OSS_MESSAGE)} || content END"
             f" || CASE WHEN is_last THEN {lit(fm.OSS_RETURN)} ELSE {lit(fm.OSS_END)} END",
             "''",
-            "true",
+            "(role = 'assistant' OR thinking IS NULL)",
         )
     raise ValueError(fmt)
 
 
-def segments_cte(fmt: str, train_on: str, date: str = "2025-01-01") -> str:
+def segments_cte(fmt: str, train_on: str, date: str = "2025-01-01", thinking: bool = False, tools: bool = False) -> str:
     ob, ac, tail, ok = parts_sql(fmt)
+    if tools:
+        ac = ac.replace("content ||", "content || tool_calls ||", 1)
+    if not thinking:
+        ob, ac, ok = (x.replace("thinking IS NULL", "true").replace("length(thinking) > 0", "false") for x in (ob, ac, ok))
     start = fm.bos(fmt) + fm.system_preamble(fmt, date)
     w_ob = "1" if train_on == "all_tokens" else "0"
     return f"""{messages_cte()},

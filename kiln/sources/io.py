@@ -18,10 +18,10 @@ from pyspark.sql.types import (
     ArrayType, BooleanType, DoubleType, LongType, MapType, StringType, StructField, StructType,
 )
 
-TOOL_CALL = StructType([StructField("name", StringType()), StructField("args", MapType(StringType(), StringType()))])
+# a tool call stays JSON text: its key order, depth and types are part of what is rendered
 MESSAGE = StructType([
     StructField("role", StringType()), StructField("content", StringType()),
-    StructField("tool_calls", ArrayType(TOOL_CALL)), StructField("thinking", StringType()),
+    StructField("tool_calls", ArrayType(StringType())), StructField("thinking", StringType()),
     StructField("trainable", BooleanType()),
 ])
 MESSAGES = ArrayType(MESSAGE)

@@ -28,6 +28,19 @@ def messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def rich_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``messages`` with thinking and tool calls (JSON text, written without spaces) on some assistant messages."""
+    m = messages(spark, sf_dir)
+    reply = F.col("role") == "assistant"
+    said = F.regexp_replace(F.substring("content", 1, 12), "\n", "\\\\n")
+    call = F.concat(
+        F.lit('{"name":"search","args":{"query_list":["'), said, F.lit('","é😀"],"n":2.50,"at":{"turn":'), F.col("turn").cast("string"),
+        F.lit(',"b":true,"a":null}}}'))
+    calls = F.when(F.col("turn") % 3 == 1, F.array(call)).when(F.col("turn") % 3 == 2, F.array(call, call))
+    return m.withColumn("thinking", F.when(reply & (F.col("turn") % 4 != 1), F.concat(F.lit("step "), F.col("turn").cast("string")))).withColumn(
+        "tool_calls", F.when(reply, calls))
+
+
 def step_index(partition: str = "l_orderkey") -> Column:
     """Step number of a line item inside its order (unique order of the row)."""
     w = Window.partitionBy(partition).orderBy("l_linenumber", "l_partkey", "l_suppkey", "l_quantity")
