@@ -16,39 +16,52 @@ from pyspark.sql import functions as F
 from kiln.operators.ranking import md5_key, md5_unit, top_k_per_group
 
 
+#: Hex digits of the shuffle key that make a bucket, and of those the ones that make a range of buckets.
+BUCKET_DIGITS, RANGE_DIGITS = 5, 2
+
+
+def bucket_digits(rows: int | None, per_bucket: int = 100_000) -> int:
+    """Digits for about ``per_bucket`` rows a bucket, from an estimate of the rows (None: 16^5 buckets)."""
+    if rows is None:
+        return BUCKET_DIGITS
+    digits = RANGE_DIGITS
+    while rows > per_bucket * 16**digits and digits < 8:
+        digits += 1
+    return digits
+
+
 def shuffle_rank(
     df: DataFrame,
     seed: int | str | Column,
     id_col: str,
     rank_col: str = "global_rank",
     group: Sequence[str] = (),
-    prefix_digits: int = 3,
+    rows: int | None = None,
     keep_total: bool = False,
 ) -> DataFrame:
     """D1 (+D10 with ``group``): 1-based position after a seeded shuffle.
 
-    md5 keys are uniform, so their first hex digits split the key space into
-    16**prefix_digits equal buckets: position = rows in earlier buckets of the
-    same group + row number inside the bucket. Only the bucket-count table
-    (≤ groups·4096 rows) is broadcast; no step sorts all rows in one task.
+    md5 keys are uniform, so their first hex digits split the key space into equal buckets: position = rows in earlier
+    buckets of the same group + row number inside the bucket. The rows before a bucket come from a prefix sum of two
+    levels (ranges of buckets, buckets of a range), each a window over a bounded number of counts, and
+    meet the rows in a join on (group, bucket), by which these are partitioned already: nothing is broadcast, no step
+    sorts a whole group in one task, and a hot group is spread over all its buckets. ``rows``: an estimate of the rows.
     """
     seed_col = seed if isinstance(seed, Column) else F.lit(str(seed))
     key = F.md5(F.concat(seed_col.cast("string"), F.lit(":"), F.col(id_col).cast("string")))
-    staged = df.withColumn("_key", key).withColumn(
-        "_bucket", F.conv(F.substring("_key", 1, prefix_digits), 16, 10).cast("int")
-    )
+    staged = df.withColumn("_key", key).withColumn("_bucket", F.substring("_key", 1, bucket_digits(rows)))
     g = list(group)
-    counts = staged.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_n"))
-    w = Window.partitionBy(*g).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(
-        *g, "_bucket",
-        F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_offset"),
-        F.sum("_n").over(Window.partitionBy(*g)).alias("_group_rows"),
-    )
+    counts = staged.groupBy(*g, "_bucket").agg(F.count(F.lit(1)).alias("_n")).withColumn("_range", F.substring("_bucket", 1, RANGE_DIGITS))
+    ranges = counts.groupBy(*g, "_range").agg(F.sum("_n").alias("_n"))
+    before = lambda w: F.coalesce(F.sum("_n").over(w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    all_rows = F.sum("_n").over(Window.partitionBy(*(g or [F.lit(0)])))
+    ranges = ranges.select(*g, "_range", before(Window.partitionBy(*(g or [F.lit(0)])).orderBy("_range")).alias("_start"), all_rows.alias("_group_rows"))
+    inside = counts.select(*g, "_range", "_bucket", before(Window.partitionBy(*g, "_range").orderBy("_bucket")).alias("_offset"))
+    offsets = inside.join(ranges, [*g, "_range"]).select(*g, "_bucket", (F.col("_offset") + F.col("_start")).alias("_offset"), "_group_rows")
     local = Window.partitionBy(*g, "_bucket").orderBy("_key", id_col)
     out = (
         staged.withColumn("_local", F.row_number().over(local))
-        .join(F.broadcast(offsets), [*g, "_bucket"])
+        .join(offsets, [*g, "_bucket"])
         .withColumn(rank_col, (F.col("_offset") + F.col("_local")).cast("long"))
         .drop("_key", "_bucket", "_local", "_offset")
     )
@@ -56,34 +69,32 @@ def shuffle_rank(
     return out if keep_total else out.drop("_group_rows")
 
 
-def count_rows(df: DataFrame) -> int:
-    """Driver-side row count (only where the semantics need n, e.g. D3, D7)."""
-    return int(df.select(F.count(F.lit(1)).alias("n")).first()["n"])
+def _rows_of(ranked: DataFrame) -> Column:
+    """The number of rows: what rides along with the ranks, else a scalar subquery."""
+    return F.col("_group_rows") if "_group_rows" in ranked.columns else ranked.agg(F.count(F.lit(1))).scalar()
 
 
-def head_split(ranked: DataFrame, test_size: int, n: int | None = None, rank_col: str = "global_rank") -> DataFrame:
+def head_split(ranked: DataFrame, test_size: int | Column, rank_col: str = "global_rank") -> DataFrame:
     """First ``test_size`` shuffled rows are test, the rest train.
 
-    Split only if ``0 < test_size < n``; otherwise everything is train.
+    Split only if ``0 < test_size < n``; otherwise everything is train. n rides along with the ranks
+    (``keep_total``) or is a scalar subquery.
     """
-    n = count_rows(ranked) if n is None else n
-    if 0 < test_size < n:
-        split = F.when(F.col(rank_col) <= test_size, F.lit("test")).otherwise(F.lit("train"))
-    else:
-        split = F.lit("train")
-    return ranked.withColumn("split", split)
+    size = F.lit(test_size) if isinstance(test_size, int) else test_size
+    split = (size > 0) & (size < _rows_of(ranked)) & (F.col(rank_col) <= size)
+    return ranked.withColumn("split", F.when(split, F.lit("test")).otherwise(F.lit("train"))).drop("_group_rows")
 
 
-def relative_test_size(n: int, cap: int = 1024, denom: int = 10) -> int:
+def relative_test_size(n: int | Column, cap: int = 1024, denom: int = 10) -> int | Column:
     """``min(cap, n // denom)``."""
-    return min(cap, n // denom)
+    return min(cap, n // denom) if isinstance(n, int) else F.least(F.lit(cap), F.floor(n / denom))
 
 
-def tail_split(ranked: DataFrame, test_size: int, n: int, rank_col: str = "global_rank") -> DataFrame:
+def tail_split(ranked: DataFrame, test_size: int | Column, rank_col: str = "global_rank") -> DataFrame:
     """D4 tail variant: the last ``test_size`` rows are the test split."""
     return ranked.withColumn(
-        "split", F.when(F.col(rank_col) > n - test_size, F.lit("test")).otherwise(F.lit("train"))
-    )
+        "split", F.when(F.col(rank_col) > _rows_of(ranked) - test_size, F.lit("test")).otherwise(F.lit("train"))
+    ).drop("_group_rows")
 
 
 def ratio_split(df: DataFrame, test_ratio: float, seed: int, id_col: str) -> DataFrame:
@@ -140,26 +151,28 @@ def per_group_sample(df: DataFrame, group: str, k: int, seed: int, id_col: str)
     return top_k_per_group(df, [group], [key, F.col(id_col)], k, salt=salt)
 
 
-def row_cap(ranked: DataFrame, n: int | None, rank_col: str = "global_rank") -> DataFrame:
-    """Keep the first ``n`` rows of the seeded order (None = all)."""
-    return ranked if n is None else ranked.filter(F.col(rank_col) <= n)
+def row_cap(df: DataFrame, n: int | None, seed: int, id_col: str) -> DataFrame:
+    """The first ``n`` rows of the seeded order (None = all), by a top-n that keeps n rows a task, not a rank of all."""
+    return df if n is None else df.orderBy(md5_key(seed, id_col), F.col(id_col)).limit(n)
 
 
-def composite_batches(parts: Sequence[tuple[DataFrame, int]], rank_col: str = "global_rank") -> DataFrame:
+def composite_batches(datasets: Sequence[DataFrame], sizes: Sequence[int], rank_col: str = "global_rank") -> DataFrame:
     """Batch i = batch i of every dataset, each with its own batch size.
 
     Batches are counted with drop-last per dataset; only batch indices below
-    the minimum batch count are kept. ``dataset_idx`` records the source.
+    the minimum batch count are kept. ``dataset_idx`` records the source. As many sizes as datasets, or an error.
     """
-    outs, n_batches = [], []
-    for idx, (ranked, b) in enumerate(parts):
-        n = count_rows(ranked)
-        n_batches.append(n // b)
-        outs.append(assign_batches(ranked, b, drop_last=True, n=n, rank_col=rank_col).withColumn(
-            "dataset_idx", F.lit(idx).cast("long")
-        ))
-    m = min(n_batches) if n_batches else 0
-    return reduce(lambda a, c: a.unionByName(c, allowMissingColumns=True), outs).filter(F.col("batch_idx") < m)
+    if len(datasets) != len(sizes):
+        raise ValueError(f"{len(datasets)} datasets, {len(sizes)} batch sizes")
+    if not datasets:
+        raise ValueError("no datasets")
+    counts = [F.floor(r.agg(F.count(F.lit(1))).scalar() / b) for r, b in zip(datasets, sizes, strict=True)]
+    least = F.least(*counts) if len(counts) > 1 else counts[0]
+    outs = [
+        assign_batches(r, b, drop_last=False, rank_col=rank_col).withColumn("dataset_idx", F.lit(k).cast("long")).filter(F.col("batch_idx") < least)
+        for k, (r, b) in enumerate(zip(datasets, sizes, strict=True))
+    ]
+    return reduce(lambda a, c: a.unionByName(c, allowMissingColumns=True), outs)
 
 
 def replicate(df: DataFrame, group_size: int | Column, col: str = "sample_idx") -> DataFrame:
@@ -172,9 +185,9 @@ def even_chunk(i: Column, n: Column, k: Column) -> Column:
     """Chunk of 0-based row ``i`` when ``n`` rows are cut into ``k`` chunks.
 
     Edges are ``floor(j * (n / k))`` in double arithmetic (= numpy linspace
-    cast to int); the chunk is the number of inner edges ≤ i.
+    cast to int); the chunk is the number of inner edges ≤ i. Fewer than one chunk, or more chunks than rows, is an error.
     """
-    kk = F.least(k, n)
+    kk = F.when((k >= 1) & (k <= n), k).otherwise(F.raise_error(F.concat(F.lit("cannot cut "), n.cast("string"), F.lit(" rows into "), k.cast("string"))).cast("int"))
     return F.size(
         F.filter(F.sequence(F.lit(1), F.greatest(kk - 1, F.lit(1))), lambda j: (j < kk) & (F.floor(j * (n.cast("double") / kk)) <= i))
     ).cast("long")

@@ -28,7 +28,7 @@ def shuffle_documents(spark, sf_dir):
 
 @query(
     "head_split_documents",
-    "D2 D3 D4 D6",
+    "D2 D3 D4",
     f"""
 WITH r AS (SELECT doc_id, {RANK_SQL.format(seed=0, id='doc_id')} AS global_rank FROM documents),
 n AS (SELECT least(1024, count(*) // 10) AS t, count(*) AS n FROM documents)
@@ -38,9 +38,44 @@ FROM r, n
 )
 def head_split_documents(spark, sf_dir):
     """test = first min(1024, n // 10) rows after the shuffle."""
-    ranked = split.shuffle_rank(_docs(spark, sf_dir), 0, "doc_id")
-    n = split.count_rows(ranked)
-    return split.head_split(ranked, split.relative_test_size(n), n=n)
+    ranked = split.shuffle_rank(_docs(spark, sf_dir), 0, "doc_id", keep_total=True)
+    return split.head_split(ranked, split.relative_test_size(F.col("_group_rows")))
+
+
+@query(
+    "tail_split_orders",
+    "D3 D4",
+    f"""
+WITH r AS (SELECT o_orderkey, o_custkey, row_number() OVER (PARTITION BY o_custkey ORDER BY md5('5:' || o_orderkey), o_orderkey) AS r,
+                  count(*) OVER (PARTITION BY o_custkey) AS n FROM orders),
+t AS (SELECT o_orderkey, {RANK_SQL.format(seed=5, id="o_orderkey")} AS g, count(*) OVER () AS n FROM orders)
+SELECT r.o_orderkey, CASE WHEN 3 < r.n AND r.r <= 3 THEN 'test' ELSE 'train' END AS head_split,
+       CASE WHEN g > t.n - least(1024, t.n // 10) THEN 'test' ELSE 'train' END AS tail_split
+FROM r JOIN t ON r.o_orderkey = t.o_orderkey
+""",
+)
+def tail_split_orders(spark, sf_dir):
+    """D4 tail variant over all orders; D3 per customer: 3 test orders, none where a customer has no more than that."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    head = split.head_split(split.shuffle_rank(o, 5, "o_orderkey", group=["o_custkey"], keep_total=True), 3)
+    ranked = split.shuffle_rank(o, 5, "o_orderkey", keep_total=True)
+    tail = split.tail_split(ranked, split.relative_test_size(F.col("_group_rows")))
+    return head.select("o_orderkey", F.col("split").alias("head_split")).join(tail.select("o_orderkey", F.col("split").alias("tail_split")), "o_orderkey")
+
+
+@query(
+    "test_cut_documents",
+    "D6",
+    """
+SELECT doc_id, rank FROM (SELECT doc_id, row_number() OVER (ORDER BY md5('0:' || doc_id), doc_id) AS rank FROM documents WHERE source IN (SELECT max(source) FROM documents))
+WHERE rank <= 25
+""",
+)
+def test_cut_documents(spark, sf_dir):
+    """The named test split (one source) shuffled with seed 0, its first 25 rows taken (the cut is the feature)."""
+    docs = _docs(spark, sf_dir, "source")
+    test = docs.filter(F.col("source") == docs.agg(F.max("source")).scalar())
+    return split.shuffle_rank(split.row_cap(test, 25, 0, "doc_id"), 0, "doc_id", "rank").select("doc_id", "rank")
 
 
 @query(
@@ -76,12 +111,11 @@ FROM b GROUP BY mode, batch_idx
 )
 def batches_documents(spark, sf_dir):
     """D7 drop-last / D8 keep-last batches of 64 and D9 single batch."""
-    ranked = split.shuffle_rank(_docs(spark, sf_dir), 3, "doc_id")
-    n = split.count_rows(ranked)
+    ranked = split.shuffle_rank(_docs(spark, sf_dir), 3, "doc_id", keep_total=True)
     parts = [
-        split.assign_batches(ranked, 64, drop_last=True, n=n).withColumn("mode", F.lit("drop_last")),
+        split.assign_batches(ranked, 64, drop_last=True).withColumn("mode", F.lit("drop_last")),
         split.assign_batches(ranked, 64, drop_last=False).withColumn("mode", F.lit("keep_last")),
-        split.single_batch(ranked).withColumn("mode", F.lit("single")),
+        split.single_batch(ranked.drop("_group_rows")).withColumn("mode", F.lit("single")),
     ]
     u = parts[0].unionByName(parts[1]).unionByName(parts[2])
     return u.groupBy("mode", "batch_idx").agg(
@@ -127,7 +161,7 @@ def per_source_sample(spark, sf_dir):
 )
 def row_cap_documents(spark, sf_dir):
     """Cap at the first 100 rows of the seed-1 order (the cap is the feature)."""
-    return split.row_cap(split.shuffle_rank(_docs(spark, sf_dir), 1, "doc_id"), 100)
+    return split.shuffle_rank(split.row_cap(_docs(spark, sf_dir), 100, 1, "doc_id"), 1, "doc_id")
 
 
 @query(
@@ -150,7 +184,7 @@ def composite_mix(spark, sf_dir):
     docs = _docs(spark, sf_dir, "lang")
     en = split.shuffle_rank(docs.filter(F.col("lang") == "en"), 0, "doc_id")
     other = split.shuffle_rank(docs.filter(F.col("lang") != "en"), 0, "doc_id")
-    mixed = split.composite_batches([(en, 16), (other, 8)])
+    mixed = split.composite_batches([en, other], [16, 8])
     return mixed.groupBy("dataset_idx", "batch_idx").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("doc_id").cast("long").alias("id_sum")
     )
@@ -192,7 +226,7 @@ def even_split_orders(spark, sf_dir):
     o = o.withColumn("i", (F.row_number().over(w) - 1).cast("long")).withColumn(
         "n", F.count(F.lit(1)).over(Window.partitionBy("o_custkey"))
     )
-    return o.select("o_custkey", "o_orderkey", split.even_chunk(F.col("i"), F.col("n"), F.lit(3)).alias("chunk"))
+    return o.select("o_custkey", "o_orderkey", split.even_chunk(F.col("i"), F.col("n"), F.least(F.lit(3), F.col("n"))).alias("chunk"))
 
 
 @query(
