@@ -21,11 +21,6 @@ def pystrip(c: Column) -> Column:
     return F.regexp_replace(c, r"(?U)^\s+|\s+$", "")
 
 
-def boxed_simple(text: Column) -> Column:
-    """Fast path of G1: last ``\\boxed{...}`` without inner braces (null if none)."""
-    return F.try_element_at(F.regexp_extract_all(text, F.lit(r"\\boxed\{([^{}]*)\}"), 1), F.lit(-1))
-
-
 def gsm8k_answer(text: Column) -> Column:
     """Last line whose stripped text starts with ``####``.
 

@@ -7,6 +7,8 @@ whole-stage codegen and needs no shuffle unless a group is formed (N12).
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -101,14 +103,19 @@ def hh_pair(chosen: Column, rejected: Column) -> Column:
     )
 
 
+def _comparison(prompt: Column, a: Column, b: Column, label: Column) -> list[Column]:
+    said = lambda c: F.array(msg(F.lit("assistant"), c))
+    return [F.struct(prompt.alias("prompt"), said(a).alias("completion_a"), said(b).alias("completion_b")).alias("comparison"), label.alias("label")]
+
+
+def _user(c: str) -> Column:
+    return F.array(msg(F.lit("user"), F.col(c)))
+
+
 def tulu_preference(df: DataFrame) -> DataFrame:
-    """Prompt + second message of chosen / rejected, label A."""
-    return df.select(
-        F.array(msg(F.lit("user"), F.col("prompt"))).alias("prompt"),
-        F.array(F.element_at("chosen", 2)).alias("completion_a"),
-        F.array(F.element_at("rejected", 2)).alias("completion_b"),
-        F.lit("A").alias("label"),
-    )
+    """Prompt + content of the second message of chosen / rejected as assistant replies, label A."""
+    second = lambda c: F.element_at(c, 2)["content"]
+    return df.select(*_comparison(_user("prompt"), second("chosen"), second("rejected"), F.lit("A")))
 
 
 def helpsteer3_label(pref: Column) -> Column:
@@ -116,14 +123,49 @@ def helpsteer3_label(pref: Column) -> Column:
     return F.when(pref < 0, F.lit("A")).when(pref > 0, F.lit("B"))
 
 
+def helpsteer3(df: DataFrame) -> DataFrame:
+    """Context as the prompt, both responses, label by the sign of the preference; ties dropped."""
+    context = F.transform("context", lambda m: msg(m["role"], m["content"]))
+    rows = df.select(*_comparison(context, F.col("response1"), F.col("response2"), helpsteer3_label(F.col("overall_preference"))))
+    return rows.filter(F.col("label").isNotNull())
+
+
 def ultrafeedback(df: DataFrame) -> DataFrame:
     """Instruction + chosen / rejected responses, label A."""
-    return df.select(
-        F.array(msg(F.lit("user"), F.col("instruction"))).alias("prompt"),
-        F.array(msg(F.lit("assistant"), F.col("chosen_response"))).alias("completion_a"),
-        F.array(msg(F.lit("assistant"), F.col("rejected_response"))).alias("completion_b"),
-        F.lit("A").alias("label"),
-    )
+    return df.select(*_comparison(_user("instruction"), F.col("chosen_response"), F.col("rejected_response"), F.lit("A")))
+
+
+def hh(df: DataFrame) -> DataFrame:
+    """N5 + N6: transcript pairs; malformed ones dropped."""
+    pair = hh_pair(hh_parse(F.col("chosen")), hh_parse(F.col("rejected")))
+    return df.select(pair.alias("comparison"), F.lit("A").alias("label")).filter(F.col("comparison").isNotNull())
+
+
+def sharegpt(df: DataFrame) -> DataFrame:
+    """N1."""
+    return df.select(sharegpt_to_messages(F.col("conversations")).alias("messages"))
+
+
+#: Named sources (S5) and the adapter of their rows.
+ADAPTERS = {"tulu3": tulu_preference, "helpsteer3": helpsteer3, "ultrafeedback": ultrafeedback, "hh": hh, "sharegpt": sharegpt}
+
+
+def chat_text(df: DataFrame, fmt: str, conv: str = "conv_id", col: str = "conversations") -> DataFrame:
+    """ShareGPT rows → messages → the chat template's text, all other columns dropped."""
+    from kiln.operators import render
+
+    long = explode_conversations(df.select(conv, sharegpt_to_messages(F.col(col)).alias("messages")), conv)
+    parts = render.render_segments(long, fmt, "all_messages", conv=conv).groupBy(conv)
+    parts = parts.agg(F.array_sort(F.collect_list(F.struct("turn", "part", "text"))).alias("_s"))
+    return parts.select(F.array_join(F.transform("_s", lambda s: s["text"]), "").alias("text"))
+
+
+def student_rows(queries: DataFrame, responses: DataFrame, extract: Callable[[Column], Column], key: str = "query_id") -> DataFrame:
+    """Rows (messages) of query → extracted label for the student; the teacher's prompt is not in them. Responses
+    without a label give no row."""
+    labelled = responses.select(key, extract(F.col("response")).alias("_label")).filter(F.col("_label").isNotNull())
+    joined = queries.join(labelled, key)
+    return joined.select(F.array(msg(F.lit("user"), F.col("query")), msg(F.lit("assistant"), F.col("_label"))).alias("messages"))
 
 
 def arena_flatten(conversation: Column, sep: str = " ") -> Column:
@@ -192,19 +234,17 @@ def non_empty(*cols: str) -> Column:
     return cond
 
 
-def qa_golds(df: DataFrame) -> Column:
-    """Gold answers = reward_model.ground_truth.target if present else golden_answers."""
-    cols = df.columns
-    cands = []
-    if "reward_model" in cols:
-        truth = df.schema["reward_model"].dataType["ground_truth"].dataType
-        # a struct with the list, or the list itself
-        nested = isinstance(truth, StructType)
-        cands.append(F.col("reward_model.ground_truth.target" if nested else "reward_model.ground_truth"))
-    if "golden_answers" in cols:
-        cands.append(F.col("golden_answers"))
-    cands.append(F.array().cast("array<string>"))
-    return F.coalesce(*cands)
+def mixed_golds(reward_model: Column, golden_answers: Column) -> Column:
+    """N15 over JSON text of mixed type: an object's ground truth (its ``target`` list, or the list itself) if it has one,
+    else the golden answers; what is no list of strings is an error."""
+    v = F.try_parse_json(reward_model)
+    truth = F.try_variant_get(v, "$.ground_truth", "variant")
+    nested = F.try_variant_get(truth, "$.target", "variant")
+    gold = F.coalesce(nested, truth, F.try_parse_json(golden_answers), F.parse_json(F.lit("[]")))
+    kind = F.schema_of_variant(gold)
+    listed = kind.isin("ARRAY<STRING>", "ARRAY<VOID>")
+    wrong = F.raise_error(F.concat(F.lit("gold answers are no list of strings: "), kind)).cast("array<string>")
+    return F.when(listed, F.variant_get(gold, "$", "array<string>")).otherwise(wrong)
 
 
 def optional_columns(df: DataFrame, defaults: dict[str, object]) -> DataFrame:

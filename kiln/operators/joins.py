@@ -2,6 +2,8 @@
 
 The checks are part of the plan: a violation fails the job that meets it, with the key in the message. They cost the
 join itself and, for doubled keys, one partial aggregate a side; hot keys are aggregated before they are shuffled.
+The check guards every column that the join adds, besides the rows: a filter on such a column later in the plan
+would else turn the outer join into an inner one and lose the rows before they are checked.
 """
 
 from __future__ import annotations
@@ -16,6 +18,13 @@ def _named(on: Sequence[str]) -> Column:
     return F.to_json(F.struct(*on))
 
 
+def _guarded(df: DataFrame, on: Sequence[str], cols: Sequence[str], there: Column, message: str) -> DataFrame:
+    """Rows where ``there`` holds, all else an error, which the values of ``cols`` carry too."""
+    error = F.raise_error(F.concat(F.lit(message), _named(on)))
+    df = df.withColumns({c: F.when(there, F.col(c)).otherwise(error) for c in cols})
+    return df.where(F.when(there, True).otherwise(error.cast("boolean")))
+
+
 def unique(df: DataFrame, on: Sequence[str], what: str) -> DataFrame:
     """``df`` with one row a key; a doubled key is an error."""
     rest = [c for c in df.columns if c not in on]
@@ -28,8 +37,7 @@ def lookup(df: DataFrame, table: DataFrame, on: Sequence[str], what: str) -> Dat
     """Each row with its one row of ``table``; rows without one, and doubled keys of the table, are errors."""
     there = unique(table, on, what).withColumn("_there", F.lit(True))
     joined = df.join(there, list(on), "left")
-    fine = F.when(F.col("_there"), True).otherwise(F.raise_error(F.concat(F.lit(f"{what}: no row for "), _named(on))).cast("boolean"))
-    return joined.where(fine).drop("_there")
+    return _guarded(joined, on, [c for c in table.columns if c not in on], F.col("_there"), f"{what}: no row for ").drop("_there")
 
 
 def strict_join(left: DataFrame, right: DataFrame, on: Sequence[str], what: str) -> DataFrame:
@@ -37,9 +45,9 @@ def strict_join(left: DataFrame, right: DataFrame, on: Sequence[str], what: str)
     a = unique(left, on, f"{what} (left)").withColumn("_left", F.lit(True))
     b = unique(right, on, f"{what} (right)").withColumn("_right", F.lit(True))
     joined = a.join(b, list(on), "full")
-    fine = F.when(F.coalesce("_left", F.lit(False)) & F.coalesce("_right", F.lit(False)), True)
-    fine = fine.otherwise(F.raise_error(F.concat(F.lit(f"{what}: key on one side only "), _named(on))).cast("boolean"))
-    return joined.where(fine).drop("_left", "_right")
+    both = F.coalesce("_left", F.lit(False)) & F.coalesce("_right", F.lit(False))
+    cols = [c for c in (*left.columns, *right.columns) if c not in on]
+    return _guarded(joined, on, cols, both, f"{what}: key on one side only ").drop("_left", "_right")
 
 
 def strict_zip(what: str, **arrays: Column | str) -> Column:

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from kiln.operators import split
 from kiln.operators.ranking import md5_unit
 
 PATTERNS = ("all_pairs_both_ways", "all_pairs_one_way")
@@ -32,6 +33,21 @@ def tournament_pairs(players: DataFrame, group: str, idx: str, pattern: str, chu
     return a.join(b, [group, "_chunk"]).filter(cond).drop("_chunk")
 
 
+def prompt_groups(ranked: DataFrame, batch_size: int, group_size: int, prompt: str = "prompt") -> DataFrame:
+    """Shuffled prompts (with ranks) → batches (drop last) → a group of players each; null prompts go after batching (T4)."""
+    batched = split.assign_batches(ranked, batch_size, drop_last=True)
+    return split.replicate(batched.filter(F.col(prompt).isNotNull()), group_size, "idx")
+
+
+def comparison_rows(players: DataFrame, pattern: str, chunk_size: int, group: str = "group_id", idx: str = "idx", prompt: str = "prompt",
+                    completion: str = "completion") -> DataFrame:
+    """A comparison row for every matchup of a group: the shared prompt, A = player i, B = player j."""
+    same = [c for c in players.columns if c not in (group, idx, completion)]
+    m = tournament_pairs(players, group, idx, pattern, chunk_size)
+    cmp = F.struct(F.col(f"{prompt}_i").alias("prompt"), F.col(f"{completion}_i").alias("completion_a"), F.col(f"{completion}_j").alias("completion_b"))
+    return m.select(group, *[F.col(f"{c}_i").alias(c) for c in same if c != prompt], f"{idx}_i", f"{idx}_j", cmp.alias("cmp"))
+
+
 def win_minus_loss(matches: DataFrame, group: str, idx: str, reward: str, valid: DataFrame | None = None,
                    format_coef: float = 1.0) -> DataFrame:
     """P5: r adds to j and subtracts from i, divided by the player's match count.

@@ -15,10 +15,10 @@ from pyspark.sql import functions as F
 
 def total_rewards(transitions: DataFrame, trajectories: DataFrame) -> DataFrame:
     """A1: Σ step rewards + final reward, for every trajectory (no steps → final only)."""
-    step_sum = transitions.groupBy("group_id", "traj_id").agg(
-        F.sum("reward").alias("step_reward"), F.count(F.lit(1)).alias("n_steps")
-    )
-    return trajectories.join(step_sum, ["group_id", "traj_id"], "left").select(
+    # steps that do not know their group are summed before the one join that tells it
+    keys = [c for c in ("group_id", "traj_id") if c in transitions.columns]
+    step_sum = transitions.groupBy(*keys).agg(F.sum("reward").alias("step_reward"), F.count(F.lit(1)).alias("n_steps"))
+    return trajectories.join(step_sum, keys, "left").select(
         "group_id",
         "traj_id",
         (F.coalesce(F.col("step_reward"), F.lit(0.0)) + F.col("final_reward")).alias("total_reward"),
@@ -79,9 +79,8 @@ def trajectory_metrics(transitions: DataFrame, totals: DataFrame) -> DataFrame:
         F.sum("ac_len").alias("total_ac_tokens"),
         F.sum("ob_len").alias("total_ob_tokens"),
     )
-    t = t.withColumn("total_episodes", totals.agg(F.count(F.lit(1))).scalar()).withColumn(
-        "reward_total_mean", totals.agg(F.avg("total_reward")).scalar()
-    )
+    of_totals = totals.agg(F.struct(F.count(F.lit(1)).alias("n"), F.avg("total_reward").alias("mean"))).scalar()
+    t = t.withColumn("_t", of_totals).withColumn("total_episodes", F.col("_t.n")).withColumn("reward_total_mean", F.col("_t.mean"))
     return t.select(
         F.try_divide("total_ac_tokens", "total_turns").alias("ac_tokens_per_turn"),
         F.try_divide("total_ob_tokens", "total_turns").alias("ob_tokens_per_turn"),
@@ -228,6 +227,16 @@ def rollout_report(df: DataFrame, value_cols: list[str]) -> DataFrame:
     return df.agg(*aggs)
 
 
+def trials(ranked: DataFrame, rollouts: int, rank: str = "_rank") -> DataFrame:
+    """Results in order (1-based ``rank``) laid out by rollout: n examples a rollout, result i is example i mod n of rollout i div n.
+
+    Results beyond ``rollouts`` whole rollouts are left out, as they belong to none."""
+    n = F.floor(ranked.agg(F.count(F.lit(1))).scalar() / rollouts)
+    at = F.col(rank) - 1
+    out = ranked.withColumn("rollout_idx", F.floor(at / n).cast("long")).withColumn("example_idx", F.pmod(at, n).cast("long"))
+    return out.filter(F.col("rollout_idx") < rollouts).drop(rank)
+
+
 def win_rate(scores_ab: DataFrame, scores_ba: DataFrame, key: str = "item_id") -> DataFrame:
     """Score (r0 − r1 + 2) / 4 from both orders; mean and std_pop / √n."""
     j = scores_ab.select(key, F.col("score").alias("r0")).join(scores_ba.select(key, F.col("score").alias("r1")), key)

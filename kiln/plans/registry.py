@@ -51,6 +51,7 @@ def load_all() -> dict[str, Entry]:
         data,
         streams,
         parse,
+        rows,
     )
 
     return REGISTRY

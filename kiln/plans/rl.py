@@ -40,7 +40,7 @@ gs AS (
 
 
 def _totals(spark, sf_dir):
-    return ro.total_rewards(tb.transitions(spark, sf_dir), tb.trajectories(spark, sf_dir))
+    return ro.total_rewards(tb.steps(spark, sf_dir), tb.trajectories(spark, sf_dir))
 
 
 @query("total_rewards", "A1", f"""
@@ -110,7 +110,7 @@ FROM t
 """)
 def trajectory_metrics(spark, sf_dir):
     """Token / turn / episode totals and ratios of sums."""
-    m = ro.trajectory_metrics(tb.transitions(spark, sf_dir), _totals(spark, sf_dir))
+    m = ro.trajectory_metrics(tb.steps(spark, sf_dir), _totals(spark, sf_dir))
     return m.select(*[r6(F.col(c)).alias(c) if c not in ("total_episodes", "total_turns", "total_ac_tokens", "total_ob_tokens") else F.col(c) for c in m.columns])
 
 
@@ -122,7 +122,7 @@ UNION ALL SELECT 'final', round(avg(final_reward), 6) FROM tr
 """)
 def metric_means(spark, sf_dir):
     """Mean per key over only the dicts having it; step + trajectory metrics pooled."""
-    steps = tb.transitions(spark, sf_dir).select("metrics")
+    steps = tb.steps(spark, sf_dir).select("metrics")
     trajs = tb.trajectories(spark, sf_dir).select(F.create_map(F.lit("final"), F.col("final_reward")).alias("metrics"))
     return ro.metric_means(steps, trajs).select("key", r6(F.col("value")).alias("value"))
 
@@ -214,7 +214,7 @@ def two_level_mean(spark, sf_dir):
     )
 
 
-@query("accuracy_by_source", "A16 A17", f"""
+@query("accuracy_by_source", "A16", f"""
 WITH {T_CTE},
 sc AS (
   SELECT tr.traj_id, tr.o_orderpriority AS source, coalesce(l.s, 0.0) AS score

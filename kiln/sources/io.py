@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import hashlib
 import json
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -18,6 +19,8 @@ from pyspark.sql.types import (
     ArrayType, BooleanType, DoubleType, LongType, MapType, StringType, StructField, StructType,
 )
 
+from kiln.operators.adapters import ADAPTERS
+
 # a tool call stays JSON text: its key order, depth and types are part of what is rendered
 MESSAGE = StructType([
     StructField("role", StringType()), StructField("content", StringType()),
@@ -76,9 +79,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.text(path).select(F.regexp_replace("value", r"(?U)^\s+|\s+$", "").alias("line")).filter(F.col("line") != "")
 
 
-def write_conversations(df: DataFrame, path: str, answer: str = "answer") -> None:
-    """Rows with a null answer are skipped; existing output is never overwritten."""
-    df.filter(F.col(answer).isNotNull()).write.mode("ignore").json(path)
+def read_dataset(spark: SparkSession, kind: str, paths: list[str]) -> DataFrame:
+    """A named source in its own schema (Parquet parts) through its adapter."""
+    if kind not in ADAPTERS:
+        raise ValueError(f"unknown dataset {kind!r}; known: {sorted(ADAPTERS)}")
+    return ADAPTERS[kind](read_parquet_union(spark, paths))
+
+
+def write_conversations(df: DataFrame, path: str, messages: str = "messages") -> None:
+    """One object with its ``messages`` a line; rows without are skipped; existing output is never overwritten."""
+    df.filter(F.col(messages).isNotNull()).select(F.col(messages).alias("messages")).write.mode("ignore").json(path)
 
 
 def config_hash(dataset: str, config: dict) -> str:
@@ -110,16 +120,21 @@ def append_metrics(df: DataFrame, path: str) -> None:
     df.write.mode("append").json(path)
 
 
-def read_jsonl(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def read_jsonl(spark: SparkSession, path: str, schema: StructType | str) -> DataFrame:
     """JSON lines with a declared schema."""
     return spark.read.schema(schema).json(path)
 
 
-def last_checkpoint(log: DataFrame, required_key: str = "state_path") -> DataFrame:
-    """Last resumable row (loop state order) having ``required_key``."""
-    return log.filter(F.col(required_key).isNotNull()).agg(
-        F.max_by(F.struct(*log.columns), F.struct("epoch", "batch")).alias("_r")
-    ).select("_r.*")
+def run_schema(schema: StructType) -> StructType:
+    """A log's schema with the run it belongs to."""
+    return StructType([StructField("run", LongType()), *schema.fields])
+
+
+def last_checkpoint(log: DataFrame, required_key: str = "state_path", by: Sequence[str] = ()) -> DataFrame:
+    """Last resumable row (loop state order) having ``required_key``, one for each run in ``by``."""
+    return log.filter(F.col(required_key).isNotNull()).groupBy(*by).agg(
+        F.max_by(F.struct(*[c for c in log.columns if c not in by]), F.struct("epoch", "batch")).alias("_r")
+    ).select(*by, "_r.*")
 
 
 def write_eval_csv(df: DataFrame, path: str, required: list[str]) -> None:

@@ -131,6 +131,10 @@ def test_checked_joins_raise(spark):
         joins.lookup(left, right.union(right), ["k"], "t").collect()
     with pytest.raises(Exception, match="t: no row for"):
         joins.lookup(left, right.where("k = 1"), ["k"], "t").select("x").collect()
+    with pytest.raises(Exception, match="t: no row for"):  # a later filter on what the join adds doesn't lose the check
+        joins.lookup(left, right.where("k = 1"), ["k"], "t").where("y is not null").collect()
+    with pytest.raises(Exception, match="t: key on one side only"):
+        joins.strict_join(left, right.where("k = 1"), ["k"], "t").where("y > 0 and x is not null").collect()
     assert joins.lookup(left.union(left), right, ["k"], "t").count() == 4
     lists = spark.createDataFrame([([1, 2], ["a", "b"])], "a array<long>, b array<string>")
     assert [tuple(z) for z in lists.select(joins.strict_zip("t", a="a", b="b").alias("z")).first().z] == [(1, "a"), (2, "b")]

@@ -53,10 +53,11 @@ def test_lines_and_csv(spark, tmp_path):
 
 def test_sink_never_overwrites(spark, tmp_path):
     out = str(tmp_path / "sink")
-    df = spark.createDataFrame([("q", "a"), ("r", None)], "query string, answer string")
+    df = spark.createDataFrame([("q", [("user", "a")]), ("r", None)], "query string, messages array<struct<role:string,content:string>>")
     io.write_conversations(df, out)
-    io.write_conversations(df.withColumn("answer", F.lit("other")), out)
-    assert [r.answer for r in spark.read.json(out).collect()] == ["a"]
+    io.write_conversations(df.withColumn("messages", F.array()), out)
+    back = spark.read.json(out)
+    assert back.columns == ["messages"] and [r.messages[0].content for r in back.collect()] == ["a"]
 
 
 def test_cache(spark, tmp_path):
