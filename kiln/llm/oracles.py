@@ -4,6 +4,66 @@ from __future__ import annotations
 
 from kiln.llm.url_filter import Rule
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+OP4 = f"""
+WITH d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM documents),
+items AS (SELECT item_id, words, least(10, len(words)) AS n FROM (
+  SELECT item_id, regexp_extract_all({_LOW}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS words FROM benchmark) WHERE len(words) > 0),
+iw AS (SELECT DISTINCT item_id, n, array_to_string(words[k:k + n - 1], ' ') AS s FROM (SELECT *, unnest(range(1, len(words) - n + 2)) AS k FROM items)),
+dw AS (SELECT doc_id, n, k, array_to_string(words[k:k + n - 1], ' ') AS s
+       FROM (SELECT doc_id, words, n, unnest(range(1, len(words) - n + 2)) AS k FROM d, (SELECT DISTINCT n FROM items) WHERE len(words) >= n)),
+hit AS MATERIALIZED (SELECT doc_id, item_id, n, k FROM dw JOIN iw USING (n, s)),
+cov AS (SELECT doc_id, count(*) AS n_hit FROM (SELECT DISTINCT doc_id, unnest(range(k, k + n)) AS j FROM hit) GROUP BY 1),
+got AS (SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i) AS ids FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hit) GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN cov USING (doc_id) LEFT JOIN got USING (doc_id)
+"""
+
+OP5 = f"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all({_LOW}, '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+sh AS MATERIALIZED (
+  SELECT DISTINCT doc_id, s FROM (
+    SELECT doc_id, array_to_string(words[k:k + 2], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 1)) AS k FROM d WHERE len(words) >= 3)
+    UNION ALL SELECT doc_id, array_to_string(words, ' ') FROM d WHERE len(words) IN (1, 2))),
+n AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY 1),
+c AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS MATERIALIZED (SELECT u, v FROM c JOIN n a ON a.doc_id = u JOIN n b ON b.doc_id = v WHERE 100 * c >= 90 * (a.n + b.n - c)),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON r.v = b.u)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, coalesce(least_v, doc_id))::BIGINT AS component_id
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN (SELECT u AS doc_id, min(v) AS least_v FROM reach GROUP BY 1) r USING (doc_id)
+"""
+
+OP6 = """
+WITH RECURSIVE e AS (
+  SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS x FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+    AND len(list_filter(embedding, lambda c: c <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS u, b.vec_id AS v FROM e a JOIN e b ON a.label = b.label AND a.vec_id < b.vec_id AND len(a.x) = len(b.x)
+  WHERE list_dot_product(a.x, b.x) / sqrt(list_dot_product(a.x, a.x) * list_dot_product(b.x, b.x)) >= 0.98),
+both_ways AS (SELECT u, v FROM links UNION ALL SELECT v, u FROM links),
+reach AS (SELECT u, v FROM both_ways UNION SELECT r.u, b.v FROM reach r JOIN both_ways b ON r.v = b.u),
+r AS (SELECT u AS vec_id, min(v) AS least_v FROM reach GROUP BY 1),
+n AS (SELECT u AS vec_id, count(*) AS n FROM both_ways GROUP BY 1)
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least_v, vec_id))::BIGINT AS component_id, coalesce(least_v, vec_id) >= vec_id AS kept
+FROM embeddings LEFT JOIN r USING (vec_id) LEFT JOIN n USING (vec_id)
+"""
+
+OP8 = """
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents),
+win AS (SELECT doc_id, k, array_to_string(words[k:k + 19], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS k FROM d WHERE len(words) >= 20)),
+dup AS (SELECT doc_id, k FROM win QUALIFY row_number() OVER (PARTITION BY s ORDER BY doc_id, k) > 1),
+cov AS (SELECT DISTINCT doc_id, unnest(range(k, k + 20)) AS j FROM dup),
+word AS (SELECT doc_id, unnest(words) AS w, unnest(range(1, len(words) + 1)) AS j FROM d),
+kept AS (SELECT word.doc_id, count(cov.j) AS n_removed, string_agg(w, ' ' ORDER BY word.j) FILTER (WHERE cov.j IS NULL) AS text
+         FROM word LEFT JOIN cov ON word.doc_id = cov.doc_id AND word.j = cov.j GROUP BY 1)
+SELECT doc_id, len(words)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n_removed, sha256(coalesce(kept.text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (doc_id)
+"""
+
 # Two rounds of assignment and floored means, by rounds of common table expressions. Vectors are cut into 16 parts of four.
 _ASSIGN = """
 a{r} AS MATERIALIZED (

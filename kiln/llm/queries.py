@@ -143,4 +143,11 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: DuckDB text of the queries that SQL expresses.
-SQL: dict[str, str] = {"op12_vector_codes": oracles.OP12, "op13_url_filter": oracles.op13(URL_RULES)}
+SQL: dict[str, str] = {
+    "op4_benchmark_decontamination": oracles.OP4,
+    "op5_parity_jaccard_join": oracles.OP5,
+    "op6_grid_order_embedding_join": oracles.OP6,
+    "op8_substring_dedup": oracles.OP8,
+    "op12_vector_codes": oracles.OP12,
+    "op13_url_filter": oracles.op13(URL_RULES),
+}
