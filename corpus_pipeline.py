@@ -1,7 +1,8 @@
 """The corpus pipeline: five stages over `documents`, in this order.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which the caller writes as Parquet and rereads
-as the next one's ``docs``. All but the last return the columns of `documents`; each works on every row that its
+as the next one's ``docs``. Columns beyond doc_id and text pass through, whatever their names; rows repeated as a whole are near duplicates of each other; empty tables
+give empty results. All but the last return the columns of `documents`; each works on every row that its
 predecessor kept. Rows with null text are empty documents to every stage.
 """
 
@@ -13,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kiln.llm import bpe, decontam, parity_join, quality, substring
-from kiln.llm.common import prepare
+from kiln.llm.common import free_name, prepare
 from kiln.llm.queries import BPE_FILE, QUALITY_THRESHOLD, table, training_labels, vocabulary
 from kiln.session import ensure_checkpoint_dir
 
@@ -22,7 +23,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     """Documents that the quality classifier accepts (score from the threshold on)."""
     prepare(spark)
     model = quality.train(docs, training_labels(spark, sf_dir))
-    return quality.classify(docs, model, QUALITY_THRESHOLD).where("predicted = 1").select(docs.columns)
+    return docs.where(quality.score(model) >= QUALITY_THRESHOLD)
 
 
 def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -37,20 +38,23 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the 20-word windows that occur at an earlier place; texts left without words go."""
     prepare(spark)
-    cut = substring.dedup(docs, out="_cut")
-    emptied = (F.col("_cut.n_removed") > 0) & (F.col("_cut.n_removed") == F.col("_cut.n_words"))
-    kept = F.when(F.col("_cut.n_removed") > 0, F.col("_cut.kept")).otherwise(F.col("text"))
+    out = free_name(docs, "cut")
+    cut = substring.dedup(docs, out=out)
+    removed = F.col(out)["n_removed"]
+    emptied = (removed > 0) & (removed == F.col(out)["n_words"])
+    kept = F.when(removed > 0, F.col(out)["kept"]).otherwise(F.col("text"))
     cut = cut.where(~emptied).withColumn("text", kept)
     if "n_chars" in docs.columns:
-        size = F.when(F.col("_cut.n_removed") > 0, F.length("text")).otherwise(F.col("n_chars"))
+        size = F.when(removed > 0, F.length("text")).otherwise(F.col("n_chars"))
         cut = cut.withColumn("n_chars", size.cast(docs.schema["n_chars"].dataType))
     return cut.select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no window of a benchmark item."""
-    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out="_hit")
-    return found.where(F.size("_hit.spans") == 0).select(docs.columns)
+    out = free_name(docs, "hit")
+    found = decontam.decontaminate(docs, table(spark, sf_dir, "benchmark"), out=out)
+    return found.where(F.size(F.col(out)["spans"]) == 0).select(docs.columns)
 
 
 def encode_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -7,6 +7,7 @@ slice by itself). Null texts count as empty.
 
 from __future__ import annotations
 
+import ctypes
 import uuid
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -152,6 +153,44 @@ def owner(first: np.ndarray) -> np.ndarray:
     return np.repeat(np.arange(len(first) - 1), np.diff(first))
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, or with underscores before it a name that no column of ``df`` has."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def result_name(df: DataFrame, name: str) -> str:
+    """The name of a column to be added; one that ``df`` has already is an error, never overwritten."""
+    if free_name(df, name) != name:
+        raise ValueError(f"the table has a column {name}: choose another name for the result")
+    return name
+
+
+try:
+    _trim = ctypes.CDLL(None).malloc_trim
+except AttributeError:  # not a GNU system
+    _trim = None
+
+
+def give_back() -> None:
+    """Memory that a finished task has freed goes back to the system: a worker serves many tasks."""
+    pa.default_memory_pool().release_unused()
+    if _trim is not None:
+        _trim(0)
+
+
+def trimmed(run):
+    """A function over the batches of a task that gives memory back at its end."""
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 def row_key(text: str = "text", doc_id: str = "doc_id") -> Column:
     """Key of a row by its content: rows repeated as a whole share it and count as one document."""
     return F.xxhash64(F.col(doc_id), F.col(text))

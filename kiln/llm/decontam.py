@@ -24,6 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.common import result_name
+
 WIDTH = 10
 BLOCK_BYTES = 32 << 20
 
@@ -139,15 +141,16 @@ def decontaminate(
     block_bytes: int = BLOCK_BYTES,
     out: str = "hit",
 ) -> DataFrame:
-    """``docs`` with a struct ``out``: n_words, spans (word ranges), byte_spans (of the original) and items."""
-    found = docs
+    """``docs`` with a struct ``out`` (not a name of theirs): n_words, spans (word ranges), byte_spans (of the original) and items."""
+    found = docs.select(F.struct(*docs.columns).alias("row"), F.col(text).alias("text"))
+    out = result_name(docs, out)
     parts = []
     for k, patterns in enumerate(_blocks(benchmark, item_id, item_text, width, block_bytes)):
         sent = docs.sparkSession.sparkContext.broadcast(patterns)
-        found = found.withColumn(f"_hit{k}", _scan(sent, uuid.uuid4().hex)(F.col(text)))
-        parts.append(f"_hit{k}")
+        found = found.withColumn(f"hit{k}", _scan(sent, uuid.uuid4().hex)(F.col("text")))
+        parts.append(f"hit{k}")
     if len(parts) == 1:
-        return found.withColumnRenamed(parts[0], out)
+        return found.select("row.*", F.col(parts[0]).alias(out))
     join = lambda f: F.flatten(F.array(*[F.col(p)[f] for p in parts]))
     whole = F.struct(
         F.col(parts[0])["n_words"].alias("n_words"),
@@ -155,7 +158,7 @@ def decontaminate(
         merge_spans(join("byte_spans"), "long").alias("byte_spans"),
         F.array_sort(F.array_distinct(join("items"))).alias("items"),
     )
-    return found.withColumn(out, whole).drop(*parts)
+    return found.select("row.*", whole.alias(out))
 
 
 def merge_spans(spans, kind: str):

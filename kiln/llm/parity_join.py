@@ -46,7 +46,9 @@ from kiln.llm.common import (
     mix64,
     owner,
     row_key,
+    give_back,
     runs_of,
+    trimmed,
     split_words,
     stored,
     text_slices,
@@ -183,7 +185,7 @@ def _meet(width: int, num: int, den: int):
 def meetings(docs: DataFrame, width: int, num: int, den: int) -> DataFrame:
     """Rows (key, p, a): set a meets set p, the smallest of its slice or of all slices, on a key."""
     run, kind = _meet(width, num, den)
-    rows = docs.select("text").mapInArrow(run, kind)
+    rows = docs.select("text").mapInArrow(trimmed(run), kind)
     pivot = F.min(F.when(F.col("b").isNull(), F.col("a"))).over(Window.partitionBy("route"))
     met = rows.withColumn("p", F.coalesce("b", pivot)).withColumn("key", F.coalesce("key", "route"))
     return met.where("p != a").select("key", "p", "a")
@@ -301,7 +303,7 @@ def families(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int)
     load = members.groupBy("group").agg(F.count("*").alias("rows"), F.min("family").alias("x"), F.max("family").alias("y"))
     load = load.where("x != y").select("group", F.ceil(F.col("rows") / CELL_ROWS).cast("int").alias("pieces"))
     run, kind = _near_pairs(num, den)
-    more = in_cells(members.join(sets, "node"), load).mapInArrow(run, kind)
+    more = in_cells(members.join(sets, "node"), load).mapInArrow(trimmed(run), kind)
     return components(near.union(more)).withColumnRenamed("component", "family")
 
 
@@ -379,6 +381,7 @@ def signatures(docs: DataFrame, width: int, text: str = "text") -> DataFrame:
             ids.append(set_ids(value, first))
             n.append(np.diff(first))
             sketch += [sketch_of(value[a:b]) for a, b in zip(first[:-1], first[1:], strict=True)]
+        give_back()
         columns = [as_signed(np.concatenate(ids)), pa.array(np.concatenate(n).astype(np.int32)), pa.array(sketch, pa.binary())]
         return pa.StructArray.from_arrays(columns, ["node", "n", "sketch"])
 
@@ -396,9 +399,9 @@ def links(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) ->
     pieces = F.greatest(F.ceil(F.col("total") / CELL_SHINGLES), F.ceil(F.col("rows") / CELL_ROWS)).cast("int")
     run, kind = _sets(width)
     # rows that repeat as a whole share a key and bring a set twice, which links nothing more
-    sets = docs.join(nodes.select("key", "node", "group"), "key").select("group", "node", "text").mapInArrow(run, kind)
+    sets = docs.join(nodes.select("key", "node", "group"), "key").select("group", "node", "text").mapInArrow(trimmed(run), kind)
     run, kind = _cells(num, den)
-    return in_cells(sets, load.select("group", pieces.alias("pieces"))).mapInArrow(run, kind)
+    return in_cells(sets, load.select("group", pieces.alias("pieces"))).mapInArrow(trimmed(run), kind)
 
 
 def classes(docs: DataFrame, width: int, num: int, den: int, text: str = "text") -> DataFrame:
@@ -430,8 +433,8 @@ def keep_first(docs: DataFrame, width: int, num: int, den: int, text: str = "tex
     # of rows with one key (repeated as a whole) at most one stays
     lost = lost.groupBy("key").agg(F.max("stays").alias("stays"), F.count("*").alias("times"))
     lost = lost.where("not stays or times > 1")
-    rows = docs.withColumn("_key", F.xxhash64(F.col("doc_id").cast("long"), F.col(text)))
-    joined = rows.join(lost.select(F.col("key").alias("_key"), F.col("stays").alias("_stays")), "_key", "left")
-    once = joined.where("_stays is null")
-    twice = joined.where("_stays").dropDuplicates(["_key"])
-    return once.unionByName(twice).select(docs.columns)
+    rows = docs.select(F.struct(*docs.columns).alias("row"), F.xxhash64(F.col("doc_id").cast("long"), F.col(text)).alias("key"))
+    joined = rows.join(lost.select("key", "stays"), "key", "left")
+    once = joined.where("stays is null")
+    twice = joined.where("stays").dropDuplicates(["key"])
+    return once.unionByName(twice).select("row.*")

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from kiln.llm.common import LOWER, Slice, as_signed, mix64, split_words, stored, text_slices, word_hashes
+from kiln.llm.common import LOWER, Slice, as_signed, free_name, mix64, result_name, split_words, stored, text_slices, word_hashes
 
 CLASSES, FREQUENT, ENDINGS = 64, 32, 32
 BUCKETS = 1 << 18
@@ -254,7 +254,7 @@ def kept_model(name: str, sent) -> tuple[Corpus, Network]:
     return _models[name]
 
 
-def _chunks(text: str):
+def _chunks(text: str, name: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Numbers runs of rows of about ``CHUNK`` bytes of text."""
         chunk, size = uuid.uuid4().int >> 65, 0
@@ -266,7 +266,7 @@ def _chunks(text: str):
                 of[s.first : s.first + s.rows] = chunk
                 # a row counts too, so that many rows without text are cut as well
                 size += len(s.buf) + 64 * s.rows
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(of)], names=[*b.schema.names, "_chunk"])
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(of)], names=[*b.schema.names, name])
 
     return run
 
@@ -305,16 +305,17 @@ KIND = "n_words long, log_prob double, mean_log_prob double"
 
 
 def score(docs: DataFrame, corpus: Corpus, net: Network, text: str = "text", out: str = "lm", words: DataFrame | None = None) -> DataFrame:
-    """``docs`` with a struct ``out``: n_words, log_prob (summed) and mean_log_prob (a word; null without any).
+    """``docs`` with a struct ``out`` (not a name of theirs): n_words, log_prob (summed) and mean_log_prob (a word; null without any).
 
     ``words`` is the table of ``word_counts``: with it P(word | class) comes from exact counts (a word that the
     corpus hasn't counts as met once), without it from the sums of the hash buckets."""
     sent, name = docs.sparkSession.sparkContext.broadcast((corpus, net)), uuid.uuid4().hex
+    out, own = result_name(docs, out), free_name(docs, "_chunk")
     if words is None:
         return docs.withColumn(out, F.arrow_udf(lambda texts: _score_table(texts, kept_model(name, sent)), KIND)(F.col(text)))
-    kind = T.StructType([*docs.schema.fields, T.StructField("_chunk", T.LongType())])
-    placed = stored(docs.mapInArrow(_chunks(text), kind))
-    listed = placed.select("_chunk", F.col(text).alias("text")).mapInArrow(_chunk_words, "_chunk long, word long")
+    kind = T.StructType([*docs.schema.fields, T.StructField(own, T.LongType())])
+    placed = stored(docs.mapInArrow(_chunks(text, own), kind))
+    listed = placed.select(F.col(own).alias("_chunk"), F.col(text).alias("text")).mapInArrow(_chunk_words, "_chunk long, word long")
     # written as a table, so that the join's shuffles don't stay on disk beside those of the texts
     listed = stored(listed.join(words, "word", "left").select("_chunk", "word", F.coalesce("n", F.lit(1)).alias("n")))
 
@@ -323,7 +324,7 @@ def score(docs: DataFrame, corpus: Corpus, net: Network, text: str = "text", out
         order = np.argsort(word)
         texts = right.column(text).combine_chunks()
         lm = _score_table(texts, kept_model(name, sent), (word[order], np.log(left.column("n").to_numpy()[order])))
-        return right.drop_columns("_chunk").append_column(out, lm)
+        return right.drop_columns(own).append_column(out, lm)
 
     kind = T.StructType([*docs.schema.fields, T.StructField(out, T.StructType.fromDDL(KIND))])
-    return listed.groupBy("_chunk").cogroup(placed.groupBy("_chunk")).applyInArrow(run, kind)
+    return listed.groupBy("_chunk").cogroup(placed.groupBy(own)).applyInArrow(run, kind)

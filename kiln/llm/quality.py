@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import WORD_BASE, Slice, mix64, owner, split_words, text_slices, window_hash, word_hashes
+from kiln.llm.common import WORD_BASE, Slice, mix64, owner, result_name, split_words, text_slices, window_hash, word_hashes
 
 BUCKETS = 1 << 17
 MAX_DOCS = 5000
@@ -184,8 +184,7 @@ def score(model: Model, text: str = "text") -> Column:
     return F.arrow_udf(run, "double")(F.col(text))
 
 
-def classify(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text") -> DataFrame:
-    """``docs`` with score (0 to 1) and predicted (1 from ``threshold`` on)."""
-    return docs.withColumn("score", score(model, text)).withColumn(
-        "predicted", (F.col("score") >= threshold).cast("int")
-    )
+def classify(docs: DataFrame, model: Model, threshold: float = 0.7, text: str = "text", out: str = "quality") -> DataFrame:
+    """``docs`` with a struct ``out`` (not a name of theirs): score (0 to 1) and predicted (1 from ``threshold`` on)."""
+    scored = docs.withColumn(result_name(docs, out), score(model, text))
+    return scored.withColumn(out, F.struct(F.col(out).alias("score"), (F.col(out) >= threshold).cast("int").alias("predicted")))

@@ -36,7 +36,7 @@ def op1_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = quality.train(docs, training_labels(spark, sf_dir))
     scored = quality.classify(docs.select("doc_id", "text"), model, QUALITY_THRESHOLD)
-    return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
+    return scored.select("doc_id", held_out().alias("held_out"), "quality.score", "quality.predicted")
 
 
 def op2_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:

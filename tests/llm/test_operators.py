@@ -8,6 +8,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity
@@ -294,12 +295,12 @@ def labelled_table(spark, n=240):
 def test_quality_learns_and_keeps_rows(spark):
     docs, labels = labelled_table(prepare(spark))
     model = quality.train(docs, labels.where("doc_id % 3 != 0 or doc_id is null"))
-    got = quality.classify(docs, model).collect()
+    got = quality.classify(docs, model).select("*", "quality.score", "quality.predicted").collect()
     assert len(got) == 244 and all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.7) for r in got)
     held = [r for r in got if r.doc_id is not None and r.doc_id < 240 and r.doc_id % 3 == 0]
     assert sum(r.predicted == int(r.doc_id % 4 != 0) for r in held) >= 0.95 * len(held)
     flat = quality.train(docs, labels.limit(0))
-    assert {round(r.score, 6) for r in quality.classify(docs, flat).collect()} == {0.5}
+    assert {round(r.score, 6) for r in quality.classify(docs, flat).select("quality.score").collect()} == {0.5}
 
 
 def test_labelled_rows_are_bounded(spark):
@@ -435,3 +436,32 @@ def test_embedding_nulls_do_not_collide(spark):
     df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: (r.n_links, r.component_id, r.kept) for r in ego_join.near_duplicates(df, cosine=0.98).collect()}
     assert got == {1: (0, 1, True), 2: (1, 2, True), 3: (0, 3, True), 4: (1, 2, False), 5: (0, 5, True), 6: (0, 6, True), 7: (0, 7, True)}
+
+
+CLASHING = ["score", "predicted", "quality", "_hit0", "hit0", "row", "_stays", "_key", "stays", "_chunk", "word", "cut", "_cut", "hit", "_hit", "node", "class"]
+
+
+def clashing(spark):
+    """Documents whose further columns have the operators' own names."""
+    docs = spark.createDataFrame([(i, prose(i % 7, 60) + (" extra" if i > 6 else "")) for i in range(14)], "doc_id long, text string")
+    return docs.select("*", *[F.concat(F.lit(c), F.col("doc_id").cast("string")).alias(c) for c in CLASHING])
+
+
+def test_clashing_columns_are_kept(spark):
+    docs = clashing(prepare(spark)).repartition(3)
+    want = {r.doc_id: tuple(r) for r in docs.collect()}
+    same = lambda rows: all(tuple(r)[: len(docs.columns)] == want[r.doc_id] for r in rows)
+    labels = spark.createDataFrame([(i, i % 2) for i in range(14)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    got = quality.classify(docs, model, out="verdict").collect()
+    assert len(got) == 14 and same(got) and all(r.verdict.predicted in (0, 1) for r in got)
+    bench = spark.createDataFrame([(1, prose(1, 60))], "item_id long, text string")
+    got = decontam.decontaminate(docs, bench, out="found", block_bytes=64).collect()
+    assert same(got) and {r.doc_id for r in got if r.found.spans} == {1, 8}
+    kept = parity_join.keep_first(docs, 3, 80, 100)
+    assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == list(range(7)) and same(kept.collect())
+    got = pseudo_lm.score(docs, *pseudo_lm.train(docs), out="lm", words=pseudo_lm.word_counts(docs)).collect()
+    assert len(got) == 14 and same(got)
+    for bad in (lambda: quality.classify(docs, model), lambda: decontam.decontaminate(docs, bench)):
+        with pytest.raises(ValueError, match="another name"):  # never overwritten
+            bad()

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import hashlib
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 import __spark_entry__ as E
 from kiln.llm import decontam
@@ -52,6 +54,23 @@ def test_stages(spark):
 
 
 def test_registered(spark):
-    assert "pipeline" in E.queries() and sum(q.startswith("op") and q[2].isdigit() for q in E.queries()) == 10
+    assert "pipeline" in E.queries() and sum(q.startswith("op") and q[2].isdigit() for q in E.queries()) == 13
     got = E.queries()["pipeline"](spark, SF_SMALL)
     assert got.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"] and got.count() > 0
+
+
+def test_awkward_tables(spark):
+    """Nulls, empty texts, rows repeated as a whole, columns with the stages' own names; then empty tables."""
+    real = spark.read.parquet(f"{SF_SMALL}/documents.parquet").limit(30)
+    odd = spark.createDataFrame([(None, None), (9001, ""), (9001, ""), (9002, None), (None, " \n")], "doc_id long, text string")
+    docs = real.select("doc_id", "text").unionByName(odd).unionByName(real.select("doc_id", "text"))
+    docs = docs.select("*", *[F.concat(F.lit(c), F.coalesce(F.col("doc_id"), F.lit(-1))).alias(c) for c in ("score", "predicted", "_cut", "_hit", "stays", "key", "hit0")])
+    want = {r.doc_id: tuple(r)[2:] for r in docs.collect()}
+    for name, stage in P.STAGES:
+        out = stored(stage(spark, docs, SF_SMALL))
+        if name != "tokens":
+            assert out.dtypes == docs.dtypes
+            assert all(tuple(r)[2:] == want[r.doc_id] for r in out.collect())
+            assert stage(spark, docs.limit(0), SF_SMALL).count() == 0
+        docs = out
+    assert docs.columns == ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
