@@ -211,8 +211,11 @@ def _run_groups(spark, sf_dir, rules: dict[str, groups.BatchRule], sampler):
 def _sampler(batch: int):
     """The step a group was sampled at: about the lane's step, up to 7 steps older."""
     lag = F.regexp_extract("props", "[0-9]+", 0).cast("long") % 8
-    sql = f"CAST(floor(event_id * 6 / {40 * batch}) AS BIGINT) - regexp_extract(props, '[0-9]+')::BIGINT % 8"
-    return F.floor(F.col("event_id") * 6 / (40 * batch)) - lag, sql
+    return F.floor(F.col("event_id") * 6 / (40 * batch)) - lag
+
+
+def _sampler_sql(batch: int) -> str:
+    return f"CAST(floor(event_id * 6 / {40 * batch}) AS BIGINT) - regexp_extract(props, '[0-9]+')::BIGINT % 8"
 
 
 BATCH_RULES = {"batch": groups.BatchRule(4, max_steps_off_policy=5, gap_seconds=7200)}
@@ -222,13 +225,13 @@ MINIBATCH_RULES = {
 }
 
 
-@query("stream_group_batches", "K2 K3", " UNION ALL ".join(_group_sql(n, r, _sampler(4)[1]) for n, r in BATCH_RULES.items()))
+@query("stream_group_batches", "K2 K3", " UNION ALL ".join(_group_sql(n, r, _sampler_sql(4)) for n, r in BATCH_RULES.items()))
 def stream_group_batches(spark, sf_dir):
     """K2: batches of exactly 4 usable groups a lane from a stream in three runs; stale groups requeued, idle buffers expire."""
-    return _run_groups(spark, sf_dir, BATCH_RULES, _sampler(4)[0])
+    return _run_groups(spark, sf_dir, BATCH_RULES, _sampler(4))
 
 
-@query("stream_minibatches", "K4 D24", " UNION ALL ".join(_group_sql(n, r, _sampler(8)[1]) for n, r in MINIBATCH_RULES.items()))
+@query("stream_minibatches", "K4 D24", " UNION ALL ".join(_group_sql(n, r, _sampler_sql(8)) for n, r in MINIBATCH_RULES.items()))
 def stream_minibatches(spark, sf_dir):
     """K4: minibatches of 2 groups (8 a step, 2 substeps of 2), place-holders counted and removed, or skipped with stale groups."""
-    return _run_groups(spark, sf_dir, MINIBATCH_RULES, _sampler(8)[0])
+    return _run_groups(spark, sf_dir, MINIBATCH_RULES, _sampler(8))
