@@ -48,10 +48,11 @@ from kiln.llm.common import (
     row_key,
     give_back,
     runs_of,
-    trimmed,
+    sifted,
     split_words,
     stored,
     text_slices,
+    trimmed,
     window_hash,
     word_hashes,
 )
@@ -399,6 +400,7 @@ def links(docs: DataFrame, sizes: DataFrame, width: int, num: int, den: int) ->
     pieces = F.greatest(F.ceil(F.col("total") / CELL_SHINGLES), F.ceil(F.col("rows") / CELL_ROWS)).cast("int")
     run, kind = _sets(width)
     # rows that repeat as a whole share a key and bring a set twice, which links nothing more
+    docs = sifted(docs, nodes, "key")
     sets = docs.join(nodes.select("key", "node", "group"), "key").select("group", "node", "text").mapInArrow(trimmed(run), kind)
     run, kind = _cells(num, den)
     return in_cells(sets, load.select("group", pieces.alias("pieces"))).mapInArrow(trimmed(run), kind)

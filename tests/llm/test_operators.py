@@ -11,8 +11,8 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from kiln.llm import bpe, decontam, ego_join, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity
-from kiln.llm.common import components, prepare
+from kiln.llm import bpe, common, decontam, ego_join, parity_join, pseudo_lm, quality, substring, suffix_index, token_counts, toxicity
+from kiln.llm.common import components, prepare, sifted
 from kiln.llm.queries import BPE_FILE, COUNT_FILE, vocabulary
 from tests.llm.helpers import SCHEMA, WORD, documents, find, frame, prose
 
@@ -417,6 +417,23 @@ def test_network_beats_word_counts(spark):
     assert pseudo_lm.score_slice(s, corpus, net)[1][0] > alone + 5
 
 
+def test_sifted_keeps_every_key(spark, monkeypatch):
+    rows = spark.range(20_000).selectExpr("xxhash64(id) AS key", "id AS cell", "'x' AS bits").unionByName(
+        spark.sql("SELECT cast(null AS bigint) AS key, 0L AS cell, 'x' AS bits")
+    )
+    keys = spark.range(0, 20_000, 100).selectExpr("xxhash64(id) AS key").union(spark.range(3).selectExpr("xxhash64(id)"))
+    wanted = {r.key for r in keys.collect()}
+    for limit, most in ((common.FILTER_BITS, 1_500), (1 << 15, 1_500)):
+        monkeypatch.setattr(common, "FILTER_BITS", limit)
+        got = sifted(rows, keys, "key")
+        assert got.columns == rows.columns
+        found = [r.key for r in got.collect()]
+        assert wanted <= set(found) and len(found) == len(set(found)) <= most
+    full = sifted(rows, rows.where("key is not null"), "key")  # more keys than the filter has bits for
+    assert full.count() == 20_000
+    assert sifted(rows, keys.limit(0), "key").count() == sifted(rows.limit(0), keys, "key").count() == 0
+
+
 def test_components(spark):
     rng = np.random.default_rng(1)
     edges = [(int(a), int(b)) for a, b in rng.integers(0, 200, (150, 2))] + [(i, i + 1) for i in range(300, 340)] + [(5, 5), (None, 3)]
