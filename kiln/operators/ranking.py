@@ -15,6 +15,8 @@ cluster:
 * ``top_k_per_group`` keeps the k first rows of every group in two rounds
   (salted partial top-k, then a final top-k over at most k·salts candidates),
   so one hot group never sorts in a single task.
+* ``group_places`` gives every row its place in its group and the group's size: slices of
+  (group, order) are ranked by themselves, so a hot group spreads over many of them.
 """
 
 from __future__ import annotations
@@ -95,6 +97,27 @@ def range_rank(df: DataFrame, order: Sequence[str | Column], rank_col: str = "gl
     )
 
 
+def group_places(df: DataFrame, group: str, order: Sequence[str], pos_col: str = "_pos", n_col: str = "_n") -> DataFrame:
+    """0-based place of each row in its ``group`` by unique ``order`` columns, and the group's size.
+
+    What meets in one task of a group is one row a slice; null groups are one group.
+    """
+    cut = range_slices(df, [group, *order], "_slice")
+    counts = cut.groupBy(group, "_slice").agg(F.count(F.lit(1)).alias("_rows"))
+    whole = Window.partitionBy(group)
+    earlier = F.sum("_rows").over(whole.orderBy("_slice").rowsBetween(Window.unboundedPreceding, -1))
+    starts = counts.select(
+        F.col(group).alias("_group"),
+        F.col("_slice").alias("_of"),
+        F.coalesce(earlier, F.lit(0)).alias("_before"),
+        F.sum("_rows").over(whole).alias(n_col),
+    )
+    local = F.row_number().over(Window.partitionBy(group, "_slice").orderBy(*order))
+    placed = cut.withColumn("_local", local).join(starts, F.col(group).eqNullSafe(F.col("_group")) & (F.col("_slice") == F.col("_of")))
+    place = (F.col("_before") + F.col("_local") - 1).cast("long")
+    return placed.withColumn(pos_col, place).drop("_slice", "_group", "_of", "_before", "_local")
+
+
 def top_k_per_group(
     df: DataFrame,
     group: Sequence[str],

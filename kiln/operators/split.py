@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from kiln.operators.ranking import md5_key, md5_unit, top_k_per_group
+from kiln.operators.ranking import group_places, md5_key, md5_unit, top_k_per_group
 
 
 #: Hex digits of the shuffle key that make a bucket, and of those the ones that make a range of buckets.
@@ -219,9 +219,7 @@ def representatives(df: DataFrame, group: str, score: str, id_col: str, k: int)
 
     Positions are ``floor(linspace(0, n-1, k))``; groups of at most k rows are kept whole.
     """
-    w = Window.partitionBy(group).orderBy(F.col(score), F.col(id_col))
-    n = F.count(F.lit(1)).over(Window.partitionBy(group))
-    staged = df.withColumn("_pos", (F.row_number().over(w) - 1).cast("long")).withColumn("_n", n)
+    staged = group_places(df, group, [score, id_col])
     step = (F.col("_n") - 1).cast("double") / F.lit(max(k - 1, 1))
     targets = F.transform(
         F.sequence(F.lit(0), F.lit(k - 1)),

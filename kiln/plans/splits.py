@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kiln.operators import split
+from kiln.operators.ranking import group_places
 from kiln.plans.registry import query
 from kiln.sources.tables import table
 
@@ -222,10 +222,7 @@ FROM o
 def even_split_orders(spark, sf_dir):
     """Each customer's orders cut into min(3, n) near-equal chunks (linspace edges)."""
     o = table(spark, sf_dir, "orders").select("o_custkey", "o_orderkey")
-    w = Window.partitionBy("o_custkey").orderBy("o_orderkey")
-    o = o.withColumn("i", (F.row_number().over(w) - 1).cast("long")).withColumn(
-        "n", F.count(F.lit(1)).over(Window.partitionBy("o_custkey"))
-    )
+    o = group_places(o, "o_custkey", ["o_orderkey"], "i", "n")
     return o.select("o_custkey", "o_orderkey", split.even_chunk(F.col("i"), F.col("n"), F.least(F.lit(3), F.col("n"))).alias("chunk"))
 
 
