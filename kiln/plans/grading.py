@@ -54,7 +54,8 @@ def grade_responses(spark, sf_dir):
     """Responses ⋈ problems: boxed answer (G1) vs GSM8K reference (G2), grade (G11), reward."""
     pr = _problems(spark, sf_dir)
     rs = _responses(pr)
-    j = rs.join(pr.select("problem_id", "answer"), "problem_id")
+    # answers are texts and as many as the responses' problems: never broadcast, however small the file looks
+    j = rs.join(pr.select("problem_id", "answer").hint("merge"), "problem_id")
     j = j.withColumn("given", math_grade.extract_boxed(F.col("response"))).withColumn("truth", graders.gsm8k_answer(F.col("answer")))
     j = j.withColumn("correct", math_grade.grade_answer(F.col("given"), F.col("truth")))
     return j.select("problem_id", "sample_idx", "given", "truth", "correct",

@@ -276,3 +276,12 @@ def test_stream_batches_span_micro_batches(spark, tmp_path):
     assert sizes == {0: 64, 1: 64, 2: 64, 3: 64}
     allpos = sorted(r.position for r in spark.read.parquet(f"{out}/rows").collect())
     assert allpos == list(range(1, 301))
+
+
+def test_graded_answers_are_not_broadcast(spark):
+    """Answers are texts, one a problem: a join by key, however small the table's file is."""
+    import __spark_entry__ as entry
+    from tests.conftest import SF_SMALL
+
+    plan = entry.queries()["grade_responses"](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
