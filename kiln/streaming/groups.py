@@ -19,9 +19,10 @@ by Spark before it reaches the buffer, so the delay has to cover the disorder of
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -30,6 +31,9 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 STATE = "ids array<long>, usable array<boolean>, minibatches long, last_us long"
 ROWS = "rule string, lane long, status string, step long, substep int, minibatch int, position int, group_id long"
 _NAMES = [c.split()[0] for c in ROWS.split(", ")]
+_READ = ("group_id", "arrival_us", "usable", "sampler_step")
+#: Rows of a lane that are Python objects at one time.
+BLOCK_ROWS = 20_000
 
 
 @dataclass(frozen=True)
@@ -91,6 +95,26 @@ class _Lane:
             self._emit("train", self._take())
             self.done += 1
 
+    def taken(self) -> pd.DataFrame:
+        rows, self.out = self.out, []
+        return pd.DataFrame(rows, columns=_NAMES)
+
+    def pass_rows(self, pdfs: Iterable[pd.DataFrame], block: int = BLOCK_ROWS) -> Iterator[pd.DataFrame]:
+        """The rows of a micro-batch in order, with what leaves on the way.
+
+        A lane may hold millions of rows: they are kept as four arrays of numbers (some 60 bytes a row with the sorted
+        order), become Python objects a block at a time, and what leaves is handed on after each block."""
+        parts = [[f[c].to_numpy() for c in _READ] for f in pdfs]
+        group, us, usable, sampler = (np.concatenate(c) for c in zip(*parts, strict=True))
+        del parts
+        order = np.lexsort((group, us))
+        for at in range(0, len(order), block):
+            some = order[at : at + block]
+            for row in zip(*(c[some].tolist() for c in (group, us, usable, sampler)), strict=True):
+                self.add(*row)
+            if len(self.out) >= block:
+                yield self.taken()
+
 
 def batch_groups(stream: DataFrame, rules: dict[str, BatchRule], delay: str) -> DataFrame:
     """Rows (rule, lane, status, step, substep, minibatch, position, group_id) of a stream of groups, for each rule."""
@@ -102,15 +126,12 @@ def batch_groups(stream: DataFrame, rules: dict[str, BatchRule], delay: str) ->
         if state.hasTimedOut:
             b.expire()
         else:
-            rows = pd.concat(list(pdfs)).sort_values(["arrival_us", "group_id"])
-            columns = (rows[c].tolist() for c in ("group_id", "arrival_us", "usable", "sampler_step"))
-            for row in zip(*columns, strict=True):
-                b.add(*row)
+            yield from b.pass_rows(pdfs)
         state.update((b.ids, b.usable, b.done, b.last_us))
         if b.ids and rule.gap_seconds is not None:
             state.setTimeoutTimestamp(max(b.last_us // 1000 + rule.gap_seconds * 1000, state.getCurrentWatermarkMs() + 1))
         if b.out:
-            yield pd.DataFrame(b.out, columns=_NAMES)
+            yield b.taken()
 
     seen = stream.withWatermark("arrival", delay).select(
         "lane", "group_id", "arrival", F.unix_micros("arrival").alias("arrival_us"), "usable", F.col("sampler_step").cast("long").alias("sampler_step"),

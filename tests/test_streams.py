@@ -4,6 +4,7 @@ import random
 import re
 from collections import Counter
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -197,3 +198,16 @@ def test_group_queries_reach_every_status(spark):
     assert {r.status for r in q["stream_group_batches"](spark, SF_SMALL).select("status").distinct().collect()} == {"train", "requeue", "expired"}
     kinds = {tuple(r) for r in q["stream_minibatches"](spark, SF_SMALL).select("rule", "status").distinct().collect()}
     assert kinds == {("placeholders", "train"), ("filtered", "train"), ("filtered", "requeue")}
+
+
+def test_lane_rows_leave_in_blocks():
+    """A micro-batch of one lane in several frames, out of order: what leaves comes in bounded frames, as from one sorted pass."""
+    r = random.Random(4)
+    rows = [(i, r.randrange(500), r.random() < 0.8, 0) for i in range(1000)]
+    frames = [pd.DataFrame(rows[a : a + 130], columns=["group_id", "arrival_us", "usable", "sampler_step"]) for a in range(0, 1000, 130)]
+    rule = groups.BatchRule(4)
+    lane = groups._Lane("r", 0, rule, None)
+    out = [*lane.pass_rows(iter(frames), block=100), lane.taken()]
+    assert max(len(f) for f in out) < 200 and len(out) > 4
+    want = [g for g, _, ok, _ in sorted(rows, key=lambda x: (x[1], x[0])) if ok]
+    assert pd.concat(out)["group_id"].tolist() == want[: len(want) // 4 * 4] and lane.ids == want[len(want) // 4 * 4 :]
