@@ -5,10 +5,15 @@ A log has one row a turn. The rules are windows over the turns of one episode, w
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegralType
+
+from kiln.session import shuffle_partitions
 
 
 def cut_at_first(turns: DataFrame, ends: Column, episode: str = "traj_id", turn: str = "turn", max_turns: int | None = None) -> DataFrame:
@@ -95,6 +100,52 @@ def keep_groups(rows: DataFrame, predicate: Callable[[DataFrame], Column], group
     return rows.join(kept, group, "left_semi")
 
 
-def group_rewards(rows: DataFrame, fn: Callable, schema: str, group: str = "group_id") -> DataFrame:
-    """A user's function over one whole group as a pandas frame: groups are those of one problem, which the sampler bounds."""
-    return rows.groupBy(group).applyInPandas(fn, schema)
+def _starts(keys: pd.Series) -> np.ndarray:
+    """Places where a run of equal keys starts; nulls are equal."""
+    changes = keys.ne(keys.shift()).to_numpy(dtype=bool, na_value=True) & ~(keys.isna() & keys.shift().isna()).to_numpy()
+    changes[:1] = True
+    return np.flatnonzero(changes)
+
+
+def _whole_groups(frames: Iterable[pd.DataFrame], group: str) -> Iterator[pd.DataFrame]:
+    """Frames sorted by ``group`` cut anew, so that none ends within a group."""
+    held: list[pd.DataFrame] = []
+    for f in frames:
+        if held and len(_starts(pd.concat([held[-1][group].iloc[-1:], f[group].iloc[:1]]))) == 2:
+            yield pd.concat(held)
+            held = []
+        last = _starts(f[group])[-1]
+        if last:
+            yield pd.concat([*held, f.iloc[:last]])
+            held = []
+        held.append(f.iloc[last:])
+    if held:
+        yield pd.concat(held)
+
+
+def group_rewards(rows: DataFrame, fn: Callable, schema: str, group: str = "group_id", many: bool = False) -> DataFrame:
+    """A user's function over one whole group as a pandas frame: groups are those of one problem, which the sampler bounds.
+
+    With ``many`` the function takes a frame of many whole groups and tells them apart by ``group``: a call a group costs
+    about a millisecond, whatever its rows. Arrow frames carry many groups in both cases. Groups are dealt to a set number
+    of tasks, at least three a core, as tasks cut by bytes would leave all calls to a few."""
+    spark = rows.sparkSession
+    # one more than a join shuffles to: the shuffle of a join by the group would be used again, and merged by bytes
+    tasks = 1 + max(shuffle_partitions(spark), 3 * spark.sparkContext.defaultParallelism)
+    whole = [f.name for f in rows.schema if isinstance(f.dataType, IntegralType)]
+
+    def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for f in _whole_groups((f for f in frames if len(f)), group):
+            if many:
+                yield fn(f.reset_index(drop=True))
+                continue
+            starts = _starts(f[group])
+            # a null makes the whole numbers of a frame floats; groups without one get theirs back
+            floats = [c for c in whole if f[c].dtype.kind == "f"]
+            done = []
+            for a, b in zip(starts, [*starts[1:], len(f)], strict=True):
+                one = f.iloc[a:b].reset_index(drop=True)
+                done.append(fn(one.astype({c: "int64" for c in floats if one[c].notna().all()}) if floats else one))
+            yield pd.concat(done)
+
+    return rows.repartition(tasks, group).sortWithinPartitions(group).mapInPandas(run, schema)

@@ -284,6 +284,7 @@ def group_hooks(spark, sf_dir):
     kept = episodes.keep_groups(g, lambda _: (F.count(F.lit(1)) >= 4) & (F.max("reward") - F.min("reward") > 100))
 
     def ranks(rows):
-        return rows.assign(reward=rows["reward"].rank(method="min") / len(rows))
+        by = rows.groupby("group_id")["reward"]
+        return rows.assign(reward=by.rank(method="min") / by.transform("size"))
 
-    return episodes.group_rewards(kept, ranks, "group_id long, traj_id long, reward double")
+    return episodes.group_rewards(kept, ranks, "group_id long, traj_id long, reward double", many=True)

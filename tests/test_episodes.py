@@ -161,3 +161,26 @@ def test_search_calls(spark):
     assert [got[k][0] for k in (2, 3, 4)] == [False] * 3 and got[2][1] == retrieve.ERR_NON_EMPTY and got[3][1] == retrieve.ERR_REQUIRED
     with pytest.raises(Exception, match="query vectors: no row for"):
         retrieve.search_calls(calls, vectors.where("text = 'x'"), docs).collect()
+
+
+def test_group_rewards_over_frames_of_many_groups(spark):
+    """Groups longer than an Arrow frame, of one row and of null keys: one call a whole group, in as many tasks as the session shuffles to."""
+    sizes = {None: 7, 0: 1, 1: 950, 2: 3, 3: 1, **{k: k % 9 + 1 for k in range(4, 150)}}
+    rows = spark.createDataFrame([(k, float(i)) for k, n in sizes.items() for i in range(n)], "group_id long, reward double").repartition(5)
+
+    def shares(f):
+        assert f["group_id"].nunique(dropna=False) == 1 and list(f.index) == list(range(len(f)))
+        return f.assign(reward=f["reward"].rank(method="min") / len(f), ids=str(f["group_id"].dtype))
+
+    batch = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = episodes.group_rewards(rows, shares, "group_id long, reward double, ids string")
+        assert got.rdd.getNumPartitions() >= int(spark.conf.get("spark.sql.shuffle.partitions"))
+        found = sorted(((r.group_id is None, r.group_id or 0, r.reward, r.ids) for r in got.collect()))
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", batch)
+    kinds = {True: "float64", False: "int64"}
+    none = {x[3] for x in found if x[0]}
+    assert [x[:3] for x in found] == sorted((k is None, k or 0, (i + 1) / n) for k, n in sizes.items() for i in range(n))
+    assert {x[3] for x in found if not x[0]} == {kinds[False]} and none <= {"float64", "object"}
