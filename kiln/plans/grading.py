@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from kiln.functions import graders, math_grade
 from kiln.operators import rollouts, split
 from kiln.plans.registry import query
-from kiln.sources.tables import step_index, table
+from kiln.sources.tables import numbered_items, table
 
 G2_SQL = """trim(replace(ltrim(trim(substr(list_filter(list_transform(string_split({t}, chr(10)), lambda l: trim(l)), lambda l: starts_with(l, '####'))[-1], 5)), ':'), ',', ''))"""
 
@@ -216,9 +216,9 @@ FROM w WHERE turn <= least(coalesce(first_win, 10), 10)
 def game_turns(spark, sf_dir):
     """Logged game turns: number-guess reward (G17), episode cut at first win or turn 10 (G19),
     illegal consecutive mover (G22) and tool-call cap (G23)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = numbered_items(spark, sf_dir, step="turn")
     t = li.select(
-        F.col("l_orderkey").alias("traj_id"), step_index().alias("turn"),
+        "traj_id", "turn",
         F.when(F.col("l_returnflag") == "N", F.lit("I pass")).otherwise(
             F.concat(F.lit("Guess: "), F.col("l_quantity").cast("long").cast("string"))).alias("text"),
         F.pmod("l_suppkey", F.lit(2)).alias("player"), (F.col("l_returnflag") == "A").alias("is_call"),

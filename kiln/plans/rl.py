@@ -276,8 +276,8 @@ tk AS (
 """
 
 
-def _tok(spark, sf_dir):
-    return tb.token_rows(spark, sf_dir)
+def _tok(spark, sf_dir, numbered=False):
+    return tb.token_rows(spark, sf_dir, numbered)
 
 
 @query("mean_nll", "L1", f"""
@@ -342,7 +342,7 @@ SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(y, 6) AS ret FROM r
 """)
 def discounted_returns(spark, sf_dir):
     """Discounted future sums (γ = 0.9) of per-token values within each sequence, by blocks of positions."""
-    d = tk.discounted_rows(_tok(spark, sf_dir).select("seq_id", "pos", "logp_sample"), ["seq_id"], "pos", "logp_sample", 0.9, "ret")
+    d = tk.discounted_rows(_tok(spark, sf_dir, True).select("seq_id", "pos", "logp_sample"), ["seq_id"], "pos", "logp_sample", 0.9, "ret")
     return d.select("seq_id", F.col("pos").cast("long").alias("pos"), r6(F.col("ret")).alias("ret"))
 
 
@@ -358,7 +358,7 @@ SELECT seq_id, CAST(pos AS BIGINT) AS pos, round(1.0 + y, 6) AS advantage FROM r
 """)
 def kl_penalty_discounted(spark, sf_dir):
     """L4 with a discount: each token's advantage takes the discounted KL penalties of the rest of its sequence."""
-    t = _tok(spark, sf_dir).withColumn("advantage", F.lit(1.0))
+    t = _tok(spark, sf_dir, True).withColumn("advantage", F.lit(1.0))
     r = tk.kl_penalty(t, "logp_sample", "logp_train", "mask", 0.05, discount=0.7)
     return r.select("seq_id", F.col("pos").cast("long").alias("pos"), r6(F.col("advantage")).alias("advantage"))
 
@@ -371,7 +371,7 @@ FROM tk p JOIN tk q ON p.seq_id = q.seq_id AND q.pos = p.pos + 1 WHERE p.mask >
 """)
 def kl_pre_post(spark, sf_dir):
     """L3: logged logprobs of the shifted targets against new logprobs of the whole sequence (first token: none)."""
-    t = _tok(spark, sf_dir)
+    t = _tok(spark, sf_dir, True)
     last = F.max("pos").over(Window.partitionBy("seq_id"))
     datums = t.withColumn("_n", last).where(F.col("pos") < F.col("_n")).select("seq_id", (F.col("pos") - 1).alias("at"), F.col("logp_sample").alias("logprob"), "mask")
     post = t.select("seq_id", (F.col("pos") - 1).alias("position"), F.col("logp_train").alias("logprob"))
@@ -395,7 +395,7 @@ FROM m
 """)
 def dpo_metrics(spark, sf_dir):
     """DPO loss/accuracy/rewards/margin, β = 0.1; odd positions = chosen, even = rejected."""
-    t = _tok(spark, sf_dir)
+    t = _tok(spark, sf_dir, True)
     sides = t.select(
         F.col("seq_id").alias("pair_id"),
         F.when(F.col("pos") % 2 == 1, "chosen").otherwise("rejected").alias("side"),
@@ -433,7 +433,7 @@ FROM s LEFT JOIN c ON s.seq_id = c.seq_id GROUP BY s.seq_id
 """)
 def logprob_compare(spark, sf_dir):
     """Sampled (all positions) vs recomputed (all but last) logprob arrays per sequence."""
-    t = _tok(spark, sf_dir)
+    t = _tok(spark, sf_dir, True)
     arr = t.groupBy("seq_id").agg(F.array_sort(F.collect_list(F.struct("pos", "logp_sample", "logp_train"))).alias("_s"))
     a = F.transform("_s", lambda s: s["logp_sample"])
     b = F.slice(F.transform("_s", lambda s: s["logp_train"]), 1, F.size("_s") - 1)
@@ -454,8 +454,7 @@ def mse_by_model(spark, sf_dir):
 
 def _logged_steps(spark, sf_dir):
     """Line items as steps of a log: each observation repeats what came before it, unless flag R starts over."""
-    li = tb.table(spark, sf_dir, "lineitem")
-    s = li.select(F.col("l_orderkey").alias("traj_id"), tb.step_index().alias("step"), "l_suppkey", "l_partkey", "l_returnflag", "l_discount")
+    s = tb.numbered_items(spark, sf_dir).select("traj_id", "step", "l_suppkey", "l_partkey", "l_returnflag", "l_discount")
     w = Window.partitionBy("traj_id").orderBy("step")
     s = s.withColumn("_brk", ((F.col("step") == 1) | (F.col("l_returnflag") == "R")).cast("int"))
     s = s.withColumn("_d", F.sum("_brk").over(w.rowsBetween(Window.unboundedPreceding, 0)))
@@ -546,7 +545,7 @@ FROM p
 def single_turn_rows(spark, sf_dir):
     """Prompt + sampled tokens of each order as one datum; groups whose advantages are all zero are skipped."""
     adv = ro.drop_zero_advantage_groups(ro.advantages(_totals(spark, sf_dir))).select("group_id", "traj_id", "advantage")
-    t = _tok(spark, sf_dir).groupBy(F.col("seq_id").alias("traj_id")).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "logp_sample"))).alias("_s"))
+    t = _tok(spark, sf_dir, True).groupBy(F.col("seq_id").alias("traj_id")).agg(F.array_sort(F.collect_list(F.struct("pos", "token", "logp_sample"))).alias("_s"))
     samples = adv.join(t, "traj_id").select(
         "traj_id", F.array(*[F.col("group_id") + k for k in range(3)]).alias("prompt_tokens"), F.transform("_s", lambda x: x["token"]).alias("tokens"),
         F.transform("_s", lambda x: x["logp_sample"]).alias("logprobs"), "advantage")

@@ -11,7 +11,7 @@ from kiln.operators import episodes, prefs, rollouts, split
 from kiln.operators.ranking import range_rank
 from kiln.plans.registry import query
 from kiln.sources import io
-from kiln.sources.tables import messages, step_index, table
+from kiln.sources.tables import messages, numbered_items, table
 from kiln.streaming.batches import scratch_dir
 
 
@@ -162,10 +162,10 @@ FROM e WHERE last IS NULL OR turn <= last
 """)
 def tool_episodes(spark, sf_dir):
     """All four failure rules of tool episodes; G19: each ends at its first answer or failure."""
-    li = table(spark, sf_dir, "lineitem")
+    li = numbered_items(spark, sf_dir, step="turn")
     w = Window.partitionBy("traj_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, 0)
     t = li.select(
-        F.col("l_orderkey").alias("traj_id"), step_index().alias("turn"),
+        "traj_id", "turn",
         F.when(F.col("l_quantity") < 46, F.when(F.col("l_suppkey") % 13 == 0, "browse").otherwise("search")).alias("tool"),
         (F.col("l_partkey") % 17 == 0).alias("tool_error"), (F.col("l_quantity").cast("long") * 10).alias("grown"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.1).alias("reward"),
@@ -187,7 +187,7 @@ FROM p LEFT JOIN g ON p.traj_id = g.traj_id AND p.player = g.player
 """)
 def two_player_games(spark, sf_dir):
     """-2 for the player who moved twice, else the game's reward of that player, else (unfinished games) 0."""
-    t = table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("traj_id"), step_index().alias("turn"), (F.floor(F.col("l_suppkey") / 3) % 2).alias("player"))
+    t = numbered_items(spark, sf_dir, step="turn").select("traj_id", "turn", (F.floor(F.col("l_suppkey") / 3) % 2).alias("player"))
     o = table(spark, sf_dir, "orders").where("o_orderstatus <> 'P'")
     game = o.select(F.col("o_orderkey").alias("traj_id"), F.inline(F.array(
         F.struct((F.col("o_custkey") % 2).alias("player"), F.lit(1.0).alias("reward")), F.struct((1 - F.col("o_custkey") % 2).alias("player"), F.lit(-1.0).alias("reward")))))

@@ -243,10 +243,10 @@ FROM g GROUP BY seq_id, span
 )
 def weight_spans(spark, sf_dir):
     """Runs of same-sign weights (tax − 0.04) per order."""
-    from kiln.sources.tables import step_index
+    from kiln.sources.tables import numbered_items
 
-    li = table(spark, sf_dir, "lineitem").select(
-        F.col("l_orderkey").alias("seq_id"), step_index().alias("pos"), (F.col("l_tax") - 0.04).alias("w")
+    li = numbered_items(spark, sf_dir, "seq_id", "pos").select(
+        "seq_id", "pos", (F.col("l_tax") - 0.04).alias("w")
     )
     return render.weight_spans(li, "seq_id", "pos", "w").select(
         "seq_id", "span", F.col("sign").cast("double").alias("sign"), "start_pos", "end_pos", "n_tokens"

@@ -6,9 +6,16 @@ pushes filters into the scan, so callers select only what they use.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from kiln.session import shuffle_partitions
+
+#: Rows of ``lineitem`` that one task sorts.
+ROWS_PER_TASK = 250_000
+
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
@@ -47,16 +54,32 @@ def step_index(partition: str = "l_orderkey") -> Column:
     return F.row_number().over(w).cast("long")
 
 
-def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
+def numbered_items(spark: SparkSession, sf_dir: str, key: str = "traj_id", step: str = "step") -> DataFrame:
+    """``lineitem`` with its order as ``key`` and the step of each row, dealt by order to tasks of a bounded number of rows.
+
+    A task holds its rows in one sort for each order that later windows ask for, so the number of tasks follows the rows
+    (a count that the files' footers tell). The key is named before the rows are dealt: windows, joins and groups by
+    it need no further shuffle.
+    """
+    li = table(spark, sf_dir, "lineitem")
+    tasks = max(shuffle_partitions(spark), math.ceil(li.count() / ROWS_PER_TASK))
+    return li.withColumnRenamed("l_orderkey", key).repartition(tasks, key).withColumn(step, step_index(key))
+
+
+def steps(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """Steps of the trajectories bound to ``lineitem`` alone: (traj_id, step, reward, ob_len, ac_len, metrics).
 
     trajectory = order, step = line position, reward = discount, observation length = quantity, action length = line
-    number, metrics = {format, correct} with ``correct`` missing for flag ``N``.
+    number, metrics = {format, correct} with ``correct`` missing for flag ``N``. ``numbered``: for those who use the
+    step; sums that don't need no rows dealt.
     """
-    li = table(spark, sf_dir, "lineitem")
+    if numbered:
+        li = numbered_items(spark, sf_dir)
+    else:
+        li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "traj_id").withColumn("step", step_index("traj_id"))
     return li.select(
-        F.col("l_orderkey").alias("traj_id"),
-        step_index().alias("step"),
+        "traj_id",
+        "step",
         (F.col("l_discount") + F.lit(0.0)).alias("reward"),
         F.col("l_quantity").cast("long").alias("ob_len"),
         F.col("l_linenumber").cast("long").alias("ac_len"),
@@ -77,7 +100,7 @@ def steps(spark: SparkSession, sf_dir: str) -> DataFrame:
 def transitions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """RL transitions bound to ``orders ⋈ lineitem``: ``steps`` with their group (customer)."""
     od = table(spark, sf_dir, "orders").select(F.col("o_orderkey").alias("traj_id"), F.col("o_custkey").alias("group_id"))
-    return steps(spark, sf_dir).join(od, "traj_id").select("group_id", "traj_id", "step", "reward", "ob_len", "ac_len", "metrics")
+    return steps(spark, sf_dir, numbered=True).join(od, "traj_id").select("group_id", "traj_id", "step", "reward", "ob_len", "ac_len", "metrics")
 
 
 def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -91,16 +114,19 @@ def trajectories(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def token_rows(spark: SparkSession, sf_dir: str, numbered: bool = False) -> DataFrame:
     """Token-level rows bound to ``lineitem``.
 
     seq = order, pos = step, logp_sample = -10·discount, logp_train =
-    -10·tax, mask = flag R, weight = status O, dataset = supplier mod 3.
+    -10·tax, mask = flag R, weight = status O, dataset = supplier mod 3. ``numbered``: see ``steps``.
     """
-    li = table(spark, sf_dir, "lineitem")
+    if numbered:
+        li = numbered_items(spark, sf_dir, "seq_id", "pos")
+    else:
+        li = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "seq_id").withColumn("pos", step_index("seq_id"))
     return li.select(
-        F.col("l_orderkey").alias("seq_id"),
-        step_index().alias("pos"),
+        "seq_id",
+        "pos",
         (F.lit(-10.0) * F.col("l_discount") + F.lit(0.0)).alias("logp_sample"),
         (F.lit(-10.0) * F.col("l_tax") + F.lit(0.0)).alias("logp_train"),
         (F.col("l_returnflag") == "R").cast("double").alias("mask"),

@@ -6,7 +6,10 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
+import __spark_entry__ as E
 from kiln.operators import joins, rollouts, tokens
+from kiln.sources import tables
+from tests.conftest import SF_SMALL
 
 
 def plain_sum(xs, gamma):
@@ -196,3 +199,14 @@ def test_metric_set_explodes_metrics_only(spark):
     exploded = [line for line in plan.splitlines() if "Generate inline" in line]
     assert len(exploded) == 2 and not any("turns" in line or "reward" in line for line in exploded)
     assert {r.key: r.value for r in m.collect()}["env/all/reward/total"] == 0.75
+
+
+@pytest.mark.parametrize("name", ["prefix_merge_datums", "training_rows", "accuracy_by_source"])
+def test_numbered_items_are_dealt_by_rows(spark, name, monkeypatch):
+    """Tasks follow the rows, and what is dealt by order once is not dealt by it again."""
+    monkeypatch.setattr(tables, "ROWS_PER_TASK", 150)
+    rows = tables.table(spark, SF_SMALL, "lineitem").count()
+    plan = E.queries()[name](spark, SF_SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert f", {-(-rows // 150)}), REPARTITION_BY_NUM" in plan
+    assert "hashpartitioning(l_orderkey" not in plan
+    assert plan.count("Exchange hashpartitioning(traj_id") == {"prefix_merge_datums": 1}.get(name, plan.count("Exchange hashpartitioning(traj_id"))
