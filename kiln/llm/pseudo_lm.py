@@ -51,14 +51,20 @@ def hashes(s: Slice) -> np.ndarray:
 
 def word_buckets(s: Slice) -> tuple[np.ndarray, np.ndarray]:
     """Buckets of all words of a slice, and rows + 1 offsets; a bucket's high bits are the word's ending."""
+    return hashed_buckets(s)[1:]
+
+
+def hashed_buckets(s: Slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes and buckets of all words of a slice, and rows + 1 offsets."""
     s = s._replace(buf=LOWER[s.buf])
     w = split_words(s)
     h = word_hashes(s.buf, w)
     last = s.buf[w.end - 1].astype(np.uint64) if len(h) else np.zeros(0, np.uint64)
     before = np.where(w.end - w.start > 1, s.buf[np.maximum(w.end - 2, 0)], 0).astype(np.uint64) if len(h) else last
-    ending = mix64(last << _U(8) | before) % _U(ENDINGS)
+    # the sizes are powers of two, so a mask takes the remainder
+    ending = mix64(last << _U(8) | before) & _U(ENDINGS - 1)
     size = BUCKETS // ENDINGS
-    return (ending * _U(size) + h % _U(size)).astype(np.int64), w.first
+    return h, (ending * _U(size) + (h & _U(size - 1))).astype(np.int64), w.first
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -115,7 +121,10 @@ def word_counts(docs: DataFrame) -> DataFrame:
 
 
 def product(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    return np.concatenate([a[i : i + BLOCK] @ b for i in range(0, max(1, len(a)), BLOCK)])
+    out = np.empty((len(a), b.shape[1]), np.float32)
+    for i in range(0, len(a), BLOCK):
+        np.matmul(a[i : i + BLOCK], b, out=out[i : i + BLOCK])
+    return out
 
 
 class Network(NamedTuple):
@@ -124,15 +133,22 @@ class Network(NamedTuple):
     bias: np.ndarray
 
     def hidden(self, ctx: np.ndarray) -> np.ndarray:
-        h = self.vec[0][ctx[0]]
+        h = self.vec[0].take(ctx[0], 0)
         for k in range(1, len(CONTEXT)):
-            h = h + self.vec[k][ctx[k]]
-        return np.tanh(h)
+            h += self.vec[k].take(ctx[k], 0)
+        return np.tanh(h, out=h)
 
     def log_probs(self, ctx: np.ndarray, cls: np.ndarray) -> np.ndarray:
-        z = product(self.hidden(ctx), self.top) + self.bias
+        z = product(self.hidden(ctx), self.top)
+        z += self.bias
         z -= z.max(1, keepdims=True)
-        return z[np.arange(len(cls)), cls] - np.log(np.exp(z).sum(1))
+        of = z[np.arange(len(cls)), cls]
+        return of - np.log(np.exp(z, out=z).sum(1))
+
+    def copy(self) -> Network:
+        """Arrays of its own, of numpy's own number type: those that come out of a broadcast carry a copy of the
+        type, and ``np.add.at`` is some ten times slower on them."""
+        return Network(*(x.astype(np.float32) for x in self))
 
 
 def start_network(corpus: Corpus, seed: int) -> Network:
@@ -144,7 +160,7 @@ def start_network(corpus: Corpus, seed: int) -> Network:
 
 def contexts(buckets: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarray:
     """Table rows of the words around the given words, one array for each context position."""
-    rows = (mix64(buckets.astype(np.uint64)) % _U(TABLE)).astype(np.int32)
+    rows = (mix64(buckets.astype(np.uint64)) & _U(TABLE - 1)).astype(np.int32)
     doc = np.searchsorted(first, at, "right") - 1
     out = np.full((len(CONTEXT), len(at)), TABLE, np.int32)
     for k, d in enumerate(CONTEXT):
@@ -157,25 +173,30 @@ def contexts(buckets: np.ndarray, first: np.ndarray, at: np.ndarray) -> np.ndarr
 def step(net: Network, ctx: np.ndarray, cls: np.ndarray, rate: float) -> None:
     """One step of gradient descent, in place."""
     h = net.hidden(ctx)
-    z = product(h, net.top) + net.bias
-    z -= z.max(1, keepdims=True)
-    p = np.exp(z)
+    p = product(h, net.top)
+    p += net.bias
+    p -= p.max(1, keepdims=True)
+    np.exp(p, out=p)
     p /= p.sum(1, keepdims=True)
     p[np.arange(len(cls)), cls] -= 1
-    back = product(p, net.top.T) * (1 - h * h)
+    back = product(p, net.top.T)
     net.top[:] -= rate / len(cls) * sum(h[i : i + BLOCK].T @ p[i : i + BLOCK] for i in range(0, len(cls), BLOCK))
     net.bias[:] -= rate / len(cls) * p.sum(0)
+    np.multiply(h, h, out=h)
+    back *= np.subtract(1, h, out=h)
     # words are met a few times a batch, so their steps aren't divided by its size
-    back = ((-0.1 * rate) * back).ravel()
+    back *= -0.1 * rate
+    back = back.ravel()
+    unit = np.arange(HIDDEN)
     for k in range(len(CONTEXT)):
         # flat indices: numpy adds them faster than rows
-        np.add.at(net.vec[k].reshape(-1), (ctx[k].astype(np.int64)[:, None] * HIDDEN + np.arange(HIDDEN)).ravel(), back)
+        np.add.at(net.vec[k].reshape(-1), ((ctx[k].astype(np.int64) * HIDDEN)[:, None] + unit).ravel(), back)
 
 
 def _train(sent):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         corpus, net = sent.value
-        net = Network(*(x.copy() for x in net))
+        net = net.copy()
         seen = 0
         for b in batches:
             for s in text_slices(b.column("text")):
@@ -231,15 +252,15 @@ def train(docs: DataFrame, seed: int = 11) -> tuple[Corpus, Network]:
 def score_slice(s: Slice, corpus: Corpus, net: Network, counts: tuple[np.ndarray, np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Words and summed conditional log-probabilities of each text of a slice; ``counts`` are the words of the
     slice in ascending order with the logarithms of their counts, without them the bucket sums count."""
-    buckets, first = word_buckets(s)
-    logs = np.empty(len(buckets))
-    for i in range(0, len(buckets), 1 << 14):
-        at = np.arange(i, min(len(buckets), i + (1 << 14)))
-        logs[at] = net.log_probs(contexts(buckets, first, at), corpus.cls[buckets[at]])
+    h, buckets, first = hashed_buckets(s)
+    logs, cls = np.empty(len(buckets)), corpus.cls[buckets]
+    ctx = contexts(buckets, first, np.arange(len(buckets)))
+    for i in range(0, len(buckets), BATCH):
+        logs[i : i + BATCH] = net.log_probs(ctx[:, i : i + BATCH], cls[i : i + BATCH])
     if counts is None:
         logs += corpus.inside[buckets]
     else:
-        logs += counts[1][np.searchsorted(counts[0], hashes(s))] - corpus.size[corpus.cls[buckets]]
+        logs += counts[1][np.searchsorted(counts[0], h)] - corpus.size[cls]
     total = np.concatenate([[0.0], np.cumsum(logs)])
     return np.diff(first), total[first[1:]] - total[first[:-1]]
 
@@ -250,7 +271,8 @@ _models: dict[str, tuple[Corpus, Network]] = {}
 def kept_model(name: str, sent) -> tuple[Corpus, Network]:
     if name not in _models:
         _models.clear()
-        _models[name] = sent.value
+        corpus, net = sent.value
+        _models[name] = corpus, net.copy()
     return _models[name]
 
 
