@@ -25,8 +25,10 @@ from pyspark.sql import functions as F
 
 #: Fixed value: the pattern by which byte-level vocabularies split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
-#: Pre-tokens and token pairs remembered by one worker; beyond that the memory starts afresh.
+#: Pre-tokens in each of a worker's two generations of memory, and token pairs remembered (beyond that afresh).
 MEMORY = 100_000
+#: Characters from which a pre-token isn't remembered.
+LONG = 100
 
 
 def byte_letters() -> list[str]:
@@ -74,7 +76,9 @@ class PrefixBpe:
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.findall = regex.compile(SPLIT).findall
+        # pre-tokens met lately, and those of the generation before: what is met again moves up, the rest is dropped
         self.ids_of: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
 
     def _reachable(self, t: int) -> bool:
@@ -131,23 +135,26 @@ class PrefixBpe:
         ids.reverse()
         return array("I", ids).tobytes()
 
+    def missed(self, w: str) -> bytes:
+        """Ids of a pre-token that wasn't in the memory's younger generation when its text began."""
+        ids = self.ids_of.get(w) or self.older.get(w) or self.word(w.encode().decode("latin-1").translate(self.letter))
+        if len(w) < LONG:
+            if len(self.ids_of) >= MEMORY:
+                self.older, self.ids_of = self.ids_of, {}
+            self.ids_of[w] = ids
+        return ids
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        known, out = self.ids_of, []
+        out = []
         parts = self.special_split.split(text) if self.special_split and any(s in text for s in self.special) else [text]
         for part in parts:
             if part in self.special:
                 out.append(self.special[part].to_bytes(4, "little"))
                 continue
-            for w in self.findall(part):
-                ids = known.get(w)
-                if ids is None:
-                    if len(known) > MEMORY:
-                        known.clear()
-                    ids = self.word(w.encode().decode("latin-1").translate(self.letter))
-                    if len(w) < 200:
-                        known[w] = ids
-                out.append(ids)
+            words = self.findall(part)
+            known = list(map(self.ids_of.get, words))
+            out += [self.missed(w) if ids is None else ids for w, ids in zip(words, known, strict=True)]
         return b"".join(out)
 
     def decode(self, ids: bytes) -> bytes:

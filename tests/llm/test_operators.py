@@ -29,6 +29,20 @@ def rows_of(df, *cols):
     return Counter(tuple(r[c] for c in cols) for r in df.collect())
 
 
+def test_bpe_memory_keeps_frequent_words(monkeypatch):
+    """A word that is met again and again is encoded once, however many rare words pass between."""
+    monkeypatch.setattr(bpe, "MEMORY", 20)
+    codec, asked = bpe.PrefixBpe(vocabulary(BPE_FILE)), Counter()
+    word = codec.word
+    monkeypatch.setattr(codec, "word", lambda w: (asked.update([w]), word(w))[1])
+    tok = Tokenizer.from_file(vocabulary(BPE_FILE))
+    for i in range(30):
+        text = f"often{'x' * (i % 2)} often often rare" + chr(97 + i % 26) + " zq" * (i % 3) + f" odd{chr(0x100 + i)} often " + "w" * (90 + i)
+        assert np.frombuffer(codec.encode(text), "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        assert len(codec.ids_of) <= 20 and len(codec.older) <= 20
+    assert asked[codec.letter[32] + "often"] == 1 and max(asked.values()) < 30
+
+
 def test_bpe_equals_library(spark, docs):
     tok = Tokenizer.from_file(vocabulary(BPE_FILE))
     odd = ["<|endoftext|> a<|endoftext|>", "́a ‍🏳️‍🌈  \n\n x", "aaaaaaaaaaaaaaa" * 40, "it's I'LL  we'll"]
