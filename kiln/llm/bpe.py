@@ -4,6 +4,8 @@ For every prefix of a pre-token there is one token that the merge procedure leav
 vocabulary gives all tokens that are suffixes of the prefix; a suffix t is that last token if the last token
 of the rest stays separate from t, which a test on the two tokens alone decides (``compatible``). Following
 the stored last tokens backwards gives exactly the ids of the merge procedure, in time linear in the text.
+The pre-tokens of many texts that aren't remembered take these steps together, one byte of each at a time; they
+are cut where the classes of characters change.
 
 Cases: null text counts as empty (no ids, empty decoded text); a special token's string in the text becomes
 that token, as the library does by default; rows are kept one for one, repeated and null ids included; an
@@ -15,8 +17,9 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
-import ahocorasick
 import numpy as np
 import pyarrow as pa
 import regex
@@ -27,6 +30,8 @@ from pyspark.sql import functions as F
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens in each of a worker's two generations of memory, and token pairs remembered (beyond that afresh).
 MEMORY = 100_000
+#: Pre-tokens of texts that are looked up together, new ones from which they are encoded together, and bits of a pair's place.
+TOGETHER, FEW, PLACES = 50_000, 32, 20
 #: Characters from which a pre-token isn't remembered.
 LONG = 100
 
@@ -39,6 +44,37 @@ def byte_letters() -> list[str]:
     return [chr(b) if b in set(shown) else chr(next(rest)) for b in range(256)]
 
 
+def char_classes() -> np.ndarray:
+    """Class of every character that ``SPLIT`` tells apart: 1 letter, 2 number, 3 space, 0 other."""
+    every = np.arange(0x110000, dtype="<u4").tobytes().decode("utf-32-le", "surrogatepass")
+    out = np.zeros(len(every), np.uint8)
+    for k, kind in enumerate((r"\p{L}+", r"\p{N}+", r"\s+"), 1):
+        for m in regex.finditer(kind, every):
+            out[m.start() : m.end()] = k
+    return out
+
+
+def pre_tokens(text: str, classes: np.ndarray) -> list[str]:
+    """What ``SPLIT`` finds in a text, from the places where the class of the characters changes."""
+    if not text:
+        return []
+    char = np.frombuffer(text.encode("utf-32-le"), "<u4")
+    kind = classes[char]
+    start = np.ones(len(char), bool)
+    start[1:] = kind[1:] != kind[:-1]
+    # the last space before something else stands alone, and a plain one joins what follows
+    last = (kind[:-1] == 3) & start[1:]
+    start[:-1] |= last
+    start[1:] &= ~(last & (char[:-1] == 32))
+    for i in np.flatnonzero((char[:-1] == 39) & start[:-1] & (kind[1:] == 1)).tolist():
+        end = i + 2 if text[i + 1] in "stmd" else i + 3 if text[i + 1 : i + 3] in ("re", "ve", "ll") else 0
+        if end:
+            start[i + 1] = False
+            start[end : end + 1] = True
+    at = np.flatnonzero(start).tolist()
+    return [text[a:b] for a, b in zip(at, [*at[1:], len(text)], strict=True)]
+
+
 class PrefixBpe:
     """Encoder and decoder for a byte-level BPE file of the `tokenizers` library."""
 
@@ -52,7 +88,7 @@ class PrefixBpe:
         vocab: dict[str, int] = model["vocab"]
         letters = byte_letters()
         self.letter = {b: c for b, c in enumerate(letters)}
-        raw = {c: b for b, c in enumerate(letters)}
+        raw = self.letter_byte = {c: b for b, c in enumerate(letters)}
         size = 1 + max([*vocab.values(), *(t["id"] for t in spec["added_tokens"])])
         # merge that makes each token: when it happens, and its two halves
         self.when, self.left, self.right = [-1] * size, [-1] * size, [-1] * size
@@ -64,22 +100,53 @@ class PrefixBpe:
             if self.left[made] < 0:
                 self.when[made], self.left[made], self.right[made] = rank, x, y
         self.text = [b""] * size
-        self.automaton = ahocorasick.Automaton()
-        for t, i in sorted(vocab.items(), key=lambda x: self.when[x[1]]):
+        # tokens that are made from their own bytes
+        made = {}
+        for t, i in vocab.items():
             self.text[i] = bytes(raw[c] for c in t)
             if self.left[i] < 0 or self._reachable(i):
-                self.automaton.add_word(t, (i, len(t)))
-        self.automaton.make_automaton()
+                made[self.text[i]] = i
+        self._automaton(made)
         self.special = {t["content"]: t["id"] for t in spec["added_tokens"]}
         for t, i in self.special.items():
             self.text[i] = bytes(raw[c] for c in t) if all(c in raw for c in t) else t.encode()
         names = sorted(self.special, key=len, reverse=True)
         self.special_split = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
-        self.findall = regex.compile(SPLIT).findall
+        self.classes = char_classes()
         # pre-tokens met lately, and those of the generation before: what is met again moves up, the rest is dropped
         self.ids_of: dict[str, bytes] = {}
         self.older: dict[str, bytes] = {}
         self.pairs: dict[int, bool] = {}
+        self.steps: dict[str, tuple[str, tuple[tuple[int, int], ...]]] = {}
+
+    def _automaton(self, made: dict[bytes, int]) -> None:
+        """States are the beginnings of tokens; the state of a prefix is its longest end that is one.
+
+        ``go``: next state by state and byte; ``end``: the longest end of a state that is a token, as a state;
+        ``down``: the next shorter one of a token; ``token`` and ``depth``: of a token's state its id, of any its bytes.
+        """
+        states = sorted({t[:k] for t in made for k in range(len(t) + 1)}, key=len)
+        number = {t: i for i, t in enumerate(states)}
+        parent = np.array([0, *(number[t[:-1]] for t in states[1:])])
+        byte = np.array([0, *(t[-1] for t in states[1:])])
+        self.token = np.array([made.get(t, -1) for t in states])
+        self.depth = np.array([len(t) for t in states])
+        shorter = np.zeros(len(states), np.int64)
+        self.go = np.zeros((len(states), 256), np.int32)
+        self.end = np.where(self.token >= 0, np.arange(len(states)), 0)
+        cuts = np.searchsorted(self.depth, np.arange(self.depth[-1] + 3))
+        for size in range(self.depth[-1] + 1):
+            own, below = slice(*cuts[size : size + 2]), slice(*cuts[size + 1 : size + 3])
+            if size > 1:
+                shorter[own] = self.go[shorter[parent[own]], byte[own]]
+            if size:
+                self.go[own] = self.go[shorter[own]]
+                self.end[own] = np.where(self.token[own] >= 0, self.end[own], self.end[shorter[own]])
+            self.go[parent[below], byte[below]] = np.arange(below.start, below.stop)
+        self.down = self.end[shorter]
+        self.size = np.array([len(t) for t in self.text])
+        # pairs met by many pre-tokens together: a place for each hash, taken by the last pair that had it
+        self.met, self.apart = np.full(1 << PLACES, -1), np.zeros(1 << PLACES, bool)
 
     def _reachable(self, t: int) -> bool:
         """A token is made from its own bytes only if no earlier merge spans the border of its halves."""
@@ -108,24 +175,27 @@ class PrefixBpe:
     def word(self, w: str) -> bytes:
         """Ids of one pre-token (in byte letters), little-endian."""
         n = len(w)
-        last = [-1] * n
-        pairs = self.pairs
-        for end, (t, size) in self.automaton.iter(w):
-            if last[end] >= 0:
-                continue
-            start = end - size
-            if start < 0:
-                last[end] = t
-                continue
-            p = last[start]
-            key = p << 32 | t
-            ok = pairs.get(key)
-            if ok is None:
-                if len(pairs) > MEMORY:
-                    pairs.clear()
-                ok = pairs[key] = self.compatible(p, t)
-            if ok:
-                last[end] = t
+        last = []
+        pairs, go, end, token, depth = self.pairs, self.go, self.end, self.token, self.depth
+        state = 0
+        for at, letter in enumerate(w, 1):
+            state = go[state, self.letter_byte[letter]]
+            found = end[state]
+            while True:
+                t, size = int(token[found]), int(depth[found])
+                if size == at:
+                    break
+                p = last[at - size - 1]
+                key = p << 32 | t
+                ok = pairs.get(key)
+                if ok is None:
+                    if len(pairs) > MEMORY:
+                        pairs.clear()
+                    ok = pairs[key] = self.compatible(p, t)
+                if ok:
+                    break
+                found = self.down[found]
+            last.append(t)
         ids = []
         at = n - 1
         while at >= 0:
@@ -135,8 +205,82 @@ class PrefixBpe:
         ids.reverse()
         return array("I", ids).tobytes()
 
+    def stay(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """``compatible`` for many pairs; what is found is kept."""
+        key = a << 32 | b
+        place = (key.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15) >> np.uint64(64 - PLACES)).astype(np.int64)
+        ok = self.apart[place]
+        new = np.flatnonzero(self.met[place] != key)
+        if len(new):
+            pairs, at, back = np.unique(key[new], return_index=True, return_inverse=True)
+            found = np.array([self.compatible(x >> 32, x & 0xFFFFFFFF) for x in pairs.tolist()])
+            ok[new] = found[back]
+            at = place[new[at]]
+            self.met[at] = -1
+            at, one = np.unique(at, return_index=True)
+            self.met[at], self.apart[at] = pairs[one], found[one]
+        return ok
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """``word`` for many pre-tokens (as they are in the text) at once: longest first, one byte of each a step."""
+        raw = [w.encode() for w in words]
+        size = np.array([len(w) for w in raw])
+        order = np.argsort(-size, kind="stable")
+        size = size[order]
+        # byte k of all words that have one, then byte k + 1: the word in row i has its byte k at base[k] + i
+        many = np.searchsorted(-size, -np.arange(size[0]))
+        base = np.concatenate([[0], np.cumsum(many)])
+        row = np.repeat(np.arange(len(raw)), size)
+        place = base[np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)] + row
+        byte = np.empty(len(row), np.uint8)
+        byte[place] = np.frombuffer(b"".join([raw[i] for i in order.tolist()]), np.uint8)
+        last = np.empty(len(row), np.int64)
+        state = np.zeros(len(raw), np.int32)
+        for k, n in enumerate(many.tolist()):
+            state = self.go[state[:n], byte[base[k] : base[k + 1]]]
+            todo, found = np.arange(n), self.end[state]
+            while len(todo):
+                t, back = self.token[found], self.depth[found]
+                ok = back > k
+                part = np.flatnonzero(~ok)
+                ok[part] = self.stay(last[base[k - back[part]] + todo[part]], t[part])
+                last[base[k] + todo[ok]] = t[ok]
+                todo, found = todo[~ok], self.down[found[~ok]]
+        at, rows, steps = size - 1, np.arange(len(raw)), []
+        while len(rows):
+            t = last[base[at] + rows]
+            steps.append((rows, t))
+            at = at - self.size[t]
+            rows, at = rows[at >= 0], at[at >= 0]
+        count = np.bincount(np.concatenate([r for r, _ in steps]), minlength=len(raw))
+        stop = np.cumsum(count)
+        ids = np.empty(stop[-1], "<u4")
+        for k, (r, t) in enumerate(steps):
+            ids[stop[r] - 1 - k] = t
+        data = ids.tobytes()
+        out = [b""] * len(raw)
+        for i, a, b in zip(order.tolist(), (4 * (stop - count)).tolist(), (4 * stop).tolist(), strict=True):
+            out[i] = data[a:b]
+        return out
+
+    def learn(self, met: set[str]) -> None:
+        """Puts ``met`` (less than MEMORY) into the younger memory, but for very long ones and special tokens' strings."""
+        new = met.difference(self.ids_of)
+        if len(new) < FEW:
+            return
+        if len(self.ids_of) + len(new) > MEMORY:
+            self.older, self.ids_of = self.ids_of, {}
+            new = met
+        again = {w: ids for w, ids in zip(new, map(self.older.get, new), strict=True) if ids}
+        fresh = [w for w in new.difference(again) if len(w) < LONG and w not in self.special]
+        self.ids_of |= again
+        if fresh:
+            self.ids_of.update(zip(fresh, self.words(fresh), strict=True))
+
     def missed(self, w: str) -> bytes:
         """Ids of a pre-token that wasn't in the memory's younger generation when its text began."""
+        if w in self.special:
+            return self.special[w].to_bytes(4, "little")
         ids = self.ids_of.get(w) or self.older.get(w) or self.word(w.encode().decode("latin-1").translate(self.letter))
         if len(w) < LONG:
             if len(self.ids_of) >= MEMORY:
@@ -144,18 +288,42 @@ class PrefixBpe:
             self.ids_of[w] = ids
         return ids
 
+    def cut(self, text: str) -> list[str]:
+        """Pre-tokens of a text; special tokens' strings stand among them as they are."""
+        if not self.special_split or not any(s in text for s in self.special):
+            return pre_tokens(text, self.classes)
+        parts = self.special_split.split(text)
+        return [w for p in parts for w in ([p] if p in self.special else pre_tokens(p, self.classes))]
+
+    def joined(self, words: list[str]) -> bytes:
+        try:
+            return b"".join(map(self.ids_of.__getitem__, words))
+        except KeyError:
+            known = list(map(self.ids_of.get, words))
+            return b"".join([self.missed(w) if ids is None else ids for w, ids in zip(words, known, strict=True)])
+
     def encode(self, text: str) -> bytes:
         """Ids of a text as little-endian unsigned 32-bit integers."""
-        out = []
-        parts = self.special_split.split(text) if self.special_split and any(s in text for s in self.special) else [text]
-        for part in parts:
-            if part in self.special:
-                out.append(self.special[part].to_bytes(4, "little"))
-                continue
-            words = self.findall(part)
-            known = list(map(self.ids_of.get, words))
-            out += [self.missed(w) if ids is None else ids for w, ids in zip(words, known, strict=True)]
-        return b"".join(out)
+        return self.joined(self.cut(text))
+
+    def together(self, held: list[list[str]]) -> Iterator[bytes]:
+        self.learn(set(chain.from_iterable(held)))
+        return map(self.joined, held)
+
+    def encode_all(self, texts: Iterable[str | None]) -> Iterator[bytes]:
+        """``encode`` for many texts, null as empty; what is new in several of them, or in a part of a long one, is learnt at once."""
+        held, n = [], 0
+        for text in texts:
+            words = self.cut(text or "")
+            if n + len(words) > TOGETHER:
+                yield from self.together(held)
+                held, n = [], 0
+            if len(words) > TOGETHER:
+                yield b"".join([next(self.together([words[a : a + TOGETHER]])) for a in range(0, len(words), TOGETHER)])
+            else:
+                held.append(words)
+                n += len(words)
+        yield from self.together(held)
 
     def decode(self, ids: bytes) -> bytes:
         """UTF-8 text of ids; bytes that aren't UTF-8 become replacement characters."""
@@ -181,7 +349,7 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "ids
 
     def run(texts: pa.Array) -> pa.Array:
         c = codec(vocabulary)
-        return pa.array([c.encode(t) if t else b"" for t in texts.to_pylist()], pa.binary())
+        return pa.array(list(c.encode_all(texts.to_pylist())), pa.binary())
 
     return docs.withColumn(out, F.arrow_udf(run, "binary")(F.col(text)))
 
@@ -205,8 +373,7 @@ def round_trip(docs: DataFrame, vocabulary: str, text: str = "text", out: str =
     def run(texts: pa.Array) -> pa.Array:
         c = codec(vocabulary)
         n, a, b = [], [], []
-        for t in texts.to_pylist():
-            ids = c.encode(t) if t else b""
+        for ids in c.encode_all(texts.to_pylist()):
             n.append(len(ids) // 4)
             a.append(hashlib.sha256(ids).hexdigest())
             b.append(hashlib.sha256(c.decode(ids)).hexdigest())

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import math
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -43,6 +44,35 @@ def test_bpe_memory_keeps_frequent_words(monkeypatch):
     assert asked[codec.letter[32] + "often"] == 1 and max(asked.values()) < 30
 
 
+def test_bpe_new_words_are_encoded_together(monkeypatch):
+    """New pre-tokens of many texts take their steps at once, few one by one; the ids are the library's."""
+    monkeypatch.setattr(bpe, "MEMORY", 400)
+    monkeypatch.setattr(bpe, "TOGETHER", 150)
+    codec, alone = bpe.PrefixBpe(vocabulary(BPE_FILE)), []
+    word = codec.word
+    monkeypatch.setattr(codec, "word", lambda w: (alone.append(w), word(w))[1])
+    r = random.Random(3)
+    letters = "etaoinshrdlu'EÉßжшя日本語ひ9٣ \n\t\u3000\u0301\u200d🙂.,!-_"
+    texts = [None, "", " ", "<|endoftext|>", *("".join(r.choices(letters, k=r.choice((3, 90, 400)))) for _ in range(200))]
+    texts += ["x" * 300 + " it's <|endoftext|>we'll", "".join(r.choices(letters, k=9000))]
+    tok = Tokenizer.from_file(vocabulary(BPE_FILE))
+    got = []
+    for ids in codec.encode_all(texts):
+        got.append(np.frombuffer(ids, "<u4").tolist())
+        assert len(codec.ids_of) <= 400 and len(codec.older) <= 400
+    assert got == [tok.encode(t or "", add_special_tokens=False).ids for t in texts]
+    cut = [w for t in texts for w in codec.cut(t or "")]
+    assert 0 < len(alone) < 0.1 * len(cut) and len(cut) > 10_000
+
+
+def test_bpe_pre_tokens_are_those_of_the_pattern():
+    classes, r = bpe.char_classes(), random.Random(4)
+    letters = "stmdrevlLx'' \n\t\r\x1c\x85\xa0\u2028\u3000aé日1²٣Ⅷ!?\u0301_\U0001f642\U00010400"
+    for n in range(3000):
+        text = "".join(r.choices(letters, k=n % 40))
+        assert bpe.pre_tokens(text, classes) == bpe.regex.findall(bpe.SPLIT, text)
+
+
 def test_bpe_equals_library(spark, docs):
     tok = Tokenizer.from_file(vocabulary(BPE_FILE))
     odd = ["<|endoftext|> a<|endoftext|>", "́a ‍🏳️‍🌈  \n\n x", "aaaaaaaaaaaaaaa" * 40, "it's I'LL  we'll"]
