@@ -26,6 +26,8 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from kiln.llm.common import WorkerCache
+
 #: Fixed value: the pattern by which byte-level vocabularies split a text.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 #: Pre-tokens in each of a worker's two generations of memory, and token pairs remembered (beyond that afresh).
@@ -335,13 +337,11 @@ class PrefixBpe:
         return raw
 
 
-_codecs: dict[str, PrefixBpe] = {}
+_codecs = WorkerCache(4)
 
 
 def codec(path: str) -> PrefixBpe:
-    if path not in _codecs:
-        _codecs[path] = PrefixBpe(path)
-    return _codecs[path]
+    return _codecs.get(path, lambda: PrefixBpe(path))
 
 
 def encode(docs: DataFrame, vocabulary: str, text: str = "text", out: str = "ids") -> DataFrame:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import result_name
+from kiln.llm.common import WorkerCache, result_name
 
 WIDTH = 10
 BLOCK_BYTES = 32 << 20
@@ -101,16 +101,12 @@ def _blocks(items: DataFrame, item_id: str, text: str, width: int, block_bytes:
         yield [(bytes(r.w), list(r["items"])) for r in part.toLocalIterator()]
 
 
-_scanners: dict[str, Scanner] = {}
+_scanners = WorkerCache(4)
 
 
 def scanner(name: str, sent) -> Scanner:
     """The automaton of a broadcast block of windows, built once in a worker."""
-    if name not in _scanners:
-        if len(_scanners) >= 4:
-            _scanners.clear()
-        _scanners[name] = Scanner(sent.value)
-    return _scanners[name]
+    return _scanners.get(name, lambda: Scanner(sent.value))
 
 
 def _scan(sent, name: str):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from kiln.llm.common import WORD_BASE, Slice, mix64, owner, result_name, split_words, text_slices, window_hash, word_hashes
+from kiln.llm.common import WORD_BASE, Slice, give_back, mix64, owner, result_name, split_words, text_slices, trimmed, window_hash, word_hashes
 
 BUCKETS = 1 << 17
 MAX_DOCS = 5000
@@ -171,7 +171,7 @@ def train(
         yield pa.RecordBatch.from_arrays([pa.array([model.weight.astype(np.float64).tobytes()], pa.binary()), pa.array([model.bias])], names=["weight", "bias"])
 
     sample = labelled(docs, labels, label, max_docs).select("doc_id", F.col("y").cast("int").alias("y"), _shares(buckets)(F.col("text")).alias("f"))
-    got = sample.repartition(1).mapInArrow(run, "weight binary, bias double").first()
+    got = sample.repartition(1).mapInArrow(trimmed(run), "weight binary, bias double").first()
     if got is None:  # Spark knows that there is no labelled row
         return Model(np.zeros(buckets), 0.0)
     return Model(np.frombuffer(got.weight, np.float64), got.bias)
@@ -179,7 +179,9 @@ def train(
 
 def score(model: Model, text: str = "text") -> Column:
     def run(texts: pa.Array) -> pa.Array:
-        return pa.array(model.scores(texts), pa.float64())
+        scores = model.scores(texts)
+        give_back()
+        return pa.array(scores, pa.float64())
 
     return F.arrow_udf(run, "double")(F.col(text))
 

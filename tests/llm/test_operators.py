@@ -5,7 +5,9 @@ from __future__ import annotations
 import hashlib
 import math
 import random
+import weakref
 from collections import Counter, defaultdict
+from types import SimpleNamespace
 
 import numpy as np
 import pytest
@@ -44,6 +46,16 @@ def test_bpe_memory_keeps_frequent_words(monkeypatch):
     assert asked[codec.letter[32] + "often"] == 1 and max(asked.values()) < 30
 
 
+def test_idle_models_are_dropped(monkeypatch):
+    """What one step has built doesn't stay in the worker through the steps after it; what is in use does."""
+    held = [weakref.ref(bpe.codec(vocabulary(BPE_FILE))), weakref.ref(decontam.scanner("x", SimpleNamespace(value=[(b"a b", ["1"])])))]
+    common.give_back()
+    assert all(x() for x in held)
+    monkeypatch.setattr(common, "IDLE_S", -1, raising=False)
+    list(common.trimmed(iter)([]))
+    assert not any(x() for x in held)
+
+
 def test_bpe_new_words_are_encoded_together(monkeypatch):
     """New pre-tokens of many texts take their steps at once, few one by one; the ids are the library's."""
     monkeypatch.setattr(bpe, "MEMORY", 400)
