@@ -17,6 +17,7 @@ from __future__ import annotations
 import hashlib
 import json
 from array import array
+from bisect import bisect_left
 from collections.abc import Iterable, Iterator
 from itertools import chain
 
@@ -34,6 +35,8 @@ SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\
 MEMORY = 100_000
 #: Pre-tokens of texts that are looked up together, new ones from which they are encoded together, and bits of a pair's place.
 TOGETHER, FEW, PLACES = 50_000, 32, 20
+#: Bytes of the states whose next states are all tabled: a table of every state would take 100 MB a worker.
+NEAR = 2
 #: Characters from which a pre-token isn't remembered.
 LONG = 100
 
@@ -124,8 +127,10 @@ class PrefixBpe:
     def _automaton(self, made: dict[bytes, int]) -> None:
         """States are the beginnings of tokens; the state of a prefix is its longest end that is one.
 
-        ``go``: next state by state and byte; ``end``: the longest end of a state that is a token, as a state;
-        ``down``: the next shorter one of a token; ``token`` and ``depth``: of a token's state its id, of any its bytes.
+        ``near``: next state by state and byte, for the states of up to two bytes; ``links``: (state, byte) of longer
+        beginnings, sorted, with their states in ``to``; ``shorter``: the longest end of a state that is another one;
+        ``end``: the longest end of a state that is a token, as a state; ``down``: the next shorter one of a token;
+        ``token`` and ``depth``: of a token's state its id, of any its bytes.
         """
         states = sorted({t[:k] for t in made for k in range(len(t) + 1)}, key=len)
         number = {t: i for i, t in enumerate(states)}
@@ -133,23 +138,54 @@ class PrefixBpe:
         byte = np.array([0, *(t[-1] for t in states[1:])])
         self.token = np.array([made.get(t, -1) for t in states])
         self.depth = np.array([len(t) for t in states])
-        shorter = np.zeros(len(states), np.int64)
-        self.go = np.zeros((len(states), 256), np.int32)
+        shorter = self.shorter = np.zeros(len(states), np.int64)
+        key = parent << 8 | byte
+        key[0] = 1 << 40  # the empty beginning, and what is looked up in vain
+        self.to = np.argsort(key)
+        self.links = key[self.to]
+        self.near = np.zeros((np.searchsorted(self.depth, NEAR, "right"), 256), np.int32)
         self.end = np.where(self.token >= 0, np.arange(len(states)), 0)
         cuts = np.searchsorted(self.depth, np.arange(self.depth[-1] + 3))
         for size in range(self.depth[-1] + 1):
             own, below = slice(*cuts[size : size + 2]), slice(*cuts[size + 1 : size + 3])
             if size > 1:
-                shorter[own] = self.go[shorter[parent[own]], byte[own]]
+                shorter[own] = self.step(shorter[parent[own]], byte[own])
             if size:
-                self.go[own] = self.go[shorter[own]]
                 self.end[own] = np.where(self.token[own] >= 0, self.end[own], self.end[shorter[own]])
-            self.go[parent[below], byte[below]] = np.arange(below.start, below.stop)
+            if size <= NEAR:
+                self.near[own] = self.near[shorter[own]]
+                self.near[parent[below], byte[below]] = np.arange(below.start, below.stop)
         self.down = self.end[shorter]
+        self.link = array("q", self.links.tobytes())
         self.size = np.array([len(t) for t in self.text])
         # pairs met by many pre-tokens together: a place for each hash, taken by the last pair that had it
         self.met, self.apart = np.full(1 << PLACES, -1), np.zeros(1 << PLACES, bool)
 
+    def step(self, state: np.ndarray, byte: np.ndarray) -> np.ndarray:
+        """The states after a byte each: a longer beginning, or that of the next shorter end that is one."""
+        out, todo = np.empty(len(state), np.int64), np.arange(len(state))
+        while True:
+            near = state < len(self.near)
+            out[todo[near]] = self.near[state[near], byte[near]]
+            todo, state, byte = todo[~near], state[~near], byte[~near]
+            if not len(todo):
+                return out
+            key = state << 8 | byte
+            at = np.searchsorted(self.links, key)
+            found = self.links[at] == key
+            out[todo[found]] = self.to[at[found]]
+            todo, state, byte = todo[~found], self.shorter[state[~found]], byte[~found]
+
+    def next(self, state: int, byte: int) -> int:
+        """``step`` for one state."""
+        while state >= len(self.near):
+            key = state << 8 | byte
+            at = bisect_left(self.link, key)
+            if self.link[at] == key:
+                return int(self.to[at])
+            state = int(self.shorter[state])
+        return int(self.near[state, byte])
+
     def _reachable(self, t: int) -> bool:
         """A token is made from its own bytes only if no earlier merge spans the border of its halves."""
         return self.compatible(self.left[t], self.right[t], self.when[t])
@@ -178,10 +214,10 @@ class PrefixBpe:
         """Ids of one pre-token (in byte letters), little-endian."""
         n = len(w)
         last = []
-        pairs, go, end, token, depth = self.pairs, self.go, self.end, self.token, self.depth
+        pairs, end, token, depth = self.pairs, self.end, self.token, self.depth
         state = 0
         for at, letter in enumerate(w, 1):
-            state = go[state, self.letter_byte[letter]]
+            state = self.next(state, self.letter_byte[letter])
             found = end[state]
             while True:
                 t, size = int(token[found]), int(depth[found])
@@ -237,9 +273,9 @@ class PrefixBpe:
         byte = np.empty(len(row), np.uint8)
         byte[place] = np.frombuffer(b"".join([raw[i] for i in order.tolist()]), np.uint8)
         last = np.empty(len(row), np.int64)
-        state = np.zeros(len(raw), np.int32)
+        state = np.zeros(len(raw), np.int64)
         for k, n in enumerate(many.tolist()):
-            state = self.go[state[:n], byte[base[k] : base[k + 1]]]
+            state = self.step(state[:n], byte[base[k] : base[k + 1]])
             todo, found = np.arange(n), self.end[state]
             while len(todo):
                 t, back = self.token[found], self.depth[found]

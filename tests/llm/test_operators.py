@@ -56,6 +56,15 @@ def test_idle_models_are_dropped(monkeypatch):
     assert not any(x() for x in held)
 
 
+def test_bpe_automaton_is_small():
+    """No table of all states and bytes; the next state is the longest end that begins a token."""
+    codec = bpe.PrefixBpe(vocabulary(BPE_FILE))
+    assert sum(x.nbytes for x in vars(codec).values() if isinstance(x, np.ndarray)) < 30 << 20
+    rng = np.random.default_rng(3)
+    state, byte = rng.integers(0, len(codec.token), 2000), rng.integers(0, 256, 2000)
+    assert codec.step(state, byte).tolist() == [codec.next(s, b) for s, b in zip(state.tolist(), byte.tolist(), strict=True)]
+
+
 def test_bpe_new_words_are_encoded_together(monkeypatch):
     """New pre-tokens of many texts take their steps at once, few one by one; the ids are the library's."""
     monkeypatch.setattr(bpe, "MEMORY", 400)
